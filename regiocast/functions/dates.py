@@ -16,7 +16,7 @@ def month_no(date: str | Column) -> Column:
 def ym_of_no(m: str | Column) -> Column:
     """Month key of a running month number."""
     m = col(m).cast("int")
-    return F.lpad((F.expr("100") * ((m - F.pmod(m, F.lit(12))) / 12).cast("int")
+    return F.lpad((F.lit(100) * ((m - F.pmod(m, F.lit(12))) / 12).cast("int")
                    + F.pmod(m, F.lit(12)) + 1).cast("string"), 6, "0")
 
 
