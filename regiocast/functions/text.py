@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from regiocast.functions.exact import col
+from regiocast.functions.exact import col, round_half_up
 
 
 def tokens(text: str | Column) -> Column:
@@ -37,4 +37,4 @@ def thousands(c: str | Column, digits: int = 0) -> Column:
 
 
 def percent(c: str | Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", col(c).cast("double"))
+    return F.format_string(f"%.{digits}f%%", round_half_up(c, digits))
