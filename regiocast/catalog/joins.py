@@ -108,9 +108,8 @@ def orders_without_lines(t):
 
 
 @register("rolling_cutoffs", "C11", sql("act_orders", """
- WITH last AS (SELECT max(ym) AS hi FROM act_orders)
  SELECT region, CAST(k AS INTEGER) AS fold, count(*) AS months,
-  CAST(sum(move_in) AS BIGINT) AS seen FROM act_orders, last, generate_series(1, 6) g(k)
+  CAST(sum(move_in) AS BIGINT) AS seen FROM act_orders, (SELECT max(ym) AS hi FROM act_orders), generate_series(1, 6) g(k)
  WHERE ym <= strftime(strptime(hi || '01','%Y%m%d') - to_months(CAST(k AS INTEGER)),'%Y%m')
  GROUP BY 1, 2"""))
 def rolling_cutoffs(t):
@@ -118,7 +117,8 @@ def rolling_cutoffs(t):
     inequality join becomes a generator and an aggregation."""
     hi = t.orders.agg(F.max(month_no("o_orderdate"))).scalar()
     a = staging.customer_activity(t, with_lines=False)
-    folds = F.filter(F.sequence(F.lit(1), F.lit(6)), lambda k: F.col("m") <= hi - k)
-    return (a.select("region", "move_in", F.explode(folds).alias("fold"))
+    known = a.withColumn("age", hi - F.col("m")).filter(F.col("age") >= 1)
+    folds = F.sequence(F.lit(1), F.least(F.lit(6), F.col("age")))
+    return (known.select("region", "move_in", F.explode(folds).alias("fold"))
             .groupBy("region", "fold")
             .agg(F.count(F.lit(1)).alias("months"), F.sum("move_in").alias("seen")))

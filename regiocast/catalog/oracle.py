@@ -262,3 +262,114 @@ part("mart3", "mart2 telecom", """
    (20000 * coalesce(rental_count, 0) + move_in) // (2 * move_in) / 10000.0::DOUBLE END
    AS rental_conversion_rate
  FROM mart2 f LEFT JOIN telecom USING (ym, region)""")
+
+# ---------------------------------------------------------------- forecasts
+part("train", "card_sales", """
+ SELECT region AS series, strptime(ym || '01','%Y%m%d')::DATE AS ds, total_sales AS y
+ FROM card_sales WHERE total_sales > 0""")
+
+
+def exact(expr: str) -> str:
+    return (f"(CAST(floor({expr}) AS DOUBLE)"
+            f" + CAST({expr} - floor({expr}) AS DOUBLE))")
+
+
+_T = "((year(ds) - 1970) * 12 + month(ds) - 1)"
+
+
+def fit_parts(prefix: str, source: str, needs: str, keys: str) -> None:
+    """Parameters per key, in the same expression order as the Spark job."""
+    part(f"{prefix}_m", needs, f"""
+ SELECT {keys}, month(ds) AS mm, CAST(count(*) AS DOUBLE) AS n,
+  CAST(sum({_T}) AS BIGINT) AS st, CAST(sum({_T} * {_T}) AS BIGINT) AS stt,
+  sum(CAST(y AS DECIMAL(18,4))) AS sy,
+  sum(CAST(y AS DECIMAL(18,4)) * CAST({_T} AS DECIMAL(10,0))) AS sty,
+  sum(CAST(y AS DECIMAL(19,4)) * CAST(y AS DECIMAL(19,4))) AS syy, max(ds) AS last_ds
+ FROM {source} GROUP BY ALL""")
+    part(f"{prefix}_s", f"{prefix}_m", f"""
+ SELECT {keys}, sum(n) AS n, count(*) AS k, max(last_ds) AS last_ds,
+  CAST(sum(st) AS DOUBLE) AS st, CAST(sum(stt) AS DOUBLE) AS stt,
+  {exact("sum(sy)")} AS sy, {exact("sum(sty)")} AS sty, {exact("sum(syy)")} AS syy,
+  sum(CAST(stt AS DOUBLE) - CAST(st AS DOUBLE) * CAST(st AS DOUBLE) / n ORDER BY mm) AS wxx,
+  sum({exact("sty")} - CAST(st AS DOUBLE) * {exact("sy")} / n ORDER BY mm) AS wxy,
+  sum({exact("syy")} - {exact("sy")} * {exact("sy")} / n ORDER BY mm) AS wyy
+ FROM {prefix}_m GROUP BY ALL""")
+    part(prefix, f"{prefix}_s", f"""
+ SELECT *, (sy - trend_slope * st) / n AS level, CASE WHEN dof > 0 THEN sqrt(greatest(
+   CASE WHEN seasonal THEN wyy - slope * wxy ELSE tyy - slope * txy END, 0) / dof) END AS sigma
+ FROM (SELECT *, CASE WHEN seasonal THEN wxy / wxx ELSE trend_slope END AS slope,
+   CASE WHEN seasonal THEN n - 13 ELSE n - 2 END AS dof
+  FROM (SELECT *, CASE WHEN txx > 0 THEN txy / txx ELSE 0 END AS trend_slope
+   FROM (SELECT *, k = 12 AND n > 12 AND wxx > 0 AS seasonal, sy / n AS mean,
+     stt - st * st / n AS txx, sty - st * sy / n AS txy, syy - sy * sy / n AS tyy
+    FROM {prefix}_s)))""")
+
+
+fit_parts("fitted", "train", "train", "series")
+
+part("forecast", "fitted fitted_m", f"""
+ SELECT series, ts, forecast, forecast - {fixed.Z_95}::DOUBLE * sigma AS lower_bound,
+  forecast + {fixed.Z_95}::DOUBLE * sigma AS upper_bound
+ FROM (SELECT f.series, f.ts, sigma, CASE WHEN seasonal
+   THEN ({exact("m.sy")} - slope * CAST(m.st AS DOUBLE)) / m.n + slope * t
+   ELSE level + trend_slope * t END AS forecast
+  FROM (SELECT *, ((year(ts) - 1970) * 12 + month(ts) - 1)::DOUBLE AS t FROM (
+    SELECT *, (last_ds + to_months(CAST(h AS INTEGER)))::DATE AS ts
+    FROM fitted, generate_series(1, 3) g(h))) f
+  LEFT JOIN fitted_m m ON m.series = f.series AND m.mm = month(f.ts))""")
+
+part("train_age", "train", f"""
+ SELECT *, max({_T}) OVER (PARTITION BY series) - {_T} AS age FROM train""")
+part("known", "train_age", """
+ SELECT series, CAST(k AS INTEGER) AS fold, ds, y FROM train_age, generate_series(1, 6) g(k)
+ WHERE age >= k + 2""")
+part("target", "train_age", """
+ SELECT series, CAST(k AS INTEGER) AS fold, ds, y FROM train_age, generate_series(1, 6) g(k)
+ WHERE age < k + 2 AND age >= k - 1""")
+fit_parts("folded", "known", "known", "series, fold")
+
+part("ladder", "folded folded_m target", f"""
+ SELECT series, fold, ds, actual, unnest(['MODEL_A','MODEL_B','MODEL_C']) AS model_name,
+  unnest([mean, trend, CASE WHEN seasonal THEN season ELSE trend END]) AS forecast
+ FROM (SELECT a.series, a.fold, a.ds, a.y AS actual, mean, seasonal,
+   level + trend_slope * {_T.replace("ds", "a.ds")}::DOUBLE AS trend,
+   ({exact("m.sy")} - slope * CAST(m.st AS DOUBLE)) / m.n
+    + slope * {_T.replace("ds", "a.ds")}::DOUBLE AS season
+  FROM target a JOIN folded f ON f.series = a.series AND f.fold = a.fold
+  LEFT JOIN folded_m m ON m.series = a.series AND m.fold = a.fold AND m.mm = month(a.ds))""")
+
+part("errors", "ladder", """
+ SELECT model_name, series, fold,
+  CAST(abs(actual - forecast) / abs(actual) * 100 AS DECIMAL(18,6)) AS mape,
+  CAST(abs(actual - forecast) * 200 / (abs(actual) + abs(forecast)) AS DECIMAL(18,6)) AS smape,
+  CAST(abs(actual - forecast) AS DECIMAL(24,6)) AS mae FROM ladder""")
+part("fold_errors", "errors", """
+ SELECT model_name, series, fold, count(*) AS n,
+  CAST(CAST(sum(mape) AS DOUBLE) / count(*) AS DECIMAL(18,6)) AS mape,
+  CAST(CAST(sum(smape) AS DOUBLE) / count(*) AS DECIMAL(18,6)) AS smape,
+  CAST(CAST(sum(mae) AS DOUBLE) / count(*) AS DECIMAL(18,6)) AS mae
+ FROM errors GROUP BY ALL""")
+
+
+def _sd(m: str) -> str:
+    return (f"CASE WHEN count({m}) > 1 THEN sqrt(greatest(({exact(f'sum(CAST({m} AS DECIMAL(19,6)) * CAST({m} AS DECIMAL(19,6)))')}"
+            f" - {exact(f'sum({m})')} * {exact(f'sum({m})')} / count({m})::DOUBLE)"
+            f" / (count({m})::DOUBLE - 1), 0)) END")
+
+
+part("fold_sd", "fold_errors", f"""
+ SELECT model_name, series, {_sd("mape")} AS mape_sd, {_sd("smape")} AS smape_sd,
+  {_sd("mae")} AS mae_sd FROM fold_errors GROUP BY ALL""")
+part("wide_metrics", "errors", """
+ SELECT model_name, series, CAST(sum(mape) AS DOUBLE) / count(*) AS mape,
+  CAST(sum(smape) AS DOUBLE) / count(*) AS smape, CAST(sum(mae) AS DOUBLE) / count(*) AS mae
+ FROM errors GROUP BY ALL""")
+part("model_summary", "wide_metrics", """
+ SELECT model_name, series, model_order, mape, smape, mae,
+  baseline - mape AS improve_vs_baseline,
+  CASE WHEN baseline > 0 THEN (baseline - mape) / baseline * 100 END AS improve_pct_vs_baseline,
+  prev - mape AS step_improve,
+  CASE WHEN prev > 0 THEN (prev - mape) / prev * 100 END AS step_improve_pct
+ FROM (SELECT *, first_value(mape) OVER w AS baseline, lag(mape) OVER w AS prev FROM (
+  SELECT *, CAST(instr('ABC', right(model_name, 1)) AS INTEGER) AS model_order
+  FROM wide_metrics) WINDOW w AS (PARTITION BY series ORDER BY model_order))""")

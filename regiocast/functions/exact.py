@@ -32,9 +32,9 @@ def units_to_double(c: str | Column, digits: int) -> Column:
 
 
 def exact_double(c: str | Column) -> Column:
-    """Wide decimal to double as whole part plus fraction, each of them exact."""
-    whole = F.floor(col(c))
-    return whole.cast("double") + (col(c) - whole).cast("double")
+    """Wide decimal to double as whole part plus fraction, so that no scale digit is lost."""
+    return (F.floor(col(c)).cast("double")
+            + F.pmod(col(c), F.lit(1).cast("decimal(1,0)")).cast("double"))
 
 
 def guarded_ratio(num: str | Column, den: str | Column, otherwise: object = None) -> Column:
