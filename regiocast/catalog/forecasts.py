@@ -128,3 +128,65 @@ def interval_width(t):
     return f.withColumn("width_pct", F.when(
         F.col("forecast") != 0,
         (F.col("upper_bound") - F.col("lower_bound")) / F.col("forecast")) * 100.0)
+
+
+def exog_panel(t):
+    from regiocast.plans import exog, mart
+    return exog.panel(mart.extended_mart(t))
+
+
+@register("future_exog_frame", "X14 C6 A5", sql("panel", """
+ SELECT series, f.ds, CAST(count(*) FILTER (WHERE h AND NOT w) AS INTEGER) AS holiday_days,
+  CAST(sum(long) AS INTEGER) AS long_weekend_cnt,
+  CAST(count(*) FILTER (WHERE NOT h AND NOT w) AS INTEGER) AS business_days,
+  any_value(age_20_39_share) AS age_20_39_share, any_value(senior_60p_share)
+  AS senior_60p_share, any_value(family_30_49_share) AS family_30_49_share,
+  any_value(tourism_demand_idx) AS tourism_demand_idx, any_value(foreign_visitor_idx)
+  AS foreign_visitor_idx, any_value(stability_score) AS stability_score,
+  any_value(net_store_change) AS net_store_change
+ FROM (SELECT p.*, (p.ds + to_months(CAST(k AS INTEGER)))::DATE AS fds
+  FROM (SELECT * FROM panel QUALIFY row_number() OVER (PARTITION BY series ORDER BY ds DESC) = 1)
+   p, generate_series(1, 3) g(k)) x, LATERAL (SELECT x.fds AS ds) f
+ JOIN (SELECT d, w, h, CASE WHEN o AND NOT lag(o) OVER z AND lead(o) OVER z
+    AND lead(o, 2) OVER z THEN 1 ELSE 0 END AS long
+   FROM (SELECT d::DATE AS d, dayofweek(d) IN (0, 6) AS w, strftime(d,'%m%d') IN
+     ('0101','0301','0505','0606','0815','1003','1009','1225') AS h,
+     dayofweek(d) IN (0, 6) OR strftime(d,'%m%d') IN
+     ('0101','0301','0505','0606','0815','1003','1009','1225') AS o
+    FROM (SELECT unnest(generate_series(TIMESTAMP '1994-12-01', TIMESTAMP '2003-01-31',
+     INTERVAL 1 DAY)) AS d)) WINDOW z AS (ORDER BY d)) c
+  ON date_trunc('month', c.d) = f.ds GROUP BY series, f.ds"""))
+def future_exog_frame(t):
+    from regiocast.plans import exog
+    from regiocast.plans.calendar import order_calendar
+    return exog.future_exog(exog_panel(t), order_calendar(t, extra_months=fixed.HORIZON))
+
+
+@register("exog_forecast", "F5")
+def exog_forecast(t):
+    """Ridge on within-month Gram matrices; checked against a direct solve in the tests."""
+    from regiocast.plans import exog
+    from regiocast.plans.calendar import order_calendar
+    train = exog_panel(t)
+    future = exog.future_exog(train, order_calendar(t, extra_months=fixed.HORIZON))
+    return exog.exog_forecast(train, future)
+
+
+@register("feature_importance", "F7", sql("importance", "SELECT * FROM importance"))
+def feature_importance(t):
+    from regiocast.plans import exog
+    return exog.feature_importance(exog_panel(t))
+
+
+@register("ablation_results", "F8 A7")
+def ablation_results(t):
+    """Five nested feature sets scored on the same folds; checked by brute force in tests."""
+    from regiocast.plans import exog
+    return exog.ablation_wide(exog_panel(t))
+
+
+@register("ablation_summary", "F8 F9")
+def ablation_summary(t):
+    from regiocast.plans import exog
+    order = {m: i for i, m in enumerate(exog.STEPS, start=1)}
+    return bt.model_summary(exog.ablation_wide(exog_panel(t)), order)

@@ -373,3 +373,34 @@ part("model_summary", "wide_metrics", """
  FROM (SELECT *, first_value(mape) OVER w AS baseline, lag(mape) OVER w AS prev FROM (
   SELECT *, CAST(instr('ABC', right(model_name, 1)) AS INTEGER) AS model_order
   FROM wide_metrics) WINDOW w AS (PARTITION BY series ORDER BY model_order))""")
+
+FEATURES = ["holiday_days", "long_weekend_cnt", "business_days", "age_20_39_share",
+            "senior_60p_share", "family_30_49_share", "tourism_demand_idx",
+            "foreign_visitor_idx", "stability_score", "net_store_change"]
+part("panel", "mart2", f"""
+ SELECT region AS series, strptime(ym || '01','%Y%m%d')::DATE AS ds, total_sales AS y,
+  {", ".join(f"coalesce({c}, 0)::DOUBLE AS {c}" for c in FEATURES)}
+ FROM mart2 WHERE total_sales > 0""")
+part("panel_long", "panel", " UNION ALL ".join(
+    f"SELECT series, CAST(y AS DECIMAL(18,4)) AS y, '{c}' AS feature_name,"
+    f" CAST({c} AS DECIMAL(18,6)) AS x, {i} AS pos FROM panel" for i, c in enumerate(FEATURES)))
+part("corr_sums", "panel_long", f"""
+ SELECT series, feature_name, any_value(pos) AS pos, CAST(count(*) AS DOUBLE) AS n,
+  {exact("sum(x)")} AS sx, {exact("sum(y)")} AS sy,
+  {exact("sum(CAST(x AS DECIMAL(19,6)) * CAST(x AS DECIMAL(19,6)))")} AS sxx,
+  {exact("sum(CAST(y AS DECIMAL(19,4)) * CAST(y AS DECIMAL(19,4)))")} AS syy,
+  {exact("sum(CAST(y AS DECIMAL(19,4)) * CAST(x AS DECIMAL(19,6)))")} AS sxy
+ FROM panel_long GROUP BY ALL""")
+part("importance", "corr_sums", """
+ SELECT series, feature_name, s / total AS importance_score,
+  CAST(row_number() OVER (PARTITION BY series ORDER BY s / total DESC NULLS LAST, feature_name)
+   AS INTEGER) AS rank
+ FROM (SELECT *, t.total FROM (
+   SELECT series, feature_name, CASE WHEN vx > 0 AND vy > 0
+    THEN abs(n * sxy - sy * sx) / (sqrt(vx) * sqrt(vy)) ELSE 0 END AS s
+   FROM (SELECT *, n * sxx - sx * sx AS vx, n * syy - sy * sy AS vy FROM corr_sums)) r
+  JOIN (SELECT series, sum(s ORDER BY pos) AS total FROM (
+   SELECT series, pos, CASE WHEN vx > 0 AND vy > 0
+    THEN abs(n * sxy - sy * sx) / (sqrt(vx) * sqrt(vy)) ELSE 0 END AS s
+   FROM (SELECT *, n * sxx - sx * sx AS vx, n * syy - sy * sy AS vy FROM corr_sums))
+   GROUP BY 1) t USING (series))""")
