@@ -404,3 +404,25 @@ part("importance", "corr_sums", """
     THEN abs(n * sxy - sy * sx) / (sqrt(vx) * sqrt(vy)) ELSE 0 END AS s
    FROM (SELECT *, n * sxx - sx * sx AS vx, n * syy - sy * sy AS vy FROM corr_sums))
    GROUP BY 1) t USING (series))""")
+
+# ---------------------------------------------------------------- decisions
+part("next_month", "forecast", """
+ SELECT series, ts, forecast, lower_bound, upper_bound, forecast / total AS share,
+  forecast / total * 100 AS share_pct
+ FROM (SELECT * FROM forecast WHERE ts = (SELECT min(ts) FROM forecast)) f,
+  (SELECT CAST(sum(CAST(forecast AS DECIMAL(28,4))) AS DOUBLE) AS total FROM forecast
+   WHERE ts = (SELECT min(ts) FROM forecast))""")
+part("mean_forecast", "forecast", """
+ SELECT series AS region, CAST(sum(CAST(forecast AS DECIMAL(28,4))) AS DOUBLE) / count(forecast)
+  AS forecast FROM forecast GROUP BY 1""")
+part("mean_share", "mean_forecast", """
+ SELECT region, forecast, forecast / CAST(sum(CAST(forecast AS DECIMAL(28,4))) OVER () AS DOUBLE)
+  AS share FROM mean_forecast""")
+part("split", "mean_share", f"""
+ SELECT region, forecast, {rounded("share * 100", 1)} AS share_pct,
+  {rounded("share * 50000000", 0)} AS budget FROM mean_share""")
+part("newest1", "mart1", """
+ SELECT * FROM mart1 QUALIFY row_number() OVER (PARTITION BY region ORDER BY ym DESC) = 1""")
+part("newest3", "mart3", """
+ SELECT * FROM mart3 QUALIFY row_number() OVER (PARTITION BY region ORDER BY ym DESC) = 1""")
+part("current2", "mart2", "SELECT * FROM mart2 WHERE ym = (SELECT max(ym) FROM mart2)")
