@@ -16,8 +16,12 @@ def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Overwrite only the partitions that occur in ``df``; repeating the write is harmless."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Overwrite only the partitions that occur in ``df``; repeating the write is harmless.
+
+    The rebalance hint brings the rows of a partition together, so that it becomes few files,
+    and still splits a partition that is too large for one task.
+    """
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
 
 
