@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from regiocast.catalog.forecasts import exog_panel, training
+from regiocast.catalog.forecasts import training
 from regiocast.catalog.oracle import rounded, sql
 from regiocast.catalog.registry import register
-from regiocast.plans import backtest as bt
-from regiocast.plans import decide, exog, fixed, forecast as fc, mart, semantic, staging
+from regiocast.plans import decide, exog, forecast as fc, mart, semantic
+from regiocast.session import cut_lineage
 
 BUDGET = 50000000.0
 
@@ -105,10 +105,14 @@ def region_insights(t):
 
 @register("context_records", "D7 S15")
 def context_records(t):
-    """Grounding JSON of every region: allocation, snapshot, top features, four groups."""
+    """Grounding JSON of every region: allocation, snapshot, top features, four groups.
+
+    All three parts come from one mart, written once.
+    """
+    ready = cut_lineage(mart.signal_mart(t))
     return decide.context_json(
-        decide.next_month_share(result(t)), decide.latest_snapshot(mart.signal_mart(t)),
-        exog.feature_importance(exog_panel(t)))
+        decide.next_month_share(fc.forecast(fc.training_frame(ready))),
+        decide.latest_snapshot(ready), exog.feature_importance(exog.panel(ready)))
 
 
 @register("latest_snapshot", "D8 E8 B13", sql("newest3", """

@@ -7,6 +7,7 @@ from regiocast.catalog.registry import register
 from regiocast.operators.reshape import overlay
 from regiocast.plans import backtest as bt
 from regiocast.plans import fixed, forecast as fc, staging
+from regiocast.session import cut_lineage
 
 
 def training(t):
@@ -167,7 +168,7 @@ def exog_forecast(t):
     """Ridge on within-month Gram matrices; checked against a direct solve in the tests."""
     from regiocast.plans import exog
     from regiocast.plans.calendar import order_calendar
-    train = exog_panel(t)
+    train = cut_lineage(exog_panel(t))
     future = exog.future_exog(train, order_calendar(t, extra_months=fixed.HORIZON))
     return exog.exog_forecast(train, future)
 

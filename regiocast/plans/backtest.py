@@ -9,6 +9,7 @@ from regiocast.functions.exact import exact_double
 from regiocast.operators.reshape import pivot_max
 from regiocast.plans import fixed
 from regiocast.plans.forecast import fit, predict, time_index
+from regiocast.session import cut_lineage
 
 LADDER = {"MODEL_A": "mean", "MODEL_B": "trend", "MODEL_C": "season"}
 METRICS = {"MAPE": "mape", "SMAPE": "smape", "MAE": "mae"}
@@ -18,8 +19,10 @@ def split_folds(train: DataFrame, folds: int, horizon: int) -> tuple[DataFrame,
     """Training and target rows per fold; the cutoff of fold k leaves horizon + k - 1 months.
 
     Each row lists the folds it belongs to, so cutoffs need no inequality join. The panel is
-    monthly, hence a series holds few rows and a row at most ``folds`` copies.
+    monthly, hence a series holds few rows and a row at most ``folds`` copies. It is written
+    once, because both results start from it.
     """
+    train = cut_lineage(train)
     age = (F.max(time_index("ds")).over(Window.partitionBy("series"))
            - time_index("ds")).alias("age")
     aged = train.select("*", age)

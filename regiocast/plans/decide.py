@@ -9,10 +9,16 @@ from regiocast.functions.exact import round_half_up
 from regiocast.functions.text import finite
 from regiocast.operators.windows import global_rank, latest_per_key, share_of_total
 from regiocast.plans import fixed
+from regiocast.session import cut_lineage
 
 
 def next_month_share(forecast: DataFrame) -> DataFrame:
-    """Share (0-1) and share_pct (0-100) of each series in the first forecast month."""
+    """Share (0-1) and share_pct (0-100) of each series in the first forecast month.
+
+    The forecast is needed three times (first month, total, rows) and is small, so it is
+    written once instead of running the pipeline below it again.
+    """
+    forecast = cut_lineage(forecast)
     first = forecast.agg(F.min("ts")).scalar()
     month = forecast.filter(F.col("ts") == first)
     shared = share_of_total(month, "forecast", "share")
@@ -29,13 +35,13 @@ def horizon_average(forecast: DataFrame) -> DataFrame:
 
 def horizon_share(forecast: DataFrame) -> DataFrame:
     """Share of the mean forecast with its rank."""
-    return global_rank(share_of_total(horizon_average(forecast), "forecast", "share"),
-                       "priority_rank", "forecast")
+    mean = cut_lineage(horizon_average(forecast))
+    return global_rank(share_of_total(mean, "forecast", "share"), "priority_rank", "forecast")
 
 
 def budget_split(forecast: DataFrame, budget: float) -> DataFrame:
     """Budget by forecast share: share to one decimal, money to whole units."""
-    s = share_of_total(horizon_average(forecast), "forecast", "_share")
+    s = share_of_total(cut_lineage(horizon_average(forecast)), "forecast", "_share")
     return s.select("region", "forecast",
                     round_half_up(F.col("_share") * 100.0, 1).alias("share_pct"),
                     round_half_up(F.col("_share") * budget, 0).alias("budget"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from regiocast.functions.dates import shift_ym
 from regiocast.functions.exact import round_half_up
 from regiocast.plans.decide import next_month_share
+from regiocast.session import cut_lineage
 
 
 def _total(c: str) -> Column:
@@ -107,6 +108,8 @@ SCALE = 10000.0
 
 
 def _newest(mart: DataFrame) -> DataFrame:
+    """Rows of the newest month; the mart is read twice, so it is written once first."""
+    mart = cut_lineage(mart)
     return mart.filter(F.col("ym") == mart.agg(F.max("ym")).scalar())
 
 
@@ -140,6 +143,7 @@ def sales_per_business_day(mart: DataFrame) -> DataFrame:
 
 def sales_trend(mart: DataFrame, n_months: int = 3) -> DataFrame:
     """Exactly the last n months; the change is already a percentage."""
+    mart = cut_lineage(mart)
     bound = mart.agg(F.max("ym").alias("ym")).select(shift_ym("ym", -n_months)).scalar()
     return mart.filter(F.col("ym") > bound).select(
         "ym", "region", round_half_up(F.col("total_sales") / SCALE, 1).alias("sales_10k"),
