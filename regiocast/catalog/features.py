@@ -46,9 +46,11 @@ def seasonal_flow(t):
     """Base level x season x yearly growth per region and month, net of two rounded flows."""
     per_customer = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"))
     base = (per_customer.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+            .groupBy("c_nationkey")
+            .agg(F.sum("orders").alias("orders"), F.count(F.lit(1)).alias("customers"))
             .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .groupBy(F.col("n_name").alias("region"))
-            .agg(F.sum("orders").alias("base_in"), F.count(F.lit(1)).alias("base_out")))
+            .agg(F.sum("orders").alias("base_in"), F.sum("customers").alias("base_out")))
     year = F.substring("ym", 1, 4).cast("int")
     spine = dense_months(base, t.orders, "o_orderdate")
     return spine.select(

@@ -344,22 +344,24 @@ part("errors", "ladder", """
   CAST(abs(actual - forecast) * 200 / (abs(actual) + abs(forecast)) AS DECIMAL(18,6)) AS smape,
   CAST(abs(actual - forecast) AS DECIMAL(24,6)) AS mae FROM ladder""")
 part("fold_errors", "errors", """
- SELECT model_name, series, fold, count(*) AS n,
-  CAST(CAST(sum(mape) AS DOUBLE) / count(*) AS DECIMAL(18,6)) AS mape,
-  CAST(CAST(sum(smape) AS DOUBLE) / count(*) AS DECIMAL(18,6)) AS smape,
-  CAST(CAST(sum(mae) AS DOUBLE) / count(*) AS DECIMAL(18,6)) AS mae
+ SELECT model_name, series, fold, CAST(sum(mape) AS DOUBLE) / count(*) AS mape,
+  CAST(sum(smape) AS DOUBLE) / count(*) AS smape, CAST(sum(mae) AS DOUBLE) / count(*) AS mae
  FROM errors GROUP BY ALL""")
+part("fold_means", "fold_errors", """
+ SELECT model_name, series, CAST(count(*) AS DOUBLE) AS k,
+  sum(mape ORDER BY fold) / count(*) AS mape_m, sum(smape ORDER BY fold) / count(*) AS smape_m,
+  sum(mae ORDER BY fold) / count(*) AS mae_m FROM fold_errors GROUP BY ALL""")
 
 
 def _sd(m: str) -> str:
-    return (f"CASE WHEN count({m}) > 1 THEN sqrt(greatest(({exact(f'sum(CAST({m} AS DECIMAL(19,6)) * CAST({m} AS DECIMAL(19,6)))')}"
-            f" - {exact(f'sum({m})')} * {exact(f'sum({m})')} / count({m})::DOUBLE)"
-            f" / (count({m})::DOUBLE - 1), 0)) END")
+    return (f"CASE WHEN count(*) > 1 THEN sqrt(sum(({m} - {m}_m) * ({m} - {m}_m) ORDER BY fold)"
+            f" / (count(*) - 1)) END")
 
 
-part("fold_sd", "fold_errors", f"""
+part("fold_sd", "fold_errors fold_means", f"""
  SELECT model_name, series, {_sd("mape")} AS mape_sd, {_sd("smape")} AS smape_sd,
-  {_sd("mae")} AS mae_sd FROM fold_errors GROUP BY ALL""")
+  {_sd("mae")} AS mae_sd FROM fold_errors JOIN fold_means USING (model_name, series)
+ GROUP BY ALL""")
 part("wide_metrics", "errors", """
  SELECT model_name, series, CAST(sum(mape) AS DOUBLE) / count(*) AS mape,
   CAST(sum(smape) AS DOUBLE) / count(*) AS smape, CAST(sum(mae) AS DOUBLE) / count(*) AS mae

@@ -64,6 +64,7 @@ def literal_dimension(t):
 def horizon_rows(t):
     last = (t.orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last"))
             .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+            .groupBy("c_nationkey").agg(F.max("last").alias("last"))
             .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .groupBy(F.col("n_name").alias("region"))
             .agg(F.trunc(F.max("last").cast("date"), "month").alias("last_ds")))

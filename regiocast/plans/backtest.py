@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiocast.functions.exact import exact_double
 from regiocast.operators.reshape import pivot_max
 from regiocast.plans import fixed
 from regiocast.plans.forecast import fit, predict, time_index
@@ -70,17 +69,29 @@ def evaluation_metrics(predictions: DataFrame, keys: list[str]) -> DataFrame:
         return F.sum(m).cast("double") / F.when(F.sum(f"{m}_n") > 0, F.sum(f"{m}_n"))
 
     def fold_value(m: str) -> Column:
-        return (F.col(m).cast("double") / F.when(F.col(f"{m}_n") > 0, F.col(f"{m}_n"))).cast(
-            "decimal(18,6)")
+        return F.col(m).cast("double") / F.when(F.col(f"{m}_n") > 0, F.col(f"{m}_n"))
+
+    def add(values: Column, term=lambda x: x) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + term(x))
 
     def sd(m: str) -> Column:
-        k = F.count(fold_value(m)).cast("double")
-        s = exact_double(F.sum(fold_value(m)))
-        ss = exact_double(F.sum(fold_value(m) * fold_value(m)))
-        return F.when(k > 1, F.sqrt(F.greatest((ss - s * s / k) / (k - 1), F.lit(0.0))))
+        # one value per fold, added in fold order
+        values = F.filter(F.transform("_folds", lambda f: f[m]), lambda x: x.isNotNull())
+        k = F.size(values)
+        mean_value = F.col(f"_mean_{m}")
+        return F.when(k > 1, F.sqrt(
+            add(values, lambda x: (x - mean_value) * (x - mean_value)) / (k - 1)))
+
+    def fold_mean(m: str) -> Column:
+        values = F.filter(F.transform("_folds", lambda f: f[m]), lambda x: x.isNotNull())
+        return F.when(F.size(values) > 0, add(values) / F.size(values))
 
     wide = per_fold.groupBy(*keys).agg(
-        *[mean(m).alias(m) for m in METRICS], *[sd(m).alias(f"{m}_sd") for m in METRICS])
+        *[mean(m).alias(m) for m in METRICS],
+        F.sort_array(F.collect_list(F.struct(
+            "fold", *[fold_value(m).alias(m) for m in METRICS]))).alias("_folds"))
+    wide = wide.withColumns({f"_mean_{m}": fold_mean(m) for m in METRICS}).withColumns(
+        {f"{m}_sd": sd(m) for m in METRICS})
     return wide.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(m).alias("error_metric"), F.col(m).alias("metric_value"),
                  F.col(f"{m}_sd").alias("standard_deviation"),

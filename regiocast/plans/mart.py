@@ -87,11 +87,14 @@ def add_strict_changes(df: DataFrame, value: str) -> DataFrame:
 
 
 def wide_activity(t: Tables) -> DataFrame:
-    """Spine of the marts: customer side left-joined with the supplier side, one pass each."""
+    """Spine of the marts: customer side left-joined with the supplier side, one pass each.
+
+    The join uses the month number both sides were grouped by, so it needs no new exchange.
+    """
     spine = customer_activity(t).filter(F.col("total_tx_count").isNotNull())
     zero = F.lit(0).cast("bigint")
     return (
-        left_join_all(spine, [(supplier_activity(t).drop("m"), KEY)])
+        left_join_all(spine, [(supplier_activity(t).drop("ym"), ["m", "region"])])
         .withColumn("move_out", F.coalesce("move_out", zero))
         .withColumn("net_move", F.col("move_in") - F.col("move_out"))
     )

@@ -134,7 +134,11 @@ def _best_in_batch(ids, matrix, item, vector, k):
             scores = np.round(v @ matrix.T, 6) + 0.0
             names = pdf[item].to_numpy()
             for j, query in enumerate(ids):
-                best = np.lexsort((names, -scores[:, j]))[:k]
+                own = scores[:, j]
+                near = np.arange(len(own))
+                if len(own) > k:  # everything tied with the k-th best stays in
+                    near = np.flatnonzero(own >= np.partition(own, -k)[-k])
+                best = near[np.lexsort((names[near], -own[near]))[:k]]
                 yield pd.DataFrame({"query_id": [query] * len(best), item: names[best],
                                     "_s": scores[best, j]})
     return run

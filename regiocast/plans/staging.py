@@ -70,27 +70,38 @@ def customer_months(t: Tables, with_lines: bool = True) -> DataFrame:
     return orders.groupBy("o_custkey", "m").agg(*measures)
 
 
+def by_region(t: Tables, by_code: DataFrame, counts: list[str],
+              sums: list[str]) -> DataFrame:
+    """(m, code) sums to (m, region). Many codes may belong to one region; a region that
+    holds most of the rows meets the dimension as one row per month and code."""
+    regions = t.nation.select("n_nationkey", F.col("n_name").alias("region"))
+    return (
+        by_code.join(regions, F.col("code") == F.col("n_nationkey"))
+        .groupBy("m", "region")
+        .agg(F.max("code").alias("region_code"), *[F.sum(c).alias(c) for c in counts],
+             *[F.sum(c).alias(c) for c in sums])
+    )
+
+
 def customer_activity(t: Tables, with_lines: bool = True) -> DataFrame:
     """(month, customer region) frame behind population, sales, asset, demographic and
     telecom staging: one pass over the facts for all of them."""
     customers = t.customer.select(
         "c_custkey", "c_nationkey", hundredths("c_acctbal").alias("balance"), "c_mktsegment")
-    regions = t.nation.select("n_nationkey", F.col("n_name").alias("region"))
-    joined = (
-        customer_months(t, with_lines)
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(regions, F.col("c_nationkey") == F.col("n_nationkey"))
-    )
     sums = ["orders", "total", "rental_total", *PRIORITIES]
     if with_lines:
         sums += ["lines", "qty", *POPULATION, "net", *CATEGORIES]
-    grouped = joined.groupBy("m", "region").agg(
-        F.max("n_nationkey").alias("region_code"),
-        F.count(F.lit(1)).alias("customers"),
-        wide_sum(F.col("balance") * F.col("orders")).alias("balance"),
-        *[wide_sum(c).alias(c) for c in sums],
-        *[F.count(F.when(F.col("c_mktsegment").isin(segments), 1)).alias(band)
-          for band, segments in BANDS.items()])
+    by_code = (
+        customer_months(t, with_lines)
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("m", F.col("c_nationkey").alias("code"))
+        .agg(F.count(F.lit(1)).alias("customers"),
+             wide_sum(F.col("balance") * F.col("orders")).alias("balance"),
+             *[wide_sum(c).alias(c) for c in sums],
+             *[F.count(F.when(F.col("c_mktsegment").isin(segments), 1)).alias(band)
+               for band, segments in BANDS.items()])
+    )
+    grouped = by_region(t, by_code, ["customers", *BANDS], ["balance", *sums])
 
     def whole(c):
         return F.col(c).cast("bigint").alias(c)
@@ -156,16 +167,15 @@ def supplier_activity(t: Tables) -> DataFrame:
         F.inline(F.when(F.col("closes") == 1, F.array(active, closing))
                  .otherwise(F.array(active))))
     suppliers = t.supplier.select("s_suppkey", "s_nationkey")
-    regions = t.nation.select("n_nationkey", F.col("n_name").alias("region"))
-    g = (
+    counts = ["active", "opened", "closed", "tenure", "closed_tenure"]
+    sums = ["lines", "qty", "price", "retail"]
+    by_code = (
         changes.filter(F.col("m") <= last)
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(regions, F.col("s_nationkey") == F.col("n_nationkey"))
-        .groupBy("m", "region")
-        .agg(*[F.sum(c).alias(c) for c in
-               ["active", "opened", "closed", "tenure", "closed_tenure"]],
-             *[wide_sum(c).alias(c) for c in ["lines", "qty", "price", "retail"]])
+        .groupBy("m", F.col("s_nationkey").alias("code"))
+        .agg(*[F.sum(c).alias(c) for c in counts], *[wide_sum(c).alias(c) for c in sums])
     )
+    g = by_region(t, by_code, counts, sums)
     retained = (F.col("active") - F.col("opened")).cast("double")
     return g.select(
         ym_of_no("m").alias("ym"), "region", "m",
