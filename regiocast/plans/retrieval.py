@@ -22,6 +22,7 @@ from regiocast.plans import fixed
 from regiocast.session import cut_lineage
 
 K1, B = 1.2, 0.75
+SEARCH_BLOCK = 64
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,16 @@ def term_index(docs: DataFrame, terms: list[str], keep: list[str]) -> DataFrame:
 
 
 def keyword_search(docs: DataFrame, queries: list[SearchQuery], k: int) -> DataFrame:
-    """BM25 top k per query: (query_id, doc_id, score, rank). Ties go to the smaller id."""
+    """BM25 top k per query: (query_id, doc_id, score, rank). Ties go to the smaller id.
+
+    Long lists of queries run block by block, each an exact pass over the documents.
+    """
+    return reduce(lambda a, b: a.unionByName(b), [
+        _search_block(docs, queries[i:i + SEARCH_BLOCK], k)
+        for i in range(0, len(queries), SEARCH_BLOCK)])
+
+
+def _search_block(docs: DataFrame, queries: list[SearchQuery], k: int) -> DataFrame:
     terms = sorted({t for q in queries for t in q.terms})
     keep = sorted({c for q in queries for c in q.filters})
     index = term_index(docs, terms, keep)

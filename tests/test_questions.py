@@ -57,7 +57,8 @@ def bm25(docs, terms):
     return out
 
 
-def test_keyword_search_equals_brute_force(spark):
+def test_keyword_search_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(rt, "SEARCH_BLOCK", 1)  # every query in a pass of its own
     rng = np.random.default_rng(5)
     vocab = ["rental", "moving", "policy", "budget", "été", "für"]
     docs = [(i, " ".join(rng.choice(vocab, rng.integers(1, 30))), ["en", "de"][i % 2], f"s{i % 3}")

@@ -65,3 +65,14 @@ def test_freshness(spark):
     rows = {r["component"]: (r["refreshes"], r["lag_seconds"], r["state"])
             for r in rf.freshness(log, 3600).collect()}
     assert rows == {"mart": (2, 1800, "OK"), "share": (1, 0, "OK"), "model": (1, 12600, "LATE")}
+
+
+def test_full_build_and_health(spark, tables):
+    from regiocast.plans.build import Build
+    build = Build(tables, scratch_path(spark, "build")).run()
+    health = {r["component"]: r["state"] for r in build.health().collect()}
+    assert health == {name: "OK" for name in build.done}
+    assert len(health) == 6
+    late = build.health(60, as_of=dt.datetime(2999, 1, 1)).collect()
+    assert {r["state"] for r in late} == {"LATE"}
+    assert build.read("allocation").count() > 0
