@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from regiocast.functions.exact import col
+from regiocast.functions.exact import col, int_div
 
 
 def month_no(date: str | Column) -> Column:
@@ -16,8 +16,7 @@ def month_no(date: str | Column) -> Column:
 def ym_of_no(m: str | Column) -> Column:
     """Month key of a running month number."""
     m = col(m).cast("int")
-    return F.lpad((F.lit(100) * ((m - F.pmod(m, F.lit(12))) / 12).cast("int")
-                   + F.pmod(m, F.lit(12)) + 1).cast("string"), 6, "0")
+    return F.lpad((int_div(m, 12) * 100 + F.pmod(m, F.lit(12)) + 1).cast("string"), 6, "0")
 
 
 def no_of_ym(ym: str | Column) -> Column:

@@ -16,6 +16,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def int_div(a: str | Column, b: int | Column) -> Column:
+    """Whole-number division."""
+    return F.call_function("div", col(a), b if isinstance(b, Column) else F.lit(b))
+
+
 def hundredths(c: str | Column) -> Column:
     """Two-decimal double as whole hundredths."""
     return F.rint(col(c) * F.lit(100)).cast("bigint")
@@ -66,5 +71,5 @@ def rounded_int_ratio(num: str | Column, den: str | Column, digits: int) -> Colu
     """Non-negative integer ratio rounded half up in whole-number arithmetic."""
     scale = 10 ** digits
     num, den = col(num).cast("bigint"), col(den).cast("bigint")
-    twice = (num * F.lit(2 * scale) + den) - F.pmod(num * F.lit(2 * scale) + den, den * 2)
-    return F.when(den > 0, (twice / (den * 2)).cast("double") / F.lit(float(scale)))
+    units = int_div(num * F.lit(2 * scale) + den, den * 2)
+    return F.when(den > 0, units.cast("double") / F.lit(float(scale)))

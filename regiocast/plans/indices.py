@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regiocast.functions.exact import int_div
 from regiocast.plans import fixed
 
 
@@ -27,8 +28,7 @@ def trend(slopes: list[int], i: Column, growth_class: Column) -> Column:
 
 def _tenths(units: Column, divisor: int) -> Column:
     """units / divisor rounded half up, given back as a double with one decimal."""
-    doubled = units * 2 + divisor
-    return ((doubled - F.pmod(doubled, F.lit(2 * divisor))) / (2 * divisor)).cast("double") / 10.0
+    return int_div(units * 2 + divisor, 2 * divisor).cast("double") / 10.0
 
 
 def visitor_indices(df: DataFrame, i: Column, month: Column, growth_class: Column) -> DataFrame:
@@ -49,5 +49,4 @@ def seasonal_flow(base: Column, year: Column, month: Column) -> Column:
     """base * season * (1 + (year - base year) * growth), rounded half up to whole units."""
     units = base.cast("bigint") * season(fixed.SEASON_MOVING, month) * (
         F.lit(100).cast("bigint") + (year - fixed.FLOW_BASE_YEAR) * fixed.FLOW_GROWTH)
-    doubled = units * 2 + 10000
-    return ((doubled - F.pmod(doubled, F.lit(20000))) / 20000).cast("bigint")
+    return int_div(units * 2 + 10000, 20000)

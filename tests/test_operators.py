@@ -11,7 +11,17 @@ from regiocast.sources import first_usable, with_standard_names
 from regiocast.sources.sinks import replace_partitions
 
 
-def test_global_rank_with_one_value_holding_a_third(spark):
+@pytest.fixture
+def many_slices(spark):
+    """Keep every range partition, so that offsets between slices matter."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_global_rank_with_one_value_holding_a_third(spark, many_slices):
     random.seed(3)
     values = [7.0] * 200 + [float(random.randint(0, 300)) for _ in range(395)] + [None] * 5
     random.shuffle(values)
@@ -22,9 +32,10 @@ def test_global_rank_with_one_value_holding_a_third(spark):
         assert got[i] == (len(known) + 1 if v is None else known.index(v) + 1)
 
 
-def test_global_row_number_is_the_sorted_position(spark):
+def test_global_row_number_is_the_sorted_position(spark, many_slices):
     names = [f"k{random.randint(0, 10 ** 9)}-{i}" for i in range(500)]
     df = spark.createDataFrame([(n,) for n in names], "k string").repartition(9)
+    assert ow._slices(df, F.col("k").asc()).select("_slice").distinct().count() > 1
     got = {r["k"]: r["rn"] for r in ow.global_row_number(df, "rn", F.col("k").asc()).collect()}
     assert got == {k: i for i, k in enumerate(sorted(names), start=1)}
 
