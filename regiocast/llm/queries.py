@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from regiocast.llm.mixing import mix_documents
 from regiocast.llm.quality_rules import clean_documents
+from regiocast.llm.url_filter import judge_urls
 from regiocast.sources.tables import Tables
 
 
@@ -33,21 +35,21 @@ def register(name: str, sql: str | None = None):
 @register("op4_quality_rules", r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
-  list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
 win AS (SELECT doc_id, i, w[i:i+4] AS g FROM w, unnest(range(1, greatest(len(w) - 3, 1))) u(i)),
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n
   FROM win) WHERE n > 1),
 r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
   FROM rep, unnest(range(0, 5)) u(k) GROUP BY doc_id),
-f AS (SELECT doc_id, list_filter(l, x ->
+f AS (SELECT doc_id, list_filter(l, lambda x:
    (regexp_matches(x, '[#*$%&|<>!?=_~^]')
     AND (2 * len(regexp_extract_all(x, '[#*$%&|<>!?=_~^]{2}'))
           >= len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))
       OR 10 * (length(x) - length(translate(x, '#*$%&|<>!?=_~^', ''))) >= 3 * length(x)))
    OR (len(list_filter(regexp_extract_all(x, '[^\x20\x09-\x0D]+'),
-        v -> list_contains(['|', '>', '»', '·', '•'], v))) >= 3
+        lambda v: list_contains(['|', '>', '»', '·', '•'], v))) >= 3
     AND 5 * len(list_filter(regexp_extract_all(x, '[^\x20\x09-\x0D]+'),
-        v -> list_contains(['|', '>', '»', '·', '•'], v)))
+        lambda v: list_contains(['|', '>', '»', '·', '•'], v)))
          >= len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')))
    OR (length(x) <= 300 AND regexp_matches(lower(x), 'licensed under|all rights reserved|copyright ©|terms of use|terms of service|privacy policy|cookie|enable javascript|lorem ipsum|click here|sign in|sign up|subscribe')))
   AS bad FROM w),
@@ -58,7 +60,7 @@ b AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words,
   CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
   CAST(len(l) AS BIGINT) AS n_lines, CAST(len(bad) AS BIGINT) AS n_failed_lines,
   CAST(coalesce(list_sum(list_transform(bad,
-    x -> len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')))), 0) AS BIGINT) AS lost_words
+    lambda x: len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')))), 0) AS BIGINT) AS lost_words
   FROM w LEFT JOIN r USING (doc_id) JOIN f USING (doc_id))
 SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND lost_words <= 0.5 * n_words AS kept
@@ -66,3 +68,79 @@ FROM b""")
 def op4_quality_rules(t: Tables) -> DataFrame:
     """Every document judged by line-first cleaning; the cleaned text itself is left out."""
     return clean_documents(t.documents).drop("clean_text")
+
+
+MIXED = r"""
+z AS (SELECT doc_id, source,
+  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+ FROM documents),
+s1 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM z GROUP BY source),
+s2 AS (SELECT *, 3 * source_size AS cap,
+  (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM s1),
+s3 AS (SELECT *, sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0) AS left_size,
+  sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS left_weight FROM s2
+  WINDOW b AS (ORDER BY cap / weight, source NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s4 AS (SELECT *, cap * left_weight >= left_size * weight AS free FROM s3),
+lev AS (SELECT left_size AS ls, left_weight AS lw FROM s4 WHERE free
+  ORDER BY cap / weight, source NULLS LAST LIMIT 1),
+s5 AS (SELECT source, source_size, CASE WHEN free
+   THEN CAST(ls * weight AS DOUBLE) / CAST(lw AS DOUBLE) ELSE CAST(cap AS DOUBLE) END AS target
+  FROM s4 LEFT JOIN lev ON true),
+s6 AS (SELECT *, CAST(floor(CAST(sum(CAST(floor(target) AS BIGINT)) OVER (ORDER BY source NULLS LAST) AS DOUBLE)
+   / CAST(sum(CAST(floor(target) AS BIGINT)) OVER () AS DOUBLE) * 4294967296) AS BIGINT) AS to_x
+  FROM s5),
+s7 AS (SELECT source, source_size, target,
+   coalesce(lag(to_x) OVER (ORDER BY source NULLS LAST), 0) AS from_x,
+   CASE WHEN lead(1) OVER (ORDER BY source NULLS LAST) IS NULL THEN 4294967296 ELSE to_x END AS to_x
+  FROM s6),
+par AS (SELECT CAST(least(4096, greatest(1, floor(min(target) FILTER (target > 0) / 2000)))
+   AS BIGINT) AS block, CAST(sum(source_size) AS BIGINT) AS total FROM s7),
+pts AS (SELECT i AS slot, (i % 2147483648) * 2654435769 % 4294967296 AS x
+  FROM par, unnest(range((total + block - 1) // block)) u(i)),
+rk AS (SELECT s7.source, (source_size + block - 1) // block AS blocks,
+   row_number() OVER (PARTITION BY s7.source ORDER BY slot) - 1 AS rank
+  FROM pts JOIN s7 ON x >= from_x AND x < to_x, par),
+tm AS (SELECT source, rank % blocks AS block_no, count(*) AS times FROM rk
+  WHERE rank // blocks < 3 GROUP BY ALL),
+sp AS (SELECT doc_id, source, size, CAST(sum(size) OVER (PARTITION BY source
+   ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop
+  FROM z WHERE size > 0),
+cut AS (SELECT sp.*, block, unnest(range((stop - size) // block, (stop - 1) // block + 1)) AS b
+  FROM sp, par),
+tk AS (SELECT cut.doc_id, cut.source, size, stop, CAST(sum(coalesce(times, 0)
+   * (least(stop, (b + 1) * block) - greatest(stop - size, b * block))) AS BIGINT) AS taken
+  FROM cut LEFT JOIN tm ON cut.source IS NOT DISTINCT FROM tm.source AND b = block_no GROUP BY ALL),
+mixed AS (SELECT doc_id, source, size, taken FROM tk
+  UNION ALL SELECT doc_id, source, size, 0 FROM z WHERE size = 0)"""
+
+
+@register("op6_mixing", "WITH" + MIXED + """
+SELECT doc_id, size, source_size, target, taken
+FROM mixed JOIN s7 ON mixed.source IS NOT DISTINCT FROM s7.source""")
+def op6_mixing(t: Tables) -> DataFrame:
+    """Words that a mix of the whole table's size takes from every document."""
+    return mix_documents(t.documents)
+
+
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"),
+         ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+@register("op8_url_filter", r"""
+WITH p AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0
+   THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+   'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM p),
+r(verdict, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+  ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+m AS (SELECT page_id, r.host || r.path AS rule, verdict, row_number() OVER (
+   PARTITION BY page_id ORDER BY length(r.host) + length(r.path) DESC, length(r.host) DESC) AS k
+  FROM u JOIN r ON (u.host = r.host OR ends_with(u.host, '.' || r.host))
+   AND starts_with(u.path, r.path))
+SELECT u.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM u LEFT JOIN m ON u.page_id = m.page_id AND k = 1""")
+def op8_url_filter(t: Tables) -> DataFrame:
+    """Every page's url against five fixed rules."""
+    return judge_urls(t.pages, RULES)
