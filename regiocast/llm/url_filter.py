@@ -145,21 +145,23 @@ def judge_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]],
         F.array().cast(KEYS).alias("keys"))
     all_keys = cut_lineage(listed.select("key").distinct())
 
-    def chosen(value: Column, test) -> Column:
-        """Keys of a url for which ``test(key, value)`` holds."""
-        return F.aggregate(F.array(value), F.lit(None).cast(KEYS), lambda _, v: F.filter(
-            "keys", lambda k: test(k["key"], v)))
+    def chosen(value: Column, test) -> DataFrame:
+        """``keyed`` with the keys of a url for which ``test(key, value)`` holds."""
+        return keyed.select("*", value.alias("filters")).select(
+            "page_id", "host", "path", F.aggregate(
+                F.array("filters"), F.lit(None).cast(KEYS), lambda _, v: F.filter(
+                    "keys", lambda k: test(k["key"], v))).alias("chosen"))
 
     def corpus(level: Level) -> DataFrame:
-        return keyed.select(F.explode(chosen(level.words.scalar(), level.passes))
-                            .alias("k")).select("k.key")
+        return chosen(level.words.scalar(), level.passes).select(
+            F.explode("chosen").alias("k")).select("k.key")
 
     members = Cascade(all_keys, corpus, bits_per_key)
     blocked = Cascade(cut_lineage(listed.where("kind = 'block'").select("key").distinct()),
                       lambda level: all_keys.where(
                           level.passes(F.col("key"), level.words.scalar())), bits_per_key)
-    best = keyed.select("page_id", "host", "path", F.array_max(
-        chosen(members.filters(), members.has))["key"].alias("rule"))
+    best = chosen(members.filters(), members.has).select(
+        "page_id", "host", "path", F.array_max("chosen")["key"].alias("rule"))
     return best.select(
         "page_id", "host", "path", "rule",
         F.when(F.col("rule").isNotNull() & blocked.has(F.col("rule"), blocked.filters()), "block")
