@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from regiocast.llm.mixing import mix_documents
+from regiocast.llm.packing import pack_documents
 from regiocast.llm.quality_rules import clean_documents
 from regiocast.llm.url_filter import judge_urls
 from regiocast.sources.tables import Tables
@@ -144,3 +146,9 @@ FROM u LEFT JOIN m ON u.page_id = m.page_id AND k = 1""")
 def op8_url_filter(t: Tables) -> DataFrame:
     """Every page's url against five fixed rules."""
     return judge_urls(t.pages, RULES)
+
+
+@register("op1_packing")
+def op1_packing(t: Tables) -> DataFrame:
+    """All documents packed into sequences of at most 1024 ids."""
+    return pack_documents(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
