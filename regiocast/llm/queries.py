@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from regiocast.llm.inner_products import top_products
 from regiocast.llm.mixing import mix_documents
 from regiocast.llm.packing import pack_documents
 from regiocast.llm.quality_rules import clean_documents
@@ -152,3 +154,19 @@ def op8_url_filter(t: Tables) -> DataFrame:
 def op1_packing(t: Tables) -> DataFrame:
     """All documents packed into sequences of at most 1024 ids."""
     return pack_documents(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op10_inner_products", """
+WITH v AS (SELECT vec_id, list_transform(embedding,
+   lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL
+   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(
+   list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q, v c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *,
+  row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5""")
+def op10_inner_products(t: Tables) -> DataFrame:
+    """The five highest inner products of every fiftieth vector with all the others."""
+    return top_products(t.embeddings, F.col("vec_id") % 50 == 0)
