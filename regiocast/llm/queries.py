@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from regiocast.llm.inner_products import top_products
 from regiocast.llm.mixing import mix_documents
 from regiocast.llm.packing import pack_documents
+from regiocast.llm.quality_classifier import classify
 from regiocast.llm.quality_rules import clean_documents
 from regiocast.llm.url_filter import judge_urls
 from regiocast.sources.tables import Tables
@@ -170,3 +171,9 @@ WHERE rank <= 5""")
 def op10_inner_products(t: Tables) -> DataFrame:
     """The five highest inner products of every fiftieth vector with all the others."""
     return top_products(t.embeddings, F.col("vec_id") % 50 == 0)
+
+
+@register("op5_quality_classifier")
+def op5_quality_classifier(t: Tables) -> DataFrame:
+    """Every document's probability of being good, by compression."""
+    return classify(t.documents, t.labels)
