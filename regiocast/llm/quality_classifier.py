@@ -71,7 +71,7 @@ def design(x: np.ndarray) -> np.ndarray:
     return np.column_stack([x, x[:, 0] * x[:, 2], x[:, 1] * x[:, 2], np.ones(len(x))])
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 30) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.2, rounds: int = 30) -> np.ndarray:
     """Ridge logistic regression by Newton steps; the constant is not shrunk."""
     w = np.zeros(x.shape[1])
     shrink = np.diag([ridge] * (x.shape[1] - 1) + [1e-9])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from regiocast.llm.inner_products import top_products
 from regiocast.llm.mixing import mix_documents
+from regiocast.llm.ngram_join import near_duplicates
 from regiocast.llm.packing import pack_documents
 from regiocast.llm.quality_classifier import classify
 from regiocast.llm.quality_rules import clean_documents
@@ -177,3 +178,9 @@ def op10_inner_products(t: Tables) -> DataFrame:
 def op5_quality_classifier(t: Tables) -> DataFrame:
     """Every document's probability of being good, by compression."""
     return classify(t.documents, t.labels)
+
+
+@register("op3_ngram_jaccard_join")
+def op3_ngram_jaccard_join(t: Tables) -> DataFrame:
+    """Components of all documents that share four fifths of their five-word shingles."""
+    return near_duplicates(t.documents)
