@@ -87,19 +87,21 @@ def line_fails(line: Column) -> Column:
             | ((F.length(line) <= 300) & stock))
 
 
-def clean_documents(docs: DataFrame, max_lost: float = 0.5) -> DataFrame:
+def clean_documents(docs: DataFrame, max_lost: float = 0.5, carry: bool = False) -> DataFrame:
     """Per row of ``docs (doc_id, text)``: base figures, line figures, verdict, cleaned text.
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     n_lines and n_failed_lines (lines with words), lost_words, kept, clean_text (the lines that
-    passed, in order; null text gives null).
+    passed, in order; null text gives null), and with ``carry`` the whole input row as ``row``.
     """
-    body = docs.select("doc_id", F.col("text"),
+    row = [F.struct("*").alias("row")] if carry else []
+    kept = ["row"] if carry else []
+    body = docs.select("doc_id", F.col("text"), *row,
                        F.coalesce(F.col("text"), F.lit("")).alias("body"))
-    split = body.select("doc_id", "text", "body", words(F.col("body")).alias("w"),
+    split = body.select("doc_id", "text", "body", *kept, words(F.col("body")).alias("w"),
                         F.split("body", "\n").alias("lines"))
     # line and verdict stand in one struct: a lambda never looks into another array
-    judged = split.select("doc_id", "text", "body", "w", window_hashes(F.col("w")).alias("h"),
+    judged = split.select("doc_id", "text", "body", "w", *kept, window_hashes(F.col("w")).alias("h"),
                           F.filter("lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
                           .alias("full"),
                           F.transform("lines", lambda x: F.struct(
@@ -108,7 +110,7 @@ def clean_documents(docs: DataFrame, max_lost: float = 0.5) -> DataFrame:
         "*", F.filter("marked", lambda x: x["fails"]).alias("failed"),
         F.filter("marked", lambda x: ~x["fails"]).alias("passed"))
     figures = cut.select(
-        "doc_id", "text", "passed",
+        "doc_id", "text", "passed", *kept,
         F.size("w").cast("bigint").alias("n_words"),
         F.length(F.translate("body", SPACE, "")).cast("bigint").alias("word_chars"),
         (F.length("body") - F.length(F.translate("body", BASE_SYMBOLS, ""))).cast("bigint")
@@ -122,7 +124,7 @@ def clean_documents(docs: DataFrame, max_lost: float = 0.5) -> DataFrame:
     base_failed = ((F.col("n_words") < 10)
                    | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     return figures.withColumn("base_failed", base_failed).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        *kept, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "n_lines", "n_failed_lines", "lost_words",
         (~F.col("base_failed") & (F.col("lost_words") <= max_lost * F.col("n_words")))
         .alias("kept"),

@@ -15,6 +15,7 @@ from regiocast.llm.ngram_join import near_duplicates
 from regiocast.llm.packing import pack_documents
 from regiocast.llm.quality_classifier import classify
 from regiocast.llm.quality_rules import clean_documents
+from regiocast.llm.token_counts import token_counts
 from regiocast.llm.url_filter import judge_urls
 from regiocast.sources.tables import Tables
 
@@ -184,3 +185,9 @@ def op5_quality_classifier(t: Tables) -> DataFrame:
 def op3_ngram_jaccard_join(t: Tables) -> DataFrame:
     """Components of all documents that share four fifths of their five-word shingles."""
     return near_duplicates(t.documents)
+
+
+@register("op2_token_counts")
+def op2_token_counts(t: Tables) -> DataFrame:
+    """Tokens of every line of every document, counted on the whole documents' ids."""
+    return token_counts(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
