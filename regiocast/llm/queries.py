@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiocast.llm.inner_products import top_products
+from regiocast.llm.lm_scoring import score_documents
 from regiocast.llm.mixing import mix_documents
 from regiocast.llm.ngram_join import near_duplicates
 from regiocast.llm.packing import pack_documents
@@ -191,3 +192,9 @@ def op3_ngram_jaccard_join(t: Tables) -> DataFrame:
 def op2_token_counts(t: Tables) -> DataFrame:
     """Tokens of every line of every document, counted on the whole documents' ids."""
     return token_counts(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op9_lm_scoring")
+def op9_lm_scoring(t: Tables) -> DataFrame:
+    """Every document under an attention model and a word unigram model."""
+    return score_documents(t.documents, public_tokenizers.path("word_bpe_49k.json"))
