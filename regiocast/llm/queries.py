@@ -17,7 +17,9 @@ from regiocast.llm.packing import pack_documents
 from regiocast.llm.quality_classifier import classify
 from regiocast.llm.quality_rules import clean_documents
 from regiocast.llm.token_counts import token_counts
+from regiocast.llm.token_files import read_ids, write_ids
 from regiocast.llm.url_filter import judge_urls
+from regiocast.session import scratch_path
 from regiocast.sources.tables import Tables
 
 
@@ -198,3 +200,11 @@ def op2_token_counts(t: Tables) -> DataFrame:
 def op9_lm_scoring(t: Tables) -> DataFrame:
     """Every document under an attention model and a word unigram model."""
     return score_documents(t.documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op7_token_files")
+def op7_token_files(t: Tables) -> DataFrame:
+    """All documents' ids written to coded files in doc_id order and read back from them."""
+    path = scratch_path(t.spark, "token-files")
+    write_ids(t.documents, path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_ids(t.spark, path)
