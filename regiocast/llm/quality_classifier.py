@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiocast.llm.text import fold
+from regiocast.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -95,19 +96,25 @@ def build_dictionary(texts: list[str], piece: int, size: int) -> bytes:
         return b"".join(samples)[:size]
 
 
-def sample_rows(labelled: DataFrame, quality: int, max_docs: int, max_bytes: int) -> list[str]:
-    """Texts of at most ``max_docs`` rows and ``max_bytes``, in order of the MD5 of their ids."""
-    one = labelled.where(F.col("quality") == quality)
-    order = F.md5(F.col("doc_id").cast("string").cast("binary"))
-    heads = one.select(order.alias("h"), F.octet_length("text").alias("n")).orderBy(
-        "h", "n").limit(max_docs).collect()
-    fits = np.cumsum([h.n for h in heads]) <= max_bytes
-    if not fits.any():
+def sample_texts(docs: DataFrame, labelled: DataFrame, quality: int, max_docs: int,
+                 max_bytes: int) -> list[str]:
+    """Texts of at most ``max_docs`` rows and ``max_bytes``, in order of the MD5 of their ids.
+
+    Chosen among (doc_id, quality, h, n) without the texts; only the chosen ids, a bounded list,
+    are broadcast to fetch those.
+    """
+    heads = labelled.where(F.col("quality") == quality).orderBy("h", "n").limit(
+        max_docs).collect()
+    fits = [r for r, total in zip(heads, np.cumsum([r.n for r in heads])) if total <= max_bytes]
+    if not fits:
         return []
-    last = heads[int(np.flatnonzero(fits)[-1])].h
-    rows = one.select(order.alias("h"), "text").where(F.col("h") <= last).orderBy(
-        "h", "text").limit(int(fits.sum())).collect()
-    return [r.text for r in rows]
+    ids = docs.sparkSession.createDataFrame(
+        [(r.doc_id,) for r in fits], docs.select("doc_id").schema).distinct()
+    rows = docs.select("doc_id", "text").where(F.octet_length("text") > 0).join(
+        F.broadcast(ids), "doc_id").select(
+        F.md5(F.col("doc_id").cast("string").cast("binary")).alias("h"), "text")
+    return [r.text for r in rows.orderBy("h", F.octet_length("text"), "text").limit(
+        len(fits)).collect()]
 
 
 def learn(docs: DataFrame, labels: DataFrame, trainable: Column, max_docs: int = 3000,
@@ -115,10 +122,12 @@ def learn(docs: DataFrame, labels: DataFrame, trainable: Column, max_docs: int =
           level: int = 3) -> Model:
     """Model from ``docs (doc_id, text)`` and ``labels (doc_id, quality)``; ``trainable`` is a
     condition on doc_id."""
-    labelled = docs.select("doc_id", "text").where(F.octet_length("text") > 0).join(
+    sizes = docs.select("doc_id", F.octet_length("text").alias("n")).where(F.col("n") > 0)
+    labelled = cut_lineage(sizes.join(
         labels.select("doc_id", "quality").where(trainable & F.col("quality").isin(0, 1))
-        .distinct(), "doc_id")
-    good, bad = (sample_rows(labelled, q, max_docs, max_bytes) for q in (1, 0))
+        .distinct(), "doc_id").select(
+        "doc_id", "quality", F.md5(F.col("doc_id").cast("string").cast("binary")).alias("h"), "n"))
+    good, bad = (sample_texts(docs, labelled, q, max_docs, max_bytes) for q in (1, 0))
     if len(good) < 2 or len(bad) < 2:
         share = len(good) / (len(good) + len(bad)) if good or bad else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
