@@ -43,6 +43,7 @@ from regiocast.llm.shingles import mix, shingle_sets
 from regiocast.session import cut_lineage
 
 SKETCH = 64  # cells of the histogram
+BROADCAST_PAIRS = 500_000  # up to here the ids of all pairs are small enough to broadcast
 _SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], dtype=np.uint64)
 
 
@@ -218,6 +219,10 @@ def verified(pairs: DataFrame, docs: DataFrame, share: tuple[int, int]) -> DataF
                 known = {a[-1]: known[a[-1]]}
 
     texts = docs.select("doc_id", "text")
+    wanted = pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id")).distinct()
+    if pairs.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS:
+        # at most twice as many ids: texts that no pair asks for are dropped before the shuffle
+        texts = texts.join(F.broadcast(wanted), "doc_id", "left_semi")
     left = pairs.join(texts.withColumnsRenamed({"doc_id": "doc_b", "text": "text_b"}), "doc_b")
     full = left.join(texts.withColumnsRenamed({"doc_id": "doc_a", "text": "text_a"}), "doc_a")
     return full.select("a", "b", "text_a", "text_b").mapInArrow(
@@ -244,7 +249,10 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = (4, 5)) -> DataFra
 
     def links(pairs: DataFrame) -> DataFrame:
         known = may_link(pairs.join(side("a"), "a").join(side("b"), "b"), share)
-        return cut_lineage(verified(known.select("a", "b", "doc_a", "doc_b"), docs, share))
+        near = cut_lineage(known.select("a", "b", "doc_a", "doc_b"))
+        if near.isEmpty():
+            return near.select("a", "b")
+        return cut_lineage(verified(near, docs, share))
 
     first = links(found.select("a", "b").distinct())
     roots = components(first)
