@@ -11,6 +11,10 @@ from regiocast.session import cut_lineage
 BUDGET = 50000000.0
 
 
+def complete(t):
+    return fc.complete_through(t.orders, "o_orderdate")
+
+
 def result(t):
     return fc.forecast(training(t))
 
@@ -65,7 +69,7 @@ def scenarios(t):
   {rounded("forecast * (pct / 100) * 0.001::DOUBLE", 0)} AS expected_contracts
  FROM (SELECT n_name AS region, unnest(['even','graded']) AS scenario,
    unnest([4.0::DOUBLE, (n_nationkey % 3 * 2 + 2)::DOUBLE]) AS pct FROM nation)
- JOIN mean_forecast USING (region)"""))
+ LEFT JOIN mean_forecast USING (region)"""))
 def scenario_projection(t):
     return decide.scenario_projection(scenarios(t), result(t), BUDGET)
 
@@ -163,13 +167,14 @@ def share_of_all_regions(t):
     return semantic.share_all(result(t))
 
 
-@register("why_one_region_leads", "V3 B1 B5", sql("mart2", f"""
+@register("why_one_region_leads", "V3 B1 B5", sql("current2", f"""
  SELECT region, {rounded("total_sales / 10000", 1)} AS sales_10k, total_pop,
   {rounded("sales_per_pop", 0)} AS sales_per_pop, visit_pop,
   {rounded("tourism_demand_idx", 1)} AS tourism_demand_idx
- FROM mart2 WHERE ym = (SELECT max(ym) FROM mart2) AND region IN ('NATION_5','NATION_8','NATION_13')"""))
+ FROM current2 WHERE region IN ('NATION_5','NATION_8','NATION_13')"""))
 def why_one_region_leads(t):
-    return semantic.why_higher(mart.extended_mart(t), ["NATION_5", "NATION_8", "NATION_13"])
+    return semantic.why_higher(mart.extended_mart(t), ["NATION_5", "NATION_8", "NATION_13"],
+                               complete(t))
 
 
 @register("sales_per_business_day", "V4 B6", sql("current2", f"""
@@ -177,7 +182,7 @@ def why_one_region_leads(t):
   {rounded("total_sales / nullif(business_days, 0) / 10000", 2)} AS daily_sales_10k
  FROM current2"""))
 def sales_per_business_day(t):
-    return semantic.sales_per_business_day(mart.extended_mart(t))
+    return semantic.sales_per_business_day(mart.extended_mart(t), complete(t))
 
 
 @register("sales_trend", "V6 B4", sql("mart1", f"""
@@ -189,21 +194,21 @@ def sales_trend(t):
     return semantic.sales_trend(mart.base_mart(t))
 
 
-@register("net_migration", "V7 B8", sql("mart1", """
+@register("net_migration", "V7 B8", sql("mart1 complete", """
  SELECT region, net_move, move_in, move_out,
   CASE WHEN net_move > 0 THEN 'inflow lead' ELSE 'outflow lead' END AS verdict
- FROM mart1 WHERE ym = (SELECT max(ym) FROM mart1)"""))
+ FROM mart1 WHERE ym = (SELECT max(ym) FROM mart1 WHERE ym <= (SELECT ym FROM complete))"""))
 def net_migration(t):
-    return semantic.net_migration(mart.base_mart(t))
+    return semantic.net_migration(mart.base_mart(t), complete(t))
 
 
-@register("price_comparison", "V8 B11", sql("mart1", f"""
+@register("price_comparison", "V8 B11", sql("mart1 complete", f"""
  SELECT region, {rounded("avg_price_per_unit", 0)} AS price_per_unit,
   {rounded("avg_meme_price", 1)} AS sale_price,
   {rounded("price_to_asset_ratio", 2)} AS price_to_asset
- FROM mart1 WHERE ym = (SELECT max(ym) FROM mart1)"""))
+ FROM mart1 WHERE ym = (SELECT max(ym) FROM mart1 WHERE ym <= (SELECT ym FROM complete))"""))
 def price_comparison(t):
-    return semantic.price_comparison(mart.base_mart(t))
+    return semantic.price_comparison(mart.base_mart(t), complete(t))
 
 
 @register("youth_and_sales", "V9", sql("current2", f"""
@@ -211,7 +216,7 @@ def price_comparison(t):
   {rounded("total_sales / 10000", 1)} AS sales_10k,
   {rounded("economy_sales / 10000", 2)} AS economy_10k FROM current2"""))
 def youth_and_sales(t):
-    return semantic.youth_and_sales(mart.extended_mart(t))
+    return semantic.youth_and_sales(mart.extended_mart(t), complete(t))
 
 
 @register("region_interval", "V10 F15", sql("forecast", f"""

@@ -102,4 +102,4 @@ def age_band_shares(t):
 def strict_month_change(t):
     """Change against the calendar month before, NULL across a gap."""
     return mart.add_strict_changes(
-        staging.stage_card_sales(t).select("ym", "region", "total_sales"), "total_sales")
+        staging.stage_totals(t).select("ym", "region", "total_sales"), "total_sales")

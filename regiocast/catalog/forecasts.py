@@ -11,7 +11,8 @@ from regiocast.session import cut_lineage
 
 
 def training(t):
-    return fc.training_frame(staging.stage_card_sales(t))
+    return fc.training_frame(staging.stage_totals(t),
+                             through=fc.complete_through(t.orders, "o_orderdate"))
 
 
 def ladder(t):

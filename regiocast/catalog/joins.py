@@ -36,7 +36,7 @@ def spine_left_join(t):
     key = mart.KEY
     return mart.left_join_all(
         staging.stage_population(t).select(*key, "total_pop"),
-        [(staging.stage_card_sales(t).select(*key, "total_sales"), key),
+        [(staging.stage_totals(t).select(*key, "total_sales"), key),
          (staging.stage_assets(t).select(*key, "customers", "avg_asset"), key),
          (staging.stage_prices(t).select(*key, "avg_meme_price"), key)])
 
@@ -63,17 +63,21 @@ def dense_spine(t):
 
 
 @register("last_known_slice", "C6", sql("act_orders months", """
- SELECT m.ym, l.region, l.customers AS last_customers FROM months m
- JOIN (SELECT region, arg_max(customers, ym) AS customers FROM act_orders GROUP BY 1) l ON true
- WHERE m.ym >= '200101'"""))
+ SELECT m.ym, n_name AS region, l.customers AS last_customers FROM months m
+ CROSS JOIN (SELECT DISTINCT n_name FROM nation)
+ LEFT JOIN (SELECT region, arg_max(customers, ym) AS customers FROM act_orders GROUP BY 1) l
+  ON l.region = n_name
+ WHERE m.i >= (SELECT max(i) FROM months) - 7"""))
 def last_known_slice(t):
-    """Latest values per region attached to the recent months of the spine."""
+    """Latest values per region attached to the last eight months of the spine; a region without
+    facts keeps its rows."""
     a = staging.customer_activity(t, with_lines=False)
     last = latest_per_key(a.select("region", "ym", "customers"), ["region"], "ym").select(
         "region", F.col("customers").alias("last_customers"))
     regions = t.nation.select(F.col("n_name").alias("region")).distinct()
-    spine = dense_months(regions, t.orders, "o_orderdate").filter(F.col("ym") >= "200101")
-    return spine.join(last, "region").select("ym", "region", "last_customers")
+    spine = dense_months(regions, t.orders, "o_orderdate")
+    newest = t.orders.agg(F.date_format(F.add_months(F.max("o_orderdate"), -7), "yyyyMM")).scalar()
+    return spine.filter(F.col("ym") >= newest).join(last, "region", "left").select("ym", "region", "last_customers")
 
 
 @register("overlay_full_outer", "C8 F13 G9", sql("act_orders sup_activity", """

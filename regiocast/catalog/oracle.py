@@ -264,9 +264,12 @@ part("mart3", "mart2 telecom", """
  FROM mart2 f LEFT JOIN telecom USING (ym, region)""")
 
 # ---------------------------------------------------------------- forecasts
-part("train", "card_sales", """
+part("complete", "", """
+ SELECT strftime(CASE WHEN d = last_day(d) THEN d ELSE d - INTERVAL 1 MONTH END, '%Y%m') AS ym
+ FROM (SELECT max(o_orderdate)::DATE AS d FROM orders)""")
+part("train", "card_sales complete", """
  SELECT region AS series, strptime(ym || '01','%Y%m%d')::DATE AS ds, total_sales AS y
- FROM card_sales WHERE total_sales > 0""")
+ FROM card_sales WHERE total_sales > 0 AND ym <= (SELECT ym FROM complete)""")
 
 
 def exact(expr: str) -> str:
@@ -314,7 +317,7 @@ part("forecast", "fitted fitted_m", f"""
    THEN ({exact("m.sy")} - slope * CAST(m.st AS DOUBLE)) / m.n + slope * t
    ELSE level + trend_slope * t END AS forecast
   FROM (SELECT *, ((year(ts) - 1970) * 12 + month(ts) - 1)::DOUBLE AS t FROM (
-    SELECT *, (last_ds + to_months(CAST(h AS INTEGER)))::DATE AS ts
+    SELECT *, ((SELECT max(last_ds) FROM fitted) + to_months(CAST(h AS INTEGER)))::DATE AS ts
     FROM fitted, generate_series(1, 3) g(h))) f
   LEFT JOIN fitted_m m ON m.series = f.series AND m.mm = month(f.ts))""")
 
@@ -411,9 +414,9 @@ part("importance", "corr_sums", """
 part("next_month", "forecast", """
  SELECT series, ts, forecast, lower_bound, upper_bound, forecast / total AS share,
   forecast / total * 100 AS share_pct
- FROM (SELECT * FROM forecast WHERE ts = (SELECT min(ts) FROM forecast)) f,
+ FROM (SELECT * FROM forecast WHERE ts = (SELECT max(last_ds) FROM fitted) + INTERVAL 1 MONTH) f,
   (SELECT CAST(sum(CAST(forecast AS DECIMAL(28,4))) AS DOUBLE) AS total FROM forecast
-   WHERE ts = (SELECT min(ts) FROM forecast))""")
+   WHERE ts = (SELECT max(last_ds) FROM fitted) + INTERVAL 1 MONTH)""")
 part("mean_forecast", "forecast", """
  SELECT series AS region, CAST(sum(CAST(forecast AS DECIMAL(28,4))) AS DOUBLE) / count(forecast)
   AS forecast FROM forecast GROUP BY 1""")
@@ -427,4 +430,5 @@ part("newest1", "mart1", """
  SELECT * FROM mart1 QUALIFY row_number() OVER (PARTITION BY region ORDER BY ym DESC) = 1""")
 part("newest3", "mart3", """
  SELECT * FROM mart3 QUALIFY row_number() OVER (PARTITION BY region ORDER BY ym DESC) = 1""")
-part("current2", "mart2", "SELECT * FROM mart2 WHERE ym = (SELECT max(ym) FROM mart2)")
+part("current2", "mart2 complete", "SELECT * FROM mart2 WHERE ym = (SELECT max(ym) FROM mart2"
+     " WHERE ym <= (SELECT ym FROM complete))")

@@ -6,8 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+PRUNED_BY_SPARK = 1000  # default of spark.sql.optimizer.windowGroupLimitThreshold
+SLICES = 64
+
+
 def top_k_per_group(df: DataFrame, keys: list[str], k: int, *order: Column) -> DataFrame:
-    """First k rows per key; each task keeps at most k rows of a key before the shuffle."""
+    """First k rows per key, for any k; before a key's rows meet, they are cut to k in each of
+    ``SLICES`` slices of it, and below a threshold of Spark's also in each task."""
+    if k > PRUNED_BY_SPARK:
+        sliced = Window.partitionBy(*keys, "_slice").orderBy(*order)
+        df = (df.withColumn("_slice", F.spark_partition_id() % SLICES)
+              .withColumn("_rn", F.row_number().over(sliced))
+              .filter(F.col("_rn") <= k).drop("_rn", "_slice"))
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 

@@ -13,13 +13,16 @@ from regiocast.session import cut_lineage
 
 
 def next_month_share(forecast: DataFrame) -> DataFrame:
-    """Share (0-1) and share_pct (0-100) of each series in the first forecast month.
+    """Share (0-1) and share_pct (0-100) of each series in the first month ahead of the panel.
+
+    Forecasts start behind the panel's last month for every series alike, so the first month
+    holds all of them; of a frame made otherwise, the first month that all series reach is taken.
 
     The forecast is needed three times (first month, total, rows) and is small, so it is
     written once instead of running the pipeline below it again.
     """
     forecast = cut_lineage(forecast)
-    first = forecast.agg(F.min("ts")).scalar()
+    first = forecast.groupBy("series").agg(F.min("ts").alias("ts")).agg(F.max("ts")).scalar()
     month = forecast.filter(F.col("ts") == first)
     shared = share_of_total(month, "forecast", "share")
     return shared.withColumns({
@@ -70,9 +73,12 @@ def channel_split(mart: DataFrame, budget: float,
 
 def scenario_projection(scenarios: DataFrame, forecast: DataFrame, budget: float,
                         rate: float = fixed.CONVERSION_RATE) -> DataFrame:
-    """Budget and expected contracts for many scenarios (scenario, region, pct) at once."""
+    """Budget and expected contracts for many scenarios (scenario, region, pct) at once.
+
+    A region without a forecast keeps its budget; its expected contracts are unknown (null).
+    """
     f = horizon_average(forecast)
-    return scenarios.join(f, "region").select(
+    return scenarios.join(f, "region", "left").select(
         "scenario", "region", "pct", F.col("forecast").alias("forecast_demand"),
         round_half_up(F.col("pct") / 100.0 * budget, 0).alias("budget"),
         round_half_up(F.col("forecast") * (F.col("pct") / 100.0) * rate, 0)

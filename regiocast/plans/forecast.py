@@ -16,6 +16,7 @@ from regiocast.functions.exact import exact_double
 from regiocast.operators.reshape import append
 from regiocast.operators.spine import horizon as add_horizon
 from regiocast.plans import fixed
+from regiocast.session import cut_lineage
 
 EPOCH_MONTH = 1970 * 12
 
@@ -25,9 +26,22 @@ def time_index(ds: str | Column) -> Column:
     return F.year(ds) * 12 + F.month(ds) - 1 - EPOCH_MONTH
 
 
+def complete_through(dates: DataFrame, date: str) -> Column:
+    """Last month (yyyyMM) whose last day is covered by the facts, as a scalar of a plan."""
+    newest = dates.agg(F.max(F.col(date).cast("date")).alias("d"))
+    return newest.select(F.date_format(
+        F.when(F.col("d") == F.last_day("d"), F.col("d")).otherwise(F.add_months("d", -1)),
+        "yyyyMM").alias("ym")).scalar()
+
+
 def training_frame(mart: DataFrame, series: str = "region", y: str = "total_sales",
-                   exog: list[str] | None = None) -> DataFrame:
-    """(series, ds, y, exogenous...) with a positive, known target."""
+                   exog: list[str] | None = None, through: Column | None = None) -> DataFrame:
+    """(series, ds, y, exogenous...) with a positive, known target.
+
+    Months after ``through``, of which only some days are known yet, take no part.
+    """
+    if through is not None:
+        mart = mart.filter(F.col("ym") <= through)
     return (mart.filter(F.col(y).isNotNull() & (F.col(y) > 0))
             .select(F.col(series).alias("series"), first_day("ym").alias("ds"),
                     F.col(y).cast("double").alias("y"), *(exog or [])))
@@ -106,8 +120,14 @@ def interval(df: DataFrame, value: str = "forecast", sigma: str = "sigma") -> Da
 
 
 def forecast(train: DataFrame, periods: int = fixed.HORIZON) -> DataFrame:
-    """(series, ts, forecast, lower_bound, upper_bound) for the months after each series."""
-    ahead = add_horizon(fit(train, ["series"]), "last_ds", periods, out="ts")
+    """(series, ts, forecast, lower_bound, upper_bound) for the months after the panel's last.
+
+    All series are forecast for the same months: one that ended earlier than others is carried
+    on to them, so that shares of a month are shares of every series.
+    """
+    fitted = cut_lineage(fit(train, ["series"]))  # a row per series
+    as_of = fitted.agg(F.max("last_ds")).scalar()
+    ahead = add_horizon(fitted.withColumn("last_ds", as_of), "last_ds", periods, out="ts")
     return interval(ahead.withColumn("forecast", predict("ts"))).select(
         "series", "ts", "forecast", "lower_bound", "upper_bound")
 

@@ -107,9 +107,10 @@ def run_metrics(frames: dict[str, DataFrame], metrics: list[str], by: list[str],
 SCALE = 10000.0
 
 
-def _newest(mart: DataFrame) -> DataFrame:
-    """Rows of the newest month; the mart is read twice, so it is written once first."""
-    mart = cut_lineage(mart)
+def _newest(mart: DataFrame, through: Column | None) -> DataFrame:
+    """Rows of the newest month up to ``through``, the last complete one; of the newest at all
+    where that is not given. The mart is read twice, so it is written once first."""
+    mart = cut_lineage(mart if through is None else mart.filter(F.col("ym") <= through))
     return mart.filter(F.col("ym") == mart.agg(F.max("ym")).scalar())
 
 
@@ -127,16 +128,17 @@ def top_region(forecast: DataFrame) -> DataFrame:
                        round_half_up("share_pct", 1).alias("share_pct"))
 
 
-def why_higher(mart: DataFrame, regions: list[str]) -> DataFrame:
-    return _newest(mart).filter(F.col("region").isin(regions)).select(
+def why_higher(mart: DataFrame, regions: list[str],
+               through: Column | None = None) -> DataFrame:
+    return _newest(mart, through).filter(F.col("region").isin(regions)).select(
         "region", round_half_up(F.col("total_sales") / SCALE, 1).alias("sales_10k"),
         "total_pop", round_half_up("sales_per_pop", 0).alias("sales_per_pop"), "visit_pop",
         round_half_up("tourism_demand_idx", 1).alias("tourism_demand_idx"))
 
 
-def sales_per_business_day(mart: DataFrame) -> DataFrame:
+def sales_per_business_day(mart: DataFrame, through: Column | None = None) -> DataFrame:
     daily = F.when(F.col("business_days") > 0, F.col("total_sales") / F.col("business_days"))
-    return _newest(mart).select(
+    return _newest(mart, through).select(
         "region", round_half_up(F.col("total_sales") / SCALE, 1).alias("sales_10k"),
         "holiday_days", "business_days", round_half_up(daily / SCALE, 2).alias("daily_sales_10k"))
 
@@ -150,21 +152,21 @@ def sales_trend(mart: DataFrame, n_months: int = 3) -> DataFrame:
         round_half_up("sales_chg_pct", 1).alias("change_pct"))
 
 
-def net_migration(mart: DataFrame) -> DataFrame:
-    return _newest(mart).select(
+def net_migration(mart: DataFrame, through: Column | None = None) -> DataFrame:
+    return _newest(mart, through).select(
         "region", "net_move", "move_in", "move_out",
         F.when(F.col("net_move") > 0, "inflow lead").otherwise("outflow lead").alias("verdict"))
 
 
-def price_comparison(mart: DataFrame) -> DataFrame:
-    return _newest(mart).select(
+def price_comparison(mart: DataFrame, through: Column | None = None) -> DataFrame:
+    return _newest(mart, through).select(
         "region", round_half_up("avg_price_per_unit", 0).alias("price_per_unit"),
         round_half_up("avg_meme_price", 1).alias("sale_price"),
         round_half_up("price_to_asset_ratio", 2).alias("price_to_asset"))
 
 
-def youth_and_sales(mart: DataFrame) -> DataFrame:
-    return _newest(mart).select(
+def youth_and_sales(mart: DataFrame, through: Column | None = None) -> DataFrame:
+    return _newest(mart, through).select(
         "region", round_half_up(F.col("age_20_39_share") * 100.0, 1).alias("young_pct"),
         round_half_up(F.col("total_sales") / SCALE, 1).alias("sales_10k"),
         round_half_up(F.col("economy_sales") / SCALE, 2).alias("economy_10k"))

@@ -33,27 +33,31 @@ def _when_sum(condition, value):
     return F.sum(F.when(condition, value).otherwise(F.lit(0).cast("bigint")))
 
 
-def order_lines(t: Tables) -> DataFrame:
-    """One row per order: line count, quantities by return flag, net sales by category."""
+def order_lines(t: Tables, categories: bool = True) -> DataFrame:
+    """One row per order: line count, quantities by return flag, net sales, and with
+    ``categories`` net sales by category, which alone need the parts. A line whose part is
+    unknown counts in no category."""
     lines = t.lineitem.select(
         "l_orderkey", "l_partkey", "l_returnflag",
         hundredths("l_quantity").alias("qty"),
         (hundredths("l_extendedprice") * (F.lit(100) - hundredths("l_discount"))).alias("net"))
+    sums = [F.count(F.lit(1)).alias("lines"), F.sum("qty").alias("qty"),
+            *[_when_sum(F.col("l_returnflag") == flag, F.col("qty")).alias(name)
+              for name, flag in POPULATION.items()],
+            F.sum("net").alias("net")]
+    if not categories:
+        return lines.groupBy("l_orderkey").agg(*sums)
     parts = t.part.select("p_partkey", "p_type")
     return (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
         .groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("lines"),
-             F.sum("qty").alias("qty"),
-             *[_when_sum(F.col("l_returnflag") == flag, F.col("qty")).alias(name)
-               for name, flag in POPULATION.items()],
-             F.sum("net").alias("net"),
+        .agg(*sums,
              *[_when_sum(F.col("p_type") == c.upper(), F.col("net")).alias(c)
                for c in CATEGORIES])
     )
 
 
-def customer_months(t: Tables, with_lines: bool = True) -> DataFrame:
+def customer_months(t: Tables, with_lines: bool = True, categories: bool = True) -> DataFrame:
     """One row per (customer, month) with everything its orders add up to."""
     orders = t.orders.select(
         "o_orderkey", "o_custkey", month_no("o_orderdate").alias("m"),
@@ -64,9 +68,11 @@ def customer_months(t: Tables, with_lines: bool = True) -> DataFrame:
                 *[F.count(F.when(F.col("o_orderpriority") == p, 1)).alias(name)
                   for name, p in PRIORITIES.items()]]
     if with_lines:
-        orders = orders.join(order_lines(t), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        orders = orders.join(order_lines(t, categories),
+                             F.col("o_orderkey") == F.col("l_orderkey"), "left")
         measures += [F.sum(c).alias(c)
-                     for c in ["lines", "qty", *POPULATION, "net", *CATEGORIES]]
+                     for c in ["lines", "qty", *POPULATION, "net",
+                               *(CATEGORIES if categories else [])]]
     return orders.groupBy("o_custkey", "m").agg(*measures)
 
 
@@ -83,16 +89,18 @@ def by_region(t: Tables, by_code: DataFrame, counts: list[str],
     )
 
 
-def customer_activity(t: Tables, with_lines: bool = True) -> DataFrame:
+def customer_activity(t: Tables, with_lines: bool = True, categories: bool = True) -> DataFrame:
     """(month, customer region) frame behind population, sales, asset, demographic and
-    telecom staging: one pass over the facts for all of them."""
+    telecom staging: one pass over the facts for all of them. Without ``categories`` the
+    parts are not read."""
+    split = CATEGORIES if categories else []
     customers = t.customer.select(
         "c_custkey", "c_nationkey", hundredths("c_acctbal").alias("balance"), "c_mktsegment")
     sums = ["orders", "total", "rental_total", *PRIORITIES]
     if with_lines:
-        sums += ["lines", "qty", *POPULATION, "net", *CATEGORIES]
+        sums += ["lines", "qty", *POPULATION, "net", *split]
     by_code = (
-        customer_months(t, with_lines)
+        customer_months(t, with_lines, categories)
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("m", F.col("c_nationkey").alias("code"))
         .agg(F.count(F.lit(1)).alias("customers"),
@@ -112,7 +120,7 @@ def customer_activity(t: Tables, with_lines: bool = True) -> DataFrame:
             *[units_to_double(c, 2).alias(c) for c in POPULATION],
             units_to_double("qty", 2).alias("total_pop"),
             units_to_double("net", 4).alias("total_sales"),
-            *[units_to_double(c, 4).alias(f"{c}_sales") for c in CATEGORIES],
+            *[units_to_double(c, 4).alias(f"{c}_sales") for c in split],
             F.col("lines").cast("bigint").alias("total_tx_count")]
     out += [
         "customers",
@@ -133,7 +141,7 @@ def supplier_months(t: Tables) -> DataFrame:
         hundredths("l_extendedprice").alias("price"))
     parts = t.part.select("p_partkey", hundredths("p_retailprice").alias("retail"))
     return (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
         .groupBy("l_suppkey", "m")
         .agg(F.count(F.lit(1)).alias("lines"), F.sum("qty").alias("qty"),
              F.sum("price").alias("price"), F.sum("retail").alias("retail"))
@@ -214,7 +222,7 @@ def shares(a: DataFrame) -> DataFrame:
 
 
 def stage_population(t: Tables) -> DataFrame:
-    a = customer_activity(t).filter(F.col("total_tx_count").isNotNull())
+    a = customer_activity(t, categories=False).filter(F.col("total_tx_count").isNotNull())
     return a.select("ym", "region", *POPULATION, "total_pop")
 
 
@@ -224,6 +232,12 @@ def stage_card_sales(t: Tables) -> DataFrame:
                     "total_tx_count")
 
 
+def stage_totals(t: Tables) -> DataFrame:
+    """Total sales alone, without a look at the parts."""
+    a = customer_activity(t, categories=False).filter(F.col("total_tx_count").isNotNull())
+    return a.select("ym", "region", "total_sales", "total_tx_count")
+
+
 def stage_assets(t: Tables) -> DataFrame:
     return customer_activity(t, with_lines=False).select(
         "ym", "region", "customers", "avg_income", "avg_asset")

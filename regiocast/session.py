@@ -38,12 +38,16 @@ def shared_dir(spark: SparkSession) -> str:
     """Root for checkpoints and tables that must outlive an executor.
 
     A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, laptops)
-    is a local folder chosen, and it is kept for the rest of the session.
+    is a local folder chosen, and it is kept for the rest of the session. A session on a cluster
+    without the setting is refused: its executors would write to folders of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("regiocast.scratch.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to shared storage (master {master})")
         root = tempfile.mkdtemp(prefix="regiocast-")
         spark.conf.set("regiocast.scratch.dir", root)
     return root.rstrip("/")

@@ -149,3 +149,20 @@ def test_terms_links_and_contracts(spark):
         "http://a.x/q": 2, "http://b.y/z": 1}
     bad = quality.contract_violations({"d": docs}, [("d", "text", 5)]).collect()[0]
     assert (bad["checked"], bad["violations"], bad["ok"]) == (3, 1, False)
+
+
+def test_series_that_ended_early_keeps_its_share(spark):
+    """One old series must not decide the month of all; an open last month takes no part."""
+    from regiocast.plans import forecast as fc
+
+    rows = [(f"{y}{m:02d}", name, 100.0 + m) for name, years in
+            (("OLD", (1995, 1996)), ("A", (1999, 2000)), ("B", (1999, 2000)))
+            for y in years for m in range(1, 13)] + [("200101", "A", 3.0)]
+    mart = spark.createDataFrame(rows, "ym string, region string, total_sales double")
+    days = spark.createDataFrame([("2000-12-31",), ("2001-01-01",)], "d string")
+    through = fc.complete_through(days, "d")
+    train = fc.training_frame(mart, through=through)
+    shares = decide.next_month_share(fc.forecast(train)).collect()
+    assert {r.series for r in shares} == {"OLD", "A", "B"}
+    assert {str(r.ts)[:10] for r in shares} == {"2001-01-01"}
+    assert abs(sum(r.share for r in shares) - 1) < 1e-9

@@ -177,3 +177,39 @@ def test_hot_keys_stay_exact_and_the_hot_part_is_split(spark, tmp_path):
     assert sum(r["total_tx_count"] for r in got.values()) == 60000
     assert sum(r["move_in"] for r in got.values()) == 5000
     assert abs(sum(r["promo_sales"] for r in got.values()) - 60000 * 10.5 * 0.9) < 1e-6
+
+
+def test_top_k_above_the_threshold_of_spark(spark):
+    df = spark.range(30_000).select((F.col("id") % 3 == 2).cast("int").alias("g"), "id")
+    got = top_k_per_group(df, ["g"], 5000, F.col("id").desc())
+    rows = {r.g: r for r in got.groupBy("g").agg(F.count("*").alias("n"), F.min("id").alias("lo"))
+            .collect()}
+    assert rows[0].n == rows[1].n == 5000
+    assert rows[1].lo == 29_999 - 3 * 4999
+
+
+def test_lines_of_unknown_parts_count(spark, tables):
+    class Orphans:
+        lineitem, part = tables.lineitem, tables.part.where("p_partkey % 2 = 0")
+
+    for categories in (True, False):
+        n = staging.order_lines(Orphans, categories).agg(F.sum("lines")).first()[0]
+        assert n == tables.lineitem.count()
+
+
+def test_totals_do_not_read_the_parts(spark, tables):
+    from regiocast.catalog import forecasts
+
+    plan = forecasts.training(tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "p_partkey" not in plan and "l_orderkey" in plan
+
+
+def test_cluster_needs_a_shared_folder(monkeypatch):
+    import types
+
+    from regiocast.session import shared_dir
+    away = types.SimpleNamespace(
+        conf=types.SimpleNamespace(get=lambda k, d=None: d, set=lambda k, v: None),
+        sparkContext=types.SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        shared_dir(away)
