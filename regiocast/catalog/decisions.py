@@ -121,7 +121,7 @@ def context_records(t):
 
 @register("latest_snapshot", "D8 E8 B13", sql("newest3", """
  SELECT region, ym, move_in, move_out, net_move, total_pop, total_sales, avg_asset,
-  avg_meme_price, age_20_39_share, senior_60p_share, tourism_demand_idx, foreign_visitor_idx,
+  avg_sale_price, age_20_39_share, senior_60p_share, tourism_demand_idx, foreign_visitor_idx,
   stability_score, net_store_change, holiday_days, rental_count, rental_conversion_rate,
   cs_calls, rental_signal FROM newest3"""))
 def latest_snapshot(t):
@@ -204,7 +204,7 @@ def net_migration(t):
 
 @register("price_comparison", "V8 B11", sql("mart1 complete", f"""
  SELECT region, {rounded("avg_price_per_unit", 0)} AS price_per_unit,
-  {rounded("avg_meme_price", 1)} AS sale_price,
+  {rounded("avg_sale_price", 1)} AS sale_price,
   {rounded("price_to_asset_ratio", 2)} AS price_to_asset
  FROM mart1 WHERE ym = (SELECT max(ym) FROM mart1 WHERE ym <= (SELECT ym FROM complete))"""))
 def price_comparison(t):

@@ -17,7 +17,7 @@ _stage("stage_population", "A1 C1 G1 G2", staging.stage_population, "population"
 _stage("stage_card_sales", "A1 C1 G1", staging.stage_card_sales, "card_sales")
 _stage("stage_assets", "C1 G3", staging.stage_assets, "assets")
 register("stage_prices", "G3 G4 S1", sql("sup_activity", """
- SELECT ym, region, avg_meme_price, avg_price_per_unit, total_households FROM sup_activity
+ SELECT ym, region, avg_sale_price, avg_price_per_unit, total_households FROM sup_activity
  WHERE active_stores > 0"""))(staging.stage_prices)
 _stage("stage_movement", "X13 C8", staging.stage_movement, "movement")
 _stage("stage_demographics", "X4 S12", staging.stage_demographics, "demographics")

@@ -28,7 +28,7 @@ def dimension_join(t):
 
 
 @register("spine_left_join", "C2", sql("population card_sales assets sup_activity", """
- SELECT ym, region, total_pop, total_sales, customers, avg_asset, avg_meme_price
+ SELECT ym, region, total_pop, total_sales, customers, avg_asset, avg_sale_price
  FROM population LEFT JOIN card_sales USING (ym, region) LEFT JOIN assets USING (ym, region)
  LEFT JOIN sup_activity USING (ym, region)"""))
 def spine_left_join(t):
@@ -38,7 +38,7 @@ def spine_left_join(t):
         staging.stage_population(t).select(*key, "total_pop"),
         [(staging.stage_totals(t).select(*key, "total_sales"), key),
          (staging.stage_assets(t).select(*key, "customers", "avg_asset"), key),
-         (staging.stage_prices(t).select(*key, "avg_meme_price"), key)])
+         (staging.stage_prices(t).select(*key, "avg_sale_price"), key)])
 
 
 @register("calendar_join", "C3", sql("act_orders calendar", """

@@ -114,7 +114,7 @@ part("sup_open", "sup_month", """
 
 part("sup_activity", "sup_open", """
  SELECT strftime(mon,'%Y%m') AS ym, n_name AS region,
-  CAST(sum(retail) AS DOUBLE) / nullif(sum(lines), 0) AS avg_meme_price,
+  CAST(sum(retail) AS DOUBLE) / nullif(sum(lines), 0) AS avg_sale_price,
   CAST(sum(price) AS DOUBLE) / nullif(CAST(sum(qty) AS DOUBLE), 0) AS avg_price_per_unit,
   CASE WHEN sum(active) > 0 THEN CAST(sum(qty) AS DOUBLE) END AS total_households,
   CAST(sum(lines) AS BIGINT) AS move_out, CAST(sum(active) AS BIGINT) AS active_stores,
@@ -218,17 +218,17 @@ part("mart1", "population card_sales assets sup_activity movement", """
   CASE WHEN prev_sales > 0 THEN (total_sales - prev_sales) / prev_sales * 100 ELSE 0 END
    AS sales_chg_pct,
   CASE WHEN prev_pop > 0 THEN (total_pop - prev_pop) / prev_pop * 100 ELSE 0 END AS pop_chg_pct,
-  CASE WHEN prev_price > 0 THEN (avg_meme_price - prev_price) / prev_price * 100 ELSE 0 END
+  CASE WHEN prev_price > 0 THEN (avg_sale_price - prev_price) / prev_price * 100 ELSE 0 END
    AS price_chg_pct
  FROM (
   SELECT p.ym, p.region, total_pop, res_pop, work_pop, visit_pop, total_sales, economy_sales,
    large_sales, medium_sales, promo_sales, small_sales, standard_sales, total_tx_count,
-   customers, avg_income, avg_asset, avg_meme_price, avg_price_per_unit, total_households,
+   customers, avg_income, avg_asset, avg_sale_price, avg_price_per_unit, total_households,
    m.move_in, m.move_out, m.net_move,
    CASE WHEN total_pop > 0 THEN total_sales / total_pop ELSE 0 END AS sales_per_pop,
-   CASE WHEN avg_asset > 0 THEN avg_meme_price / avg_asset END AS price_to_asset_ratio,
+   CASE WHEN avg_asset > 0 THEN avg_sale_price / avg_asset END AS price_to_asset_ratio,
    lag(total_sales) OVER w AS prev_sales, lag(total_pop) OVER w AS prev_pop,
-   lag(avg_meme_price) OVER w AS prev_price
+   lag(avg_sale_price) OVER w AS prev_price
   FROM population p LEFT JOIN card_sales c USING (ym, region) LEFT JOIN assets a USING (ym, region)
   LEFT JOIN sup_activity s USING (ym, region) LEFT JOIN movement m USING (ym, region)
   WINDOW w AS (PARTITION BY p.region ORDER BY p.ym))""")

@@ -12,7 +12,7 @@ CATEGORIES = [
     qs.Category("trend", "total_sales", ("and", "die", "le")),
     qs.Category("forecast", "next_forecast", ("that", "das", "et")),
     qs.Category("accuracy", "mean_error_pct", ("is", "ist", "que")),
-    qs.Category("property", "avg_meme_price", ("in", "den", "el")),
+    qs.Category("property", "avg_sale_price", ("in", "den", "el")),
     qs.Category("population", "net_move", ("to", "von", "en")),
 ]
 _TERMS = ", ".join(f"('{w}','{c.name}','{c.metric}',{i})"

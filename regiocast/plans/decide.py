@@ -122,7 +122,7 @@ def insights(latest: DataFrame) -> DataFrame:
 
 
 SNAPSHOT = ["move_in", "move_out", "net_move", "total_pop", "total_sales", "avg_asset",
-            "avg_meme_price", "age_20_39_share", "senior_60p_share", "tourism_demand_idx",
+            "avg_sale_price", "age_20_39_share", "senior_60p_share", "tourism_demand_idx",
             "foreign_visitor_idx", "stability_score", "net_store_change", "holiday_days",
             "rental_count", "rental_conversion_rate", "cs_calls", "rental_signal"]
 

@@ -18,7 +18,7 @@ KEY = ["ym", "region"]
 
 BASE_COLUMNS = [
     *KEY, "total_pop", *POPULATION, "total_sales", *[f"{c}_sales" for c in CATEGORIES],
-    "total_tx_count", "customers", "avg_income", "avg_asset", "avg_meme_price",
+    "total_tx_count", "customers", "avg_income", "avg_asset", "avg_sale_price",
     "avg_price_per_unit", "total_households", "move_in", "move_out", "net_move",
     "sales_per_pop", "price_to_asset_ratio", "prev_sales", "prev_pop", "sales_chg_pct",
     "pop_chg_pct", "price_chg_pct",
@@ -51,7 +51,7 @@ def add_ratios(df: DataFrame) -> DataFrame:
     """Sales per head (0 without heads, NULL without sales) and price to asset ratio."""
     return df.withColumns({
         "sales_per_pop": guarded_ratio("total_sales", "total_pop", 0.0),
-        "price_to_asset_ratio": guarded_ratio("avg_meme_price", "avg_asset"),
+        "price_to_asset_ratio": guarded_ratio("avg_sale_price", "avg_asset"),
     })
 
 
@@ -65,11 +65,11 @@ def add_changes(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "prev_sales": F.lag("total_sales").over(w),
         "prev_pop": F.lag("total_pop").over(w),
-        "_prev_price": F.lag("avg_meme_price").over(w),
+        "_prev_price": F.lag("avg_sale_price").over(w),
     }).withColumns({
         "sales_chg_pct": pct_change("total_sales", "prev_sales"),
         "pop_chg_pct": pct_change("total_pop", "prev_pop"),
-        "price_chg_pct": pct_change("avg_meme_price", "_prev_price"),
+        "price_chg_pct": pct_change("avg_sale_price", "_prev_price"),
     }).drop("_prev_price")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiocast.functions.exact import col
@@ -47,16 +47,30 @@ def route(questions: DataFrame, text: str, categories: list[Category]) -> DataFr
     }).drop("_words", "_best")
 
 
+def _joined(words: str, n: int):
+    return lambda i: F.array_join(F.slice(words, i, n), " ")
+
+
 def scope_rule(routed: DataFrame, text: str, regions: DataFrame, keys: list[str],
                categories: list[Category]) -> DataFrame:
     """Mark questions that name no region and are not about a comparison.
 
-    Region names are matched as words of letters, digits and underscores.
+    Region names are matched as runs of words (letters, digits and underscores), as long as the
+    longest name: "New York" is found in "why new york?".
     """
-    words = F.array_distinct(F.regexp_extract_all(
-        F.lower(col(text)), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1)))
-    names = regions.select(F.lower("region").alias("_word")).distinct()
-    named = (routed.select(*keys, F.explode(words).alias("_word"))
+    def words(c: Column) -> Column:
+        return F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
+
+    names = regions.select(F.array_join(words(F.col("region")), " ").alias("_word"),
+                           F.size(words(F.col("region"))).alias("_n")).distinct()
+    longest = names.agg(F.max("_n")).first()[0] or 0
+    runs = [F.when(F.size("_w") >= n, F.transform(
+        F.sequence(F.lit(1), F.size("_w") - n + 1),
+        _joined("_w", n)))
+        .otherwise(F.array().cast("array<string>")) for n in range(1, longest + 1)]
+    asked = routed.select(*keys, words(col(text)).alias("_w"))
+    found = F.array_distinct(F.flatten(F.array(*runs))) if runs else F.col("_w")
+    named = (asked.select(*keys, F.explode(found).alias("_word"))
              .join(names, "_word", "left_semi").select(*keys).distinct()
              .withColumn("names_region", F.lit(True)))
     free = [c.name for c in categories if not c.needs_region]

@@ -12,6 +12,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +35,8 @@ class SearchQuery:
 
     @property
     def terms(self) -> list[str]:
-        return list(dict.fromkeys(self.text.lower().split()))
+        """Distinct words, by the same rule as the documents' (runs of letters)."""
+        return list(dict.fromkeys(regex.findall(r"\p{L}+", self.text.lower())))
 
 
 def _equal_to(term):
@@ -57,8 +59,14 @@ def term_index(docs: DataFrame, terms: list[str], keep: list[str]) -> DataFrame:
 def keyword_search(docs: DataFrame, queries: list[SearchQuery], k: int) -> DataFrame:
     """BM25 top k per query: (query_id, doc_id, score, rank). Ties go to the smaller id.
 
-    Long lists of queries run block by block, each an exact pass over the documents.
+    Long lists of queries run block by block, each an exact pass over the documents. A query
+    without words finds nothing.
     """
+    queries = [q for q in queries if q.terms]
+    if not queries:
+        kind = dict(docs.dtypes)["doc_id"]
+        return docs.sparkSession.createDataFrame(
+            [], f"query_id string, doc_id {kind}, score double, rank int")
     return reduce(lambda a, b: a.unionByName(b), [
         _search_block(docs, queries[i:i + SEARCH_BLOCK], k)
         for i in range(0, len(queries), SEARCH_BLOCK)])
@@ -130,6 +138,8 @@ def vector_search(items: DataFrame, item: str, vector: str, queries: DataFrame,
         matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
         blocks.append(items.select(item, vector).mapInPandas(
             _best_in_batch(ids, matrix, item, vector, k), schema))
+    if not blocks:
+        return queries.sparkSession.createDataFrame([], schema.replace("_s", "score") + ", rank int")
     scored = reduce(lambda a, b: a.unionByName(b), blocks)
     return ranked(scored, item, k).select("query_id", item, F.col("_s").alias("score"), "rank")
 

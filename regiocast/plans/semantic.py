@@ -54,7 +54,7 @@ METRICS: dict[str, Metric] = {
                         "Active customers, added over months"),
     "avg_income": Metric("mart", lambda: _mean("avg_income"), ("income",), "Mean income"),
     "avg_asset": Metric("mart", lambda: _mean("avg_asset"), ("assets", "wealth"), "Mean assets"),
-    "avg_meme_price": Metric("mart", lambda: _mean("avg_meme_price"), ("price", "housing"),
+    "avg_sale_price": Metric("mart", lambda: _mean("avg_sale_price"), ("price", "housing"),
                              "Mean sale price"),
     "net_move": Metric("mart", lambda: F.sum("net_move"), ("migration", "moves"),
                        "Net movement"),
@@ -161,7 +161,7 @@ def net_migration(mart: DataFrame, through: Column | None = None) -> DataFrame:
 def price_comparison(mart: DataFrame, through: Column | None = None) -> DataFrame:
     return _newest(mart, through).select(
         "region", round_half_up("avg_price_per_unit", 0).alias("price_per_unit"),
-        round_half_up("avg_meme_price", 1).alias("sale_price"),
+        round_half_up("avg_sale_price", 1).alias("sale_price"),
         round_half_up("price_to_asset_ratio", 2).alias("price_to_asset"))
 
 

@@ -188,7 +188,7 @@ def supplier_activity(t: Tables) -> DataFrame:
     return g.select(
         ym_of_no("m").alias("ym"), "region", "m",
         guarded_ratio(units_to_double("retail", 2), F.col("lines").cast("double"))
-        .alias("avg_meme_price"),
+        .alias("avg_sale_price"),
         guarded_ratio(units_to_double("price", 2), units_to_double("qty", 2))
         .alias("avg_price_per_unit"),
         F.when(F.col("active") > 0, units_to_double("qty", 2)).alias("total_households"),
@@ -245,7 +245,7 @@ def stage_assets(t: Tables) -> DataFrame:
 
 def stage_prices(t: Tables) -> DataFrame:
     return (supplier_activity(t).filter(F.col("active_stores") > 0)
-            .select("ym", "region", "avg_meme_price", "avg_price_per_unit", "total_households"))
+            .select("ym", "region", "avg_sale_price", "avg_price_per_unit", "total_households"))
 
 
 def stage_movement(t: Tables) -> DataFrame:

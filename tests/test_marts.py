@@ -18,7 +18,7 @@ def mart_tiny(spark):
          ("202404", "B", 660.0)], "ym string, region string, total_sales double")
     price = spark.createDataFrame(
         [("202401", "A", 10.0), ("202402", "A", 11.0), ("202404", "B", 9.0)],
-        "ym string, region string, avg_meme_price double")
+        "ym string, region string, avg_sale_price double")
     asset = spark.createDataFrame(
         [("202401", "A", 5.0), ("202402", "A", 0.0), ("202404", "B", 3.0)],
         "ym string, region string, avg_asset double")
@@ -49,7 +49,7 @@ def test_change_is_zero_without_a_positive_previous_value(spark):
 def test_lag_is_the_previous_row_and_strict_is_the_previous_month(spark):
     df = spark.createDataFrame([("202401", "A", 10.0), ("202402", "A", 20.0), ("202404", "A", 30.0)],
                                "ym string, region string, total_sales double")
-    w = df.withColumns({"total_pop": F.lit(1.0), "avg_meme_price": F.lit(1.0)})
+    w = df.withColumns({"total_pop": F.lit(1.0), "avg_sale_price": F.lit(1.0)})
     loose = {r["ym"]: r["prev_sales"] for r in mart.add_changes(w).collect()}
     assert loose == {"202401": None, "202402": 10.0, "202404": 20.0}
     strict = {r["ym"]: r["total_sales_strict_chg_pct"]

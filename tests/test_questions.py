@@ -109,3 +109,26 @@ def test_search_filters_before_any_shuffle(spark, tables):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert top.count() == 3
+
+
+def test_region_of_several_words(spark):
+    asked = spark.createDataFrame([(1, "Trend of New  York?"), (2, "trend of York"), (3, "")],
+                                  "id int, text string")
+    regions = spark.createDataFrame([("New York",), ("Other",)], "region string")
+    rows = qs.scope_rule(qs.route(asked, "text", CATS), "text", regions, ["id"], CATS).collect()
+    assert {r["id"]: r["names_region"] for r in rows} == {1: True, 2: False, 3: False}
+    none = qs.scope_rule(qs.route(asked, "text", CATS), "text", regions.limit(0), ["id"], CATS)
+    assert not any(r["names_region"] for r in none.collect())
+
+
+def test_queries_are_cut_like_documents(spark):
+    docs = spark.createDataFrame([(1, "License terms apply", "s"), (2, "nothing", "s")],
+                                 "doc_id bigint, text string, source string")
+    found = rt.keyword_search(docs, [rt.SearchQuery("q", "license, terms?")], 5).collect()
+    assert [(r["query_id"], r["doc_id"]) for r in found] == [("q", 1)]
+    for queries in ([], [rt.SearchQuery("q", "")], [rt.SearchQuery("q", "?!")]):
+        empty = rt.keyword_search(docs, queries, 5)
+        assert empty.columns == ["query_id", "doc_id", "score", "rank"] and empty.isEmpty()
+    vectors = spark.createDataFrame([(1, [1.0, 0.0])], "vec_id int, v array<double>")
+    none = spark.createDataFrame([], "query_id int, vector array<double>")
+    assert rt.vector_search(vectors, "vec_id", "v", none, 3).isEmpty()
