@@ -146,7 +146,7 @@ def _run(coder, sizes: np.ndarray, ids: np.ndarray) -> None:
         if not decoding and known is None:  # rows of all ids up to the next learning
             stop = min(learn_at, ids.shape[1])
             known, start = zero.find(np.repeat(np.arange(n), stop - t),
-                                     ids[:, t:stop].ravel()).reshape(n, -1), t
+                                     ids[:, t:stop].ravel()).astype(np.int32).reshape(n, -1), t
         if t and (sizes[lane] <= t).any():
             lane = lane[sizes[lane] > t]
         a, b = prev1[lane], prev2[lane]
@@ -206,7 +206,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         sizes = np.array([len(x) for x in part], dtype=np.int64)
         if sizes.max() > BLOCK or any(len(x) and int(x.max()) > 0xFFFF for x in part):
             raise ValueError(f"blocks hold at most {BLOCK} ids below 65536")
-        ids = np.zeros((len(part), int(sizes.max())), np.int64)
+        ids = np.zeros((len(part), int(sizes.max())), np.int32)
         for i, x in enumerate(part):
             ids[i, :len(x)] = x
         coder = _Encoder(len(part), int(sizes.max()))
@@ -227,7 +227,7 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
         heads = np.array([np.frombuffer(b, "<u4", 2, 4) for b in part], dtype=np.int64)
         if heads[:, 0].max() > BLOCK:
             raise CorruptBlock("a block cannot hold that many ids")
-        ids = np.zeros((len(part), int(heads[:, 0].max())), np.int64)
+        ids = np.zeros((len(part), int(heads[:, 0].max())), np.int32)
         _run(_Decoder([b[12:] for b in part]), heads[:, 0], ids)
         for i, (n, crc) in enumerate(heads.tolist()):
             row = ids[i, :n].astype("<u4")
