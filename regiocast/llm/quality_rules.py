@@ -38,12 +38,17 @@ BOILERPLATE = (
     "sign up", "subscribe")
 
 
+def let(value: Column, kind: str, then) -> Column:
+    """``then(value)`` with the value computed once, wherever the optimizer moves it: a lambda
+    must not look at an expression outside, or it is evaluated again for every element."""
+    return F.aggregate(F.array(value), F.lit(None).cast(kind), lambda _, x: then(x))
+
+
 def window_hashes(w: Column) -> Column:
     """64-bit hash of every 5-word window; null below six words, where none can repeat."""
-    n = F.size(w)
-    return F.when(n > WINDOW, F.transform(
-        F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0))),
-        lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)])))
+    return let(w, "array<bigint>", lambda x: F.when(F.size(x) > WINDOW, F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(x) - WINDOW, F.lit(0))),
+        lambda i: F.xxhash64(*[F.get(x, i + k) for k in range(WINDOW)]))))
 
 
 def repeated_words(h: Column) -> Column:
@@ -52,9 +57,6 @@ def repeated_words(h: Column) -> Column:
     Without two equal hashes the count is 0 at once; otherwise the starts of repeated windows
     are sorted and their stretches added up.
     """
-    def let(value: Column, then) -> Column:
-        return F.aggregate(F.array(value), F.lit(0), lambda _, x: then(x))
-
     def starts(s: Column) -> Column:
         return F.sort_array(F.transform(
             F.filter(s, lambda p, k: (p["x"] == F.get(s, k - 1)["x"])
@@ -66,9 +68,12 @@ def repeated_words(h: Column) -> Column:
             F.coalesce(F.get(s, k + 1) - p, F.lit(WINDOW)), F.lit(WINDOW))),
             F.lit(0), lambda a, x: a + x)
 
-    pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
-    return F.when(F.size(F.array_distinct(h)) < F.size(h),
-                  let(pairs, lambda s: let(starts(s), covered))).otherwise(0)
+    def counted(x: Column) -> Column:
+        pairs = F.sort_array(F.transform(x, lambda v, i: F.struct(v.alias("x"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(x)) < F.size(x), let(
+            pairs, "int", lambda s: let(starts(s), "int", covered))).otherwise(0)
+
+    return let(h, "int", counted)
 
 
 def line_fails(line: Column) -> Column:
