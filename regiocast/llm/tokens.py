@@ -13,7 +13,7 @@ import re
 
 import numpy as np
 
-KEEP = 1_200_000
+KEEP = 500_000
 TOGETHER = 400
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space for Python, symbols for the tokenizer
