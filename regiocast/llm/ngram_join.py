@@ -20,6 +20,10 @@ only there, the pairs between different components are examined too, so every co
 exact. Before two texts are fetched, their sizes and a histogram of their hashes (whose
 difference is a lower bound on the number of differing hashes) must allow a link.
 
+Links lie inside components, so they are counted there: a component's classes are dealt into
+chunks, and any two chunks whose sizes allow a link meet in one group, where all intersections
+are counted. Texts are thus repeated once per chunk they meet, not once per pair.
+
 A task emits each class's signatures once, however many copies it holds; sorting, not memory,
 brings equal signatures together, so a signature shared by very many classes is streamed.
 
@@ -34,6 +38,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +48,8 @@ from regiocast.llm.shingles import mix, shingle_sets
 from regiocast.session import cut_lineage
 
 SKETCH = 64  # cells of the histogram
+CHUNK, CHUNK_SHINGLES = 512, 1 << 20  # classes and shingles that a chunk holds, about
+SLAB = 2048  # shingles whose holders are counted at once
 BROADCAST_PAIRS = 500_000  # up to here the ids of all pairs are small enough to broadcast
 _SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], dtype=np.uint64)
 
@@ -229,9 +236,108 @@ def verified(pairs: DataFrame, docs: DataFrame, share: tuple[int, int]) -> DataF
         run, "a bigint, b bigint").distinct()
 
 
+def class_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """One row (fp, text) for each class of ``wanted (fp, doc)``; ``doc`` only narrows the rows
+    read, the text is chosen by its fingerprint."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
+        for batch in batches:
+            for lo, texts in texts_in(batch, "text"):
+                new, fps = [], []
+                for i, members in enumerate(shingle_sets(texts)):
+                    fp = describe(members)[0]
+                    if fp not in met:
+                        met.add(fp)
+                        new.append(lo + i)
+                        fps.append(fp)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(fps, pa.int64()), batch.column("text").take(
+                        pa.array(new, pa.int64()))], ["fp", "text"])
+
+    ids = wanted.select(F.col("doc").alias("wanted_doc")).distinct()
+    fps = wanted.select("fp").distinct()
+    if wanted.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS:
+        ids, fps = F.broadcast(ids), F.broadcast(fps)
+    texts = docs.select("doc_id", "text").join(
+        ids, F.col("doc_id").eqNullSafe(F.col("wanted_doc")), "left_semi")
+    return texts.select("text").mapInArrow(run, "fp bigint, text string").join(
+        fps, "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text"))
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of ``sets``."""
+    out = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, at, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.cumsum(held > 1) - 1  # a shingle of one set is in no intersection
+    owner, at = owner[held[at] > 1], column[at[held[at] > 1]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    for lo in range(0, int(at[-1]) + 1 if len(at) else 0, SLAB):
+        a, b = np.searchsorted(at, [lo, lo + SLAB])
+        slab = np.zeros((len(sets), SLAB), dtype=np.float32)
+        slab[owner[a:b], at[a:b] - lo] = 1
+        out += (slab @ slab.T).astype(np.int64)
+    return out
+
+
+def link_counts(placed: DataFrame, docs: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Rows (fp, n_links): all classes of ``placed (root, fp, n_shingles, doc)`` that a class
+    links with; classes of one root are compared with each other."""
+    num, den = share
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        sets = shingle_sets(group["text"].tolist())
+        n = np.array([len(x) for x in sets])
+        both = shared_counts(sets)
+        good = den * both >= num * (n[:, None] + n[None, :] - both)
+        side = group["side"].to_numpy()
+        # side 2: the chunk meets itself
+        good &= (side[:, None] != side[None, :]) | (side[:, None] == 2)
+        np.fill_diagonal(good, False)
+        return pd.DataFrame({"fp": group["fp"], "n": good.sum(axis=1)})
+
+    def chunks(m, n):
+        return F.greatest(F.ceil(m / CHUNK), F.ceil(n / CHUNK_SHINGLES)).cast("int")
+
+    totals = placed.groupBy("root").agg(
+        F.count(F.lit(1)).alias("m"), F.sum("n_shingles").alias("total"))
+    # bands of 1.26: sizes of sets that link are in one band or in neighbouring bands
+    banded = cut_lineage(placed.join(totals, "root").select(
+        "root", "fp", "n_shingles", "doc", F.when(
+            (F.col("m") <= CHUNK) & (F.col("total") <= CHUNK_SHINGLES), 0).otherwise(
+            F.floor(F.log(F.col("n_shingles")) / float(np.log(1.26)))).cast("int").alias("band")))
+    parts = cut_lineage(banded.groupBy("root", "band").agg(
+        chunks(F.count(F.lit(1)), F.sum("n_shingles")).alias("parts")))
+
+    def of(step: int, name: str) -> DataFrame:
+        return parts.select("root", (F.col("band") + step).alias("band"),
+                            F.col("parts").alias(name))
+
+    own = banded.join(of(0, "same"), ["root", "band"]).join(
+        of(-1, "above"), ["root", "band"], "left").join(
+        of(1, "below"), ["root", "band"], "left").withColumn(
+        "part", F.pmod(F.xxhash64("fp"), F.col("same")).cast("int"))
+
+    def meets(count, first, low, second, high, side):
+        found = own.where(F.col(count) > 0).select(
+            "*", F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias("other"))
+        return found.select("fp", "root", first.alias("b1"), low.alias("p1"), second.alias("b2"),
+                            high.alias("p2"), side.cast("int").alias("side"))
+
+    band, part, other = F.col("band"), F.col("part"), F.col("other")
+    keyed = meets("same", band, F.least(part, other), band, F.greatest(part, other),
+                  F.when(part == other, 2).when(part < other, 0).otherwise(1)).unionByName(
+        meets("above", band, part, band + 1, other, F.lit(0))).unionByName(
+        meets("below", band - 1, other, band, part, F.lit(1)))
+    texts = cut_lineage(class_texts(placed.select("fp", "doc"), docs))
+    return keyed.join(texts, "fp").groupBy("root", "b1", "p1", "b2", "p2").applyInPandas(
+        run, "fp bigint, n bigint").groupBy("fp").agg(F.sum("n").alias("n_links"))
+
+
 def near_duplicates(docs: DataFrame, share: tuple[int, int] = (4, 5)) -> DataFrame:
     """Per row of ``docs (doc_id, text)``: doc_id, n_shingles, class_id (least doc_id with the
-    same set), n_links (other classes it was found to link with), component_id.
+    same set), n_links (all other classes it links with), component_id.
 
     ``share``: the least similarity, as a fraction; the signatures hold for 4/5 and more.
     """
@@ -277,8 +383,13 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = (4, 5)) -> DataFra
     roots = components(linked)
     named = roots.join(classes.select(F.col("fp").alias("node"), "doc"), "node")
     smallest = named.groupBy("root").agg(F.min("doc").alias("component"))
-    degree = linked.select("a").unionByName(linked.select(F.col("b").alias("a"))).groupBy(
-        F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_links"))
+    placed = cut_lineage(roots.join(classes.select(
+        F.col("fp").alias("node"), "n_shingles", "doc"), "node").select(
+        "root", F.col("node").alias("fp"), "n_shingles", "doc"))
+    many = placed.join(placed.groupBy("root").count().where("count > 2").select("root"), "root")
+    degree = roots.select("node").join(
+        link_counts(many, docs, share).withColumnRenamed("fp", "node"), "node", "left").select(
+        "node", F.coalesce("n_links", F.lit(1)).alias("n_links"))  # two classes: one link
     places = roots.join(smallest, "root").join(degree, "node").select(
         F.col("node").alias("fp"), "component", "n_links")
     per_class = classes.join(places, "fp", "left").select(

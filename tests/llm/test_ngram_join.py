@@ -4,6 +4,7 @@ import re
 import numpy as np
 
 from conftest import SF
+from regiocast.llm import ngram_join
 from regiocast.llm.ngram_join import near_duplicates, scheme, signatures
 from regiocast.llm.shingles import shingle_sets
 
@@ -105,3 +106,32 @@ def test_kept_signatures_are_fewer_than_made():
 def test_shingles_equal_plain_sets():
     texts = [None, "", "A b", "a b c d e f a b c d e", "x\ty\nz  u v w", "é É ß 1 2 3"] * 3
     assert [len(s) for s in shingle_sets(texts)] == [len(plain_set(t)) for t in texts]
+
+
+def brute_links(rows):
+    sets = {i: frozenset(plain_set(t)) for i, t in rows}
+    classes = set(sets.values()) - {frozenset()}
+
+    def link(a, b):
+        return 5 * len(a & b) >= 4 * len(a | b)
+
+    n = {a: sum(link(a, b) for b in classes if b != a) for a in classes}
+    return {i: n.get(s, 0) for i, s in sets.items()}
+
+
+def test_links_of_all_class_pairs_are_counted(spark, monkeypatch):
+    rnd = random.Random(11)
+    rows = []
+    for size, copies in ((12, 8), (80, 30), (150, 70)):
+        base = [f"w{rnd.randrange(900)}" for _ in range(size)]
+        for _ in range(copies):
+            cut = rnd.randrange(0, 1 + size // 6)
+            rows.append((len(rows), " ".join(changed(base, rnd.randrange(3), rnd)[cut:])))
+    rows += [(len(rows), rows[0][1]), (len(rows) + 1, "one pair of words here now"),
+             (len(rows) + 2, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute_links(rows)
+    assert max(want.values()) > 20
+    for chunk in (512, 9):
+        monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+        assert {r.doc_id: r.n_links for r in near_duplicates(df).collect()} == want
