@@ -7,13 +7,14 @@ labelled documents, which also sees how far the text shrinks at all, turns the d
 the probability of label 1.
 
 Learning reads a bounded sample: per class at most ``max_docs`` documents and ``max_bytes`` of
-text, the first in order of the MD5 of their ids, one half for the dictionaries and the other
+text, the first that fit in order of the MD5 of their ids, one half for the dictionaries and the other
 for the calibration; only rows that the caller passes as trainable take part. Scoring is one
 pass over the rows, without a shuffle, on whole texts.
 
 Null or empty text is scored as a text of no bytes; very long texts are compressed piece by
-piece; repeated rows score alike; an empty table gives an empty result. Without trainable rows
-of both classes every score is the share of label 1 among them, 0.5 if there are none.
+piece; repeated rows score alike; an empty table gives an empty result. Without two texts
+in the sample of either class every score is the share of label 1 among the trainable rows, 0.5
+if there are none.
 """
 
 from __future__ import annotations
@@ -98,20 +99,25 @@ def build_dictionary(texts: list[str], piece: int, size: int) -> bytes:
 
 def sample_texts(docs: DataFrame, labelled: DataFrame, quality: int, max_docs: int,
                  max_bytes: int) -> list[str]:
-    """Texts of at most ``max_docs`` rows and ``max_bytes``, in order of the MD5 of their ids.
+    """Texts of at most ``max_docs`` rows and ``max_bytes``, in order of the MD5 of their ids;
+    a text that no longer fits is passed over, and those after it are still looked at.
 
     Chosen among (doc_id, quality, h, n) without the texts; only the chosen ids, a bounded list,
     are broadcast to fetch those.
     """
-    heads = labelled.where(F.col("quality") == quality).orderBy("h", "n").limit(
-        max_docs).collect()
-    fits = [r for r, total in zip(heads, np.cumsum([r.n for r in heads])) if total <= max_bytes]
+    heads = labelled.where((F.col("quality") == quality) & (F.col("n") <= max_bytes)).orderBy(
+        "h", "n").limit(max_docs).collect()
+    fits, total = [], 0
+    for r in heads:
+        if total + r.n <= max_bytes:
+            fits.append(r)
+            total += r.n
     if not fits:
         return []
+    sized = docs.select("doc_id", F.octet_length("text").alias("n"), "text")
     ids = docs.sparkSession.createDataFrame(
-        [(r.doc_id,) for r in fits], docs.select("doc_id").schema).distinct()
-    rows = docs.select("doc_id", "text").where(F.octet_length("text") > 0).join(
-        F.broadcast(ids), "doc_id").select(
+        [(r.doc_id, r.n) for r in fits], sized.select("doc_id", "n").schema).distinct()
+    rows = sized.join(F.broadcast(ids), ["doc_id", "n"]).select(
         F.md5(F.col("doc_id").cast("string").cast("binary")).alias("h"), "text")
     return [r.text for r in rows.orderBy("h", F.octet_length("text"), "text").limit(
         len(fits)).collect()]
@@ -129,7 +135,8 @@ def learn(docs: DataFrame, labels: DataFrame, trainable: Column, max_docs: int =
         "doc_id", "quality", F.md5(F.col("doc_id").cast("string").cast("binary")).alias("h"), "n"))
     good, bad = (sample_texts(docs, labelled, q, max_docs, max_bytes) for q in (1, 0))
     if len(good) < 2 or len(bad) < 2:
-        share = len(good) / (len(good) + len(bad)) if good or bad else 0.5
+        share = labelled.agg(F.avg("quality")).first()[0]
+        share = 0.5 if share is None else share
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model(b"", b"", (0.0,) * 4, (1.0,) * 4,
                      (0.0,) * 6 + (float(np.log(share / (1 - share))),), piece, level)
