@@ -9,13 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regiocast.llm.alignment import align_documents
 from regiocast.llm.inner_products import top_products
+from regiocast.llm.lexical_search import search_documents
 from regiocast.llm.lm_scoring import score_documents
 from regiocast.llm.mixing import mix_documents
 from regiocast.llm.ngram_join import near_duplicates
 from regiocast.llm.packing import pack_documents
 from regiocast.llm.quality_classifier import classify
 from regiocast.llm.quality_rules import clean_documents
+from regiocast.llm.simhash import simhash_groups
 from regiocast.llm.token_counts import token_counts
 from regiocast.llm.token_files import read_ids, write_ids
 from regiocast.llm.url_filter import judge_urls
@@ -208,3 +211,43 @@ def op7_token_files(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "token-files")
     write_ids(t.documents, path, public_tokenizers.path("word_bpe_49k.json"))
     return read_ids(t.spark, path)
+
+
+@register("op11_lexical_search", r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text,
+   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+d AS (SELECT r, doc_id, ts, CAST(len(ts) AS BIGINT) AS n FROM t WHERE len(ts) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM d),
+p AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY r, term),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+q AS (SELECT i, item_id, term, CAST(count(*) AS BIGINT) AS c FROM (
+  SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(text,
+   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY i, item_id, term),
+w AS (SELECT i, item_id, term, c * CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE)
+   / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS wc FROM q JOIN f USING (term), s),
+x AS (SELECT i, item_id, p.r, d.doc_id, CAST(sum(wc * ((1000000000 * tf)
+   // (1000 * tf + 8 * (25 + (75 * n * nn) // ll)))) AS BIGINT) AS score
+  FROM w JOIN p USING (term) JOIN d USING (r), s GROUP BY i, item_id, p.r, d.doc_id),
+y AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM x WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM y WHERE rank <= 10""")
+def op11_lexical_search(t: Tables) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return search_documents(t.documents, t.benchmark)
+
+
+@register("op12_simhash")
+def op12_simhash(t: Tables) -> DataFrame:
+    """Components of all documents whose fingerprints differ in three bits or fewer."""
+    return simhash_groups(t.documents)
+
+
+@register("op13_alignment")
+def op13_alignment(t: Tables) -> DataFrame:
+    """Every document's tokens under two vocabularies, cut into groups of common ends."""
+    return align_documents(t.documents, public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
