@@ -44,7 +44,7 @@ CHUNK = 1 << 16
 RANGE = 1 << 13
 FAN = 16
 HOT = 500_000
-TOGETHER = 1 << 20  # bytes aligned at once
+TOGETHER = 1 << 18  # bytes aligned at once
 B_BITS = 15  # pair code: A id << 15 | B id
 _LOADED: dict = {}
 
