@@ -89,15 +89,15 @@ def brute(rows):
     return sorted(out, key=repr)
 
 
-def corpus():
+def corpus(words=30_000):
     rnd = random.Random(4)
     pool = ["the", "of", "unbelievable", "naïve", "Straße", "x1y2", "--", "don't", "東京", "🙂", "foo.bar"]
     rows = [(i, " ".join(rnd.choice(pool) + rnd.choice(["", "s", ",", ".\n", "\n\n", "  "])
                          for _ in range(rnd.randint(1, 80)))) for i in range(60)]
     rows += [(None, "a null id"), (5, "another text of five"), rows[3], rows[3], (70, None), (71, ""),
              (72, "▁mark"), (73, "<|endoftext|> <s> <0x41> is plain"), (74, " "), (75, "\n"),
-             (76, "tab\tand\r\nlines   odd space"), (77, "word " * 30_000),
-             (78, ("long words here\n" * 9_000)[:-1]), (79, "x" * 70_000), (80, "a\x00b\x1cc")]
+             (76, "tab\tand\r\nlines   odd space"), (77, "word " * words),
+             (78, ("long words here\n" * (words // 3))[:-1]), (79, "x" * (2 * words + 10_000)), (80, "a\x00b\x1cc")]
     return rows
 
 
@@ -105,7 +105,7 @@ def corpus():
 def test_equals_brute_force(spark, monkeypatch, hot, size):
     monkeypatch.setattr(alignment, "HOT", hot)
     monkeypatch.setattr(alignment, "CHUNK", size)
-    rows = corpus()
+    rows = corpus(30_000 if size > 40 else 300)
     df = spark.createDataFrame([(d, t, 1, "x", 2, 3) for d, t in rows], SCHEMA)
     got = align_documents(df, A, B)
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
