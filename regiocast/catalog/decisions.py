@@ -115,8 +115,9 @@ def context_records(t):
     """
     ready = cut_lineage(mart.signal_mart(t))
     return decide.context_json(
-        decide.next_month_share(fc.forecast(fc.training_frame(ready))),
-        decide.latest_snapshot(ready), exog.feature_importance(exog.panel(ready)))
+        decide.next_month_share(fc.forecast(fc.training_frame(ready, through=complete(t)))),
+        decide.latest_snapshot(ready),
+        exog.feature_importance(exog.panel(ready, through=complete(t))))
 
 
 @register("latest_snapshot", "D8 E8 B13", sql("newest3", """

@@ -33,7 +33,8 @@ def training_frame(t):
 
 
 @register("trend_season_fit", "F2", sql("fitted", """
- SELECT series, CAST(n AS BIGINT) AS n, last_ds, mean, trend_slope, slope, level, sigma
+ SELECT series, CAST(n AS BIGINT) AS n, last_ds, CASE WHEN seasonal THEN 'season'
+  WHEN txx > 0 THEN 'trend' ELSE 'level' END AS model, mean, trend_slope, slope, level, sigma
  FROM fitted"""))
 def trend_season_fit(t):
     return fc.fit(training(t), ["series"]).drop("season")
@@ -134,7 +135,8 @@ def interval_width(t):
 
 def exog_panel(t):
     from regiocast.plans import exog, mart
-    return exog.panel(mart.extended_mart(t))
+    return exog.panel(mart.extended_mart(t),
+                      through=fc.complete_through(t.orders, "o_orderdate"))
 
 
 @register("future_exog_frame", "X14 C6 A5", sql("panel", """

@@ -10,6 +10,7 @@ from regiocast.operators.spine import dense_months
 from regiocast.operators.windows import latest_per_key
 from regiocast.plans import mart, staging
 from regiocast.plans.calendar import order_calendar
+from regiocast.session import cut_lineage
 
 
 @register("dimension_join", "C1", """
@@ -32,13 +33,19 @@ def dimension_join(t):
  FROM population LEFT JOIN card_sales USING (ym, region) LEFT JOIN assets USING (ym, region)
  LEFT JOIN sup_activity USING (ym, region)"""))
 def spine_left_join(t):
-    """Population spine, each source staged on its own and joined by its unique key."""
+    """Population spine, each source joined by its unique key; all four come from one pass over
+    the line items and one over the orders, written once as (month, region) rows."""
+    facts = cut_lineage(staging.line_facts(t.lineitem, t.part))
+    customers = cut_lineage(staging.customer_activity(
+        t, months=staging.customer_months(t, lines=staging.facts_by_order(facts))))
+    suppliers = staging.supplier_activity(t, staging.facts_by_supplier(facts))
+    with_lines = customers.filter(F.col("total_tx_count").isNotNull())
     key = mart.KEY
     return mart.left_join_all(
-        staging.stage_population(t).select(*key, "total_pop"),
-        [(staging.stage_totals(t).select(*key, "total_sales"), key),
-         (staging.stage_assets(t).select(*key, "customers", "avg_asset"), key),
-         (staging.stage_prices(t).select(*key, "avg_sale_price"), key)])
+        with_lines.select(*key, "total_pop"),
+        [(with_lines.select(*key, "total_sales"), key),
+         (customers.select(*key, "customers", "avg_asset"), key),
+         (suppliers.filter(F.col("active_stores") > 0).select(*key, "avg_sale_price"), key)])
 
 
 @register("calendar_join", "C3", sql("act_orders calendar", """

@@ -382,10 +382,10 @@ part("model_summary", "wide_metrics", """
 FEATURES = ["holiday_days", "long_weekend_cnt", "business_days", "age_20_39_share",
             "senior_60p_share", "family_30_49_share", "tourism_demand_idx",
             "foreign_visitor_idx", "stability_score", "net_store_change"]
-part("panel", "mart2", f"""
+part("panel", "mart2 complete", f"""
  SELECT region AS series, strptime(ym || '01','%Y%m%d')::DATE AS ds, total_sales AS y,
   {", ".join(f"coalesce({c}, 0)::DOUBLE AS {c}" for c in FEATURES)}
- FROM mart2 WHERE total_sales > 0""")
+ FROM mart2 WHERE total_sales > 0 AND ym <= (SELECT ym FROM complete)""")
 part("panel_long", "panel", " UNION ALL ".join(
     f"SELECT series, CAST(y AS DECIMAL(18,4)) AS y, '{c}' AS feature_name,"
     f" CAST({c} AS DECIMAL(18,6)) AS x, {i} AS pos FROM panel" for i, c in enumerate(FEATURES)))

@@ -7,44 +7,82 @@ from pyspark.sql import functions as F
 
 from regiocast.operators.reshape import pivot_max
 from regiocast.plans import fixed
-from regiocast.plans.forecast import fit, predict, time_index
+from regiocast.plans.forecast import fit_sums, predict, rows_for_sums, time_index
 from regiocast.session import cut_lineage
 
 LADDER = {"MODEL_A": "mean", "MODEL_B": "trend", "MODEL_C": "season"}
+NO_HISTORY = "no forecast to compare: no month before the cutoffs, or actual values of zero"
 METRICS = {"MAPE": "mape", "SMAPE": "smape", "MAE": "mae"}
 
 
+def _aged(train: DataFrame) -> DataFrame:
+    age = (F.max(time_index("ds")).over(Window.partitionBy("series"))
+           - time_index("ds")).alias("age")
+    return train.select("*", age)
+
+
+def _per_fold(rows: DataFrame, first: Column, last: Column) -> DataFrame:
+    """A copy of each row for the folds from ``first`` to ``last``."""
+    return (rows.withColumns({"_lo": first, "_hi": last}).filter(F.col("_lo") <= F.col("_hi"))
+            .withColumn("fold", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))))
+            .drop("_lo", "_hi", "age"))
+
+
+def fold_targets(train: DataFrame, folds: int, horizon: int) -> DataFrame:
+    """The ``horizon`` months behind the cutoff of every fold, whose cutoff leaves
+    horizon + fold - 1 months."""
+    return _per_fold(_aged(train), F.greatest(F.lit(1), F.col("age") + 2 - horizon),
+                     F.least(F.lit(folds), F.col("age") + 1))
+
+
 def split_folds(train: DataFrame, folds: int, horizon: int) -> tuple[DataFrame, DataFrame]:
-    """Training and target rows per fold; the cutoff of fold k leaves horizon + k - 1 months.
+    """Training and target rows per fold, for models that need the rows of each fold.
 
     Each row lists the folds it belongs to, so cutoffs need no inequality join. The panel is
     monthly, hence a series holds few rows and a row at most ``folds`` copies. It is written
     once, because both results start from it.
     """
     train = cut_lineage(train)
-    age = (F.max(time_index("ds")).over(Window.partitionBy("series"))
-           - time_index("ds")).alias("age")
-    aged = train.select("*", age)
+    known = _per_fold(_aged(train), F.lit(1),
+                      F.least(F.lit(folds), F.col("age") - (horizon - 1)))
+    return known, fold_targets(train, folds, horizon)
 
-    def rows(first: Column, last: Column) -> DataFrame:
-        return (aged.withColumns({"_lo": first, "_hi": last})
-                .filter(F.col("_lo") <= F.col("_hi"))
-                .withColumn("fold", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))))
-                .drop("_lo", "_hi", "age"))
 
-    known = rows(F.lit(1), F.least(F.lit(folds), F.col("age") - (horizon - 1)))
-    target = rows(F.greatest(F.lit(1), F.col("age") + 2 - horizon),
-                  F.least(F.lit(folds), F.col("age") + 1))
-    return known, target
+def fold_sums(train: DataFrame, folds: int, horizon: int) -> DataFrame:
+    """Sums per (series, fold, calendar month) as running sums, one row each.
+
+    A row of a calendar month holds the sums of all its years so far. It stands for the folds
+    whose cutoff lies at or behind it, but before the next year's row, so a fold takes up at most
+    twelve rows however long a series is, and no row of the history is repeated.
+    """
+    w = Window.partitionBy("series", "mm").orderBy("ds")
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows_for_sums(train, ["series"])
+    newest = F.max("t").over(Window.partitionBy("series"))
+    sums = rows.withColumn("_newest", newest).select(
+        "series", "mm", F.count(F.lit(1)).over(so_far).alias("n"), F.sum("t").over(so_far).alias("st"),
+        F.sum(F.col("t") * F.col("t")).over(so_far).alias("stt"),
+        F.sum("y").over(so_far).alias("sy"), F.sum(F.col("y") * F.col("td")).over(so_far).alias("sty"),
+        F.sum(F.col("y") * F.col("y")).over(so_far).alias("syy"), F.col("ds").alias("last_ds"),
+        "scale", (F.col("_newest") - F.col("t")).alias("age"),
+        (F.col("_newest") - F.lead("t").over(w)).alias("_next"))
+    # fold k needs age >= horizon + k - 1
+    return _per_fold(sums, F.greatest(F.lit(1).cast("bigint"), F.coalesce(
+        F.col("_next") - (horizon - 2), F.lit(1))),
+        F.least(F.lit(folds).cast("bigint"), F.col("age") - (horizon - 1))).withColumn(
+        "fold", F.col("fold").cast("int")).drop("_next")
 
 
 def backtest(train: DataFrame, folds: int = 6, horizon: int = fixed.HORIZON,
              models: dict[str, str] | None = None) -> DataFrame:
-    """(model, series, fold, ds, actual, forecast) for every fold and step ahead."""
+    """(series, fold, ds, actual, model_name, forecast) for every fold and step ahead.
+
+    A series without a month before a cutoff keeps the rows of that fold, without a forecast.
+    """
     models = models or {"MODEL_C": "season"}
-    known, target = split_folds(train.select("series", "ds", "y"), folds, horizon)
-    params = fit(known, ["series", "fold"])
-    joined = target.join(params, ["series", "fold"])
+    train = cut_lineage(train.select("series", "ds", "y"))
+    params = fit_sums(fold_sums(train, folds, horizon), ["series", "fold"])
+    joined = fold_targets(train, folds, horizon).join(params, ["series", "fold"], "left")
     rows = F.inline(F.array(*[
         F.struct(F.lit(name).alias("model_name"), predict("ds", kind).alias("forecast"))
         for name, kind in models.items()]))
@@ -52,16 +90,19 @@ def backtest(train: DataFrame, folds: int = 6, horizon: int = fixed.HORIZON,
 
 
 def evaluation_metrics(predictions: DataFrame, keys: list[str]) -> DataFrame:
-    """Long table: key, error_metric, metric_value, standard_deviation over folds, logs."""
+    """Long table: key, error_metric, metric_value, standard_deviation over folds, logs.
+
+    A key without any forecast keeps its rows, without values; ``logs`` says why.
+    """
     gap = F.abs(F.col("actual") - F.col("forecast"))
     errors = predictions.select(
         *keys, "fold",
         (F.when(F.col("actual") != 0, gap / F.abs("actual")) * 100.0)
-        .cast("decimal(18,6)").alias("MAPE"),
+        .cast("decimal(38,6)").alias("MAPE"),
         F.when(F.abs("actual") + F.abs("forecast") != 0,
                gap * 200.0 / (F.abs("actual") + F.abs("forecast")))
-        .cast("decimal(18,6)").alias("SMAPE"),
-        gap.cast("decimal(24,6)").alias("MAE"))
+        .cast("decimal(38,6)").alias("SMAPE"),
+        gap.cast("decimal(38,6)").alias("MAE"))
     per_fold = errors.groupBy(*keys, "fold").agg(
         *[F.sum(m).alias(m) for m in METRICS], *[F.count(m).alias(f"{m}_n") for m in METRICS])
 
@@ -95,7 +136,7 @@ def evaluation_metrics(predictions: DataFrame, keys: list[str]) -> DataFrame:
     return wide.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(m).alias("error_metric"), F.col(m).alias("metric_value"),
                  F.col(f"{m}_sd").alias("standard_deviation"),
-                 F.lit(None).cast("string").alias("logs")) for m in METRICS])))
+                 F.when(F.col(m).isNull(), NO_HISTORY).alias("logs")) for m in METRICS])))
 
 
 def wide_metrics(long: DataFrame, keys: list[str]) -> DataFrame:
@@ -127,9 +168,10 @@ def model_summary(results: DataFrame, order: dict[str, int]) -> DataFrame:
 
 
 def best_model(results: DataFrame) -> DataFrame:
-    """Model with the smallest MAPE per series, the earlier name on a tie."""
+    """Model with the smallest MAPE per series, the earlier name on a tie; none without a MAPE."""
+    order = F.when(F.col("mape").isNotNull(), F.struct("mape", "model_name"))
     return results.groupBy("series").agg(
-        F.min_by("model_name", F.struct("mape", "model_name")).alias("best_model"),
+        F.min_by("model_name", order).alias("best_model"),
         F.min("mape").alias("best_mape"))
 
 
@@ -148,10 +190,10 @@ def accuracy(predictions: DataFrame) -> DataFrame:
     """Mean error percent and accuracy 1 - MAPE per series; zero actuals are left out."""
     ratio = F.when(F.col("actual") != 0,
                    F.abs(F.col("actual") - F.col("forecast")) / F.col("actual")).cast(
-        "decimal(18,9)")
+        "decimal(38,9)")
     g = predictions.groupBy("series").agg(
         F.count(F.lit(1)).alias("checks"),
-        (F.sum(ratio).cast("double") / F.count(ratio)).alias("mape"))
+        (F.sum(ratio).cast("double") / F.when(F.count(ratio) > 0, F.count(ratio))).alias("mape"))
     return g.select("series", "checks", (F.col("mape") * 100.0).alias("error_pct"),
                     (F.lit(1.0) - F.col("mape")).alias("accuracy"))
 

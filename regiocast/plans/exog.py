@@ -33,9 +33,11 @@ STEPS = {
 CALENDAR_DEFAULTS = {"holiday_days": 1, "long_weekend_cnt": 0, "business_days": 21}
 
 
-def panel(mart: DataFrame, features: list[str] = FEATURES) -> DataFrame:
-    """Training frame with the features as doubles, unknown values as 0."""
-    train = training_frame(mart, exog=features)
+def panel(mart: DataFrame, features: list[str] = FEATURES,
+          through: Column | None = None) -> DataFrame:
+    """Training frame with the features as doubles, unknown values as 0; no month after
+    ``through``."""
+    train = training_frame(mart, exog=features, through=through)
     return train.withColumns({
         c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
 
@@ -166,12 +168,37 @@ def future_exog(train: DataFrame, calendar: DataFrame, periods: int = fixed.HORI
     return future_frame(last, calendar, periods, known).select("series", "ds", *features)
 
 
+def carried_features(train: DataFrame, folds: int, horizon: int,
+                     features: list[str]) -> DataFrame:
+    """(series, fold, features): the last values known at the cutoff of every fold.
+
+    A row stands for the folds whose cutoff lies at or behind it, but before the next row.
+    """
+    w = Window.partitionBy("series").orderBy("ds")
+    t = time_index("ds")
+    newest = F.max(t).over(Window.partitionBy("series"))
+    aged = train.withColumns({"_age": newest - t, "_next": newest - F.lead(t).over(w)})
+    first = F.greatest(F.lit(1), F.coalesce(F.col("_next") - (horizon - 2), F.lit(1)))
+    last = F.least(F.lit(folds), F.col("_age") - (horizon - 1))
+    return (aged.withColumns({"_lo": first, "_hi": last}).filter("_lo <= _hi")
+            .select("series", F.explode(F.sequence("_lo", "_hi")).alias("fold"), *features))
+
+
 def ablation(train: DataFrame, folds: int = 6, horizon: int = fixed.HORIZON,
              steps: dict[str, list[str]] | None = None,
-             features: list[str] = FEATURES) -> DataFrame:
-    """(model_name, series, error_metric, ...) of nested feature sets, one job for all."""
-    known, target = split_folds(train, folds, horizon)
-    params = fit_exog(known, ["series", "fold"], features, steps or STEPS)
+             features: list[str] = FEATURES, known: list[str] | None = None) -> DataFrame:
+    """(model_name, series, error_metric, ...) of nested feature sets, one job for all.
+
+    As in a forecast, only the features ``known`` ahead (those of the calendar by default) have
+    their real values in the months that are predicted; the others keep their last ones.
+    """
+    known = list(CALENDAR_DEFAULTS) if known is None else known
+    held = [c for c in features if c not in known]
+    rows, target = split_folds(train, folds, horizon)
+    params = fit_exog(rows, ["series", "fold"], features, steps or STEPS)
+    if held:
+        target = target.drop(*held).join(
+            carried_features(train, folds, horizon, held), ["series", "fold"])
     joined = target.join(params, ["series", "fold"])
     predictions = joined.select("model_name", "series", "fold", F.col("y").alias("actual"),
                                 predict_exog("ds", features).alias("forecast"))
@@ -179,7 +206,12 @@ def ablation(train: DataFrame, folds: int = 6, horizon: int = fixed.HORIZON,
 
 
 def ablation_wide(train: DataFrame, **options) -> DataFrame:
-    return wide_metrics(ablation(train, **options), ["model_name", "series"])
+    """One row per model and series, with the features that the model was given."""
+    steps = options.get("steps") or STEPS
+    wide = wide_metrics(ablation(train, **options), ["model_name", "series"])
+    return wide.withColumn("feature_set", F.coalesce(*[
+        F.when(F.col("model_name") == name, ", ".join(chosen) or "no features")
+        for name, chosen in steps.items()]))
 
 
 def feature_importance(train: DataFrame, features: list[str] = FEATURES) -> DataFrame:
@@ -187,9 +219,14 @@ def feature_importance(train: DataFrame, features: list[str] = FEATURES) -> Data
 
     The correlations come from exact sums, one aggregation for all series and features.
     """
-    y = F.col("y").cast("decimal(18,4)")
-    d = train.select("series", y.alias("y"),
-                     *[F.col(c).cast("decimal(18,6)").alias(c) for c in features])
+    def exact(c: str, digits: int) -> Column:
+        # correlations do not depend on the scale, so values beyond 18 digits are scaled down
+        limit = 10.0 ** (18 - digits) / 2
+        top = F.max(F.abs(F.col(c).cast("double"))).over(Window.partitionBy("series"))
+        scale = F.when(top > limit, F.pow(F.lit(2.0), F.ceil(F.log2(top / limit)))).otherwise(1.0)
+        return (F.col(c).cast("double") / scale).cast(f"decimal(18,{digits})").alias(c)
+
+    d = train.select("series", exact("y", 4), *[exact(c, 6) for c in features])
     sums = d.groupBy("series").agg(
         F.count(F.lit(1)).cast("double").alias("n"), exact_double(F.sum("y")).alias("sy"),
         exact_double(F.sum(F.col("y") * F.col("y"))).alias("syy"),

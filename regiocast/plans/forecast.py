@@ -8,7 +8,7 @@ its value. A fitted row is small and fixed in size, so there is no per-series Py
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiocast.functions.dates import first_day
@@ -47,24 +47,51 @@ def training_frame(mart: DataFrame, series: str = "region", y: str = "total_sale
                     F.col(y).cast("double").alias("y"), *(exog or [])))
 
 
-def fit(train: DataFrame, keys: list[str]) -> DataFrame:
-    """One row of parameters per key from a frame with ``ds`` (first of month) and ``y``."""
-    y = F.col("y").cast("decimal(18,4)")
-    d = train.select(*keys, "ds", y.alias("y"), time_index("ds").cast("bigint").alias("t"),
-                     F.month("ds").alias("mm"))
-    td = F.col("t").cast("decimal(10,0)")
-    months = d.groupBy(*keys, "mm").agg(
+LIMIT = 1e14  # values above are scaled down by a power of two per series, see ``rows_for_sums``
+SUMS = ["n", "st", "stt", "sy", "sty", "syy"]
+
+
+def rows_for_sums(train: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, ds, mm, t, td, y, scale): y as an exact decimal of y / scale.
+
+    ``scale`` is 1 as long as the largest value of a series fits into 18 digits with four
+    decimals; above, it is a power of two, so that only digits beyond a double's own are lost.
+    """
+    top = F.max(F.abs(F.col("y").cast("double"))).over(Window.partitionBy(*keys))
+    scale = F.when(top > LIMIT / 2, F.pow(F.lit(2.0), F.ceil(F.log2(top / (LIMIT / 2))))
+                   ).otherwise(1.0)
+    return train.withColumn("scale", scale).select(
+        *keys, "ds", F.month("ds").alias("mm"), time_index("ds").cast("bigint").alias("t"),
+        time_index("ds").cast("bigint").cast("decimal(10,0)").alias("td"),
+        (F.col("y").cast("double") / F.col("scale")).cast("decimal(18,4)").alias("y"), "scale")
+
+
+def month_sums(train: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact sums of every key and calendar month."""
+    return rows_for_sums(train, keys).groupBy(*keys, "mm").agg(
         F.count(F.lit(1)).alias("n"), F.sum("t").alias("st"),
         F.sum(F.col("t") * F.col("t")).alias("stt"), F.sum("y").alias("sy"),
-        F.sum(F.col("y") * td).alias("sty"), F.sum(F.col("y") * F.col("y")).alias("syy"),
-        F.max("ds").alias("last_ds"))
+        F.sum(F.col("y") * F.col("td")).alias("sty"), F.sum(F.col("y") * F.col("y")).alias("syy"),
+        F.max("ds").alias("last_ds"), F.max("scale").alias("scale"))
+
+
+def fit(train: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of parameters per key from a frame with ``ds`` (first of month) and ``y``."""
+    return fit_sums(month_sums(train, keys), keys)
+
+
+def fit_sums(months: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of parameters per key from the sums of its calendar months. ``model`` says what
+    its history allows: season, trend, or the level of a single month."""
     whole = ["n", "st", "stt"]
     exact = ["sy", "sty", "syy"]
+    power = {"sy": F.col("scale"), "sty": F.col("scale"), "syy": F.col("scale") * F.col("scale")}
     entry = F.struct("mm", *[F.col(c).cast("double").alias(c) for c in whole],
-                     *[exact_double(c).alias(c) for c in exact])
+                     *[(exact_double(c) * power[c]).alias(c) for c in exact])
     totals = months.groupBy(*keys).agg(
         *[F.sum(c).cast("double").alias(c) for c in whole],
-        *[exact_double(F.sum(c)).alias(c) for c in exact],
+        *[(exact_double(F.sum(c)) * (F.max("scale") if c != "syy" else
+                                     F.max("scale") * F.max("scale"))).alias(c) for c in exact],
         F.max("last_ds").alias("last_ds"), F.sort_array(F.collect_list(entry)).alias("months"))
 
     def within(a: str, b: str, ab: str) -> Column:
@@ -93,7 +120,9 @@ def fit(train: DataFrame, keys: list[str]) -> DataFrame:
     season = F.when(F.col("seasonal"), F.transform(
         "months", lambda m: (m["sy"] - F.col("slope") * m["st"]) / m["n"]))
     return slopes.select(
-        *keys, F.col("n").cast("bigint").alias("n"), "last_ds", "mean", "trend_slope", "slope",
+        *keys, F.col("n").cast("bigint").alias("n"), "last_ds",
+        F.when(F.col("seasonal"), "season").when(F.col("txx") > 0, "trend").otherwise("level")
+        .alias("model"), "mean", "trend_slope", "slope",
         level.alias("level"), season.alias("season"),
         F.when(dof > 0, F.sqrt(F.greatest(rss, F.lit(0.0)) / dof)).alias("sigma"))
 

@@ -11,7 +11,9 @@ from regiocast.plans import fixed
 from regiocast.plans.calendar import order_calendar
 from regiocast.plans.indices import visitor_indices
 from regiocast.plans.staging import (CATEGORIES, POPULATION, PRIORITIES, customer_activity,
-                                     shares, supplier_activity, telecom_columns)
+                                     customer_months, facts_by_order, facts_by_supplier,
+                                     line_facts, shares, supplier_activity, telecom_columns)
+from regiocast.session import cut_lineage
 from regiocast.sources.tables import Tables
 
 KEY = ["ym", "region"]
@@ -87,25 +89,34 @@ def add_strict_changes(df: DataFrame, value: str) -> DataFrame:
 
 
 def wide_activity(t: Tables) -> DataFrame:
-    """Spine of the marts: customer side left-joined with the supplier side, one pass each.
+    """Spine of the marts: customer side left-joined with the supplier side.
 
-    The join uses the month number both sides were grouped by, so it needs no new exchange.
+    Line items are read and joined with their parts once; the sums per order and per supplier and
+    month are written in the shared folder, and both sides start from them.
     """
-    spine = customer_activity(t).filter(F.col("total_tx_count").isNotNull())
+    facts = cut_lineage(line_facts(t.lineitem, t.part))
+    return both_sides(
+        customer_activity(t, months=customer_months(t, lines=facts_by_order(facts))),
+        supplier_activity(t, facts_by_supplier(facts)))
+
+
+def both_sides(customers: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """The join uses the month number both sides were grouped by, so it needs no new exchange."""
+    spine = customers.filter(F.col("total_tx_count").isNotNull())
     zero = F.lit(0).cast("bigint")
     return (
-        left_join_all(spine, [(supplier_activity(t).drop("ym"), ["m", "region"])])
+        left_join_all(spine, [(suppliers.drop("ym"), ["m", "region"])])
         .withColumn("move_out", F.coalesce("move_out", zero))
         .withColumn("net_move", F.col("move_in") - F.col("move_out"))
     )
 
 
-def _base(t: Tables) -> DataFrame:
-    return add_changes(add_ratios(wide_activity(t)))
+def base_columns(wide: DataFrame) -> DataFrame:
+    return add_changes(add_ratios(wide)).select(*BASE_COLUMNS)
 
 
 def base_mart(t: Tables) -> DataFrame:
-    return _base(t).select(*BASE_COLUMNS)
+    return base_columns(wide_activity(t))
 
 
 def add_holiday_flags(df: DataFrame) -> DataFrame:

@@ -33,6 +33,53 @@ def _when_sum(condition, value):
     return F.sum(F.when(condition, value).otherwise(F.lit(0).cast("bigint")))
 
 
+LINE_SUMS = ["lines", "qty", *POPULATION, "net", *CATEGORIES]
+ORDER_SUMS = ["orders", "total", "rental_total", *PRIORITIES]
+SUPPLY_SUMS = ["lines", "qty", "price", "retail"]
+FACT_SUMS = [*LINE_SUMS, "price", "retail"]
+
+
+def line_facts(lines: DataFrame, part: DataFrame) -> DataFrame:
+    """Both sides of the mart from one pass over line items and one join with the parts.
+
+    Every line counts twice, tagged by ``side``: for its order (``key``, no month) and for its
+    supplier and ship month. The tagged rows are aggregated together, so there is one exchange by
+    part (none where parts are broadcast) and one by (side, key, m). A line whose part is unknown
+    counts in no category and has no list price.
+    """
+    narrow = lines.select(
+        "l_orderkey", "l_suppkey", "l_partkey", "l_returnflag",
+        month_no("l_shipdate").alias("ship"), hundredths("l_quantity").alias("qty"),
+        hundredths("l_extendedprice").alias("price"),
+        (hundredths("l_extendedprice") * (F.lit(100) - hundredths("l_discount"))).alias("net"))
+    parts = part.select("p_partkey", "p_type", hundredths("p_retailprice").alias("retail"))
+    joined = narrow.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("bigint")
+    by_order = F.struct(
+        F.lit("order").alias("side"), F.col("l_orderkey").alias("key"),
+        F.lit(None).cast("int").alias("m"), F.lit(1).cast("bigint").alias("lines"), "qty",
+        *[F.when(F.col("l_returnflag") == flag, F.col("qty")).otherwise(zero).alias(name)
+          for name, flag in POPULATION.items()], "net",
+        *[F.when(F.col("p_type") == c.upper(), F.col("net")).otherwise(zero).alias(c)
+          for c in CATEGORIES], none.alias("price"), none.alias("retail"))
+    by_supplier = F.struct(
+        F.lit("supplier").alias("side"), F.col("l_suppkey").alias("key"),
+        F.col("ship").cast("int").alias("m"), F.lit(1).cast("bigint").alias("lines"), "qty",
+        *[none.alias(c) for c in [*POPULATION, "net", *CATEGORIES]], "price", "retail")
+    return (joined.select(F.inline(F.array(by_order, by_supplier)))
+            .groupBy("side", "key", "m").agg(*[F.sum(c).alias(c) for c in FACT_SUMS]))
+
+
+def facts_by_order(facts: DataFrame) -> DataFrame:
+    return facts.filter(F.col("side") == "order").select(
+        F.col("key").alias("l_orderkey"), *LINE_SUMS)
+
+
+def facts_by_supplier(facts: DataFrame) -> DataFrame:
+    return facts.filter(F.col("side") == "supplier").select(
+        F.col("key").alias("l_suppkey"), "m", *SUPPLY_SUMS)
+
+
 def order_lines(t: Tables, categories: bool = True) -> DataFrame:
     """One row per order: line count, quantities by return flag, net sales, and with
     ``categories`` net sales by category, which alone need the parts. A line whose part is
@@ -57,19 +104,30 @@ def order_lines(t: Tables, categories: bool = True) -> DataFrame:
     )
 
 
-def customer_months(t: Tables, with_lines: bool = True, categories: bool = True) -> DataFrame:
-    """One row per (customer, month) with everything its orders add up to."""
-    orders = t.orders.select(
+def narrow_orders(orders: DataFrame) -> DataFrame:
+    return orders.select(
         "o_orderkey", "o_custkey", month_no("o_orderdate").alias("m"),
         hundredths("o_totalprice").alias("total"), "o_orderpriority")
-    measures = [F.count(F.lit(1)).alias("orders"), F.sum("total").alias("total"),
-                _when_sum(F.col("o_orderpriority") == PRIORITIES["rental_count"],
-                          F.col("total")).alias("rental_total"),
-                *[F.count(F.when(F.col("o_orderpriority") == p, 1)).alias(name)
-                  for name, p in PRIORITIES.items()]]
+
+
+def order_measures() -> list:
+    """What the orders of a group add up to."""
+    return [F.count(F.lit(1)).alias("orders"), F.sum("total").alias("total"),
+            _when_sum(F.col("o_orderpriority") == PRIORITIES["rental_count"],
+                      F.col("total")).alias("rental_total"),
+            *[F.count(F.when(F.col("o_orderpriority") == p, 1)).alias(name)
+              for name, p in PRIORITIES.items()]]
+
+
+def customer_months(t: Tables, with_lines: bool = True, categories: bool = True,
+                    lines: DataFrame | None = None) -> DataFrame:
+    """One row per (customer, month) with everything its orders add up to. ``lines``: sums per
+    order, where they exist already."""
+    orders = narrow_orders(t.orders)
+    measures = order_measures()
     if with_lines:
-        orders = orders.join(order_lines(t, categories),
-                             F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        lines = order_lines(t, categories) if lines is None else lines
+        orders = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         measures += [F.sum(c).alias(c)
                      for c in ["lines", "qty", *POPULATION, "net",
                                *(CATEGORIES if categories else [])]]
@@ -89,19 +147,21 @@ def by_region(t: Tables, by_code: DataFrame, counts: list[str],
     )
 
 
-def customer_activity(t: Tables, with_lines: bool = True, categories: bool = True) -> DataFrame:
+def customer_activity(t: Tables, with_lines: bool = True, categories: bool = True,
+                      months: DataFrame | None = None) -> DataFrame:
     """(month, customer region) frame behind population, sales, asset, demographic and
     telecom staging: one pass over the facts for all of them. Without ``categories`` the
-    parts are not read."""
+    parts are not read. ``months``: rows of :func:`customer_months`, where they exist already."""
     split = CATEGORIES if categories else []
     customers = t.customer.select(
         "c_custkey", "c_nationkey", hundredths("c_acctbal").alias("balance"), "c_mktsegment")
     sums = ["orders", "total", "rental_total", *PRIORITIES]
     if with_lines:
         sums += ["lines", "qty", *POPULATION, "net", *split]
+    if months is None:
+        months = customer_months(t, with_lines, categories)
     by_code = (
-        customer_months(t, with_lines, categories)
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        months.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("m", F.col("c_nationkey").alias("code"))
         .agg(F.count(F.lit(1)).alias("customers"),
              wide_sum(F.col("balance") * F.col("orders")).alias("balance"),
@@ -148,15 +208,19 @@ def supplier_months(t: Tables) -> DataFrame:
     )
 
 
-def supplier_activity(t: Tables) -> DataFrame:
+def supplier_activity(t: Tables, rows: DataFrame | None = None) -> DataFrame:
     """(ship month, supplier region) frame behind price, outflow and commercial staging.
 
+    ``rows``: rows of :func:`supplier_months`, where they exist already.
     A supplier opens in a month when it was not active in the month before, and closes in the
     month after its last consecutive active one. Windows run per supplier over months.
     """
     w = Window.partitionBy("l_suppkey").orderBy("m")
-    last = t.lineitem.agg(F.max(month_no("l_shipdate"))).scalar()
-    months = supplier_months(t).select(
+    if rows is None:
+        rows, last = supplier_months(t), t.lineitem.agg(F.max(month_no("l_shipdate"))).scalar()
+    else:
+        last = rows.agg(F.max("m")).scalar()
+    months = rows.select(
         "*",
         (F.col("m") - F.min("m").over(w)).alias("tenure"),
         F.when(F.lag("m").over(w) == F.col("m") - 1, 0).otherwise(1).alias("opened"),

@@ -179,3 +179,26 @@ def freshness(log: DataFrame, target_seconds: int, as_of=None) -> DataFrame:
     lag = F.timestamp_diff("SECOND", F.col("last_refresh"), now)
     return latest.withColumn("lag_seconds", lag).withColumn(
         "state", F.when(F.col("lag_seconds") > target_seconds, "LATE").otherwise("OK"))
+
+
+def health_rows(log: DataFrame, target_seconds: int, as_of=None) -> DataFrame:
+    """A row per component: type, last refresh, target lag, refresh and task state, and for a
+    model its version, which counts its refreshes.
+
+    ``log`` has component, component_type, row_count and refreshed_at. A downstream component has
+    no lag of its own: its target is that of what it depends on. The task state is that of the
+    newest run, which is EMPTY when it wrote no rows.
+    """
+    newest = log.groupBy("component").agg(
+        F.max_by("component_type", "refreshed_at").alias("component_type"),
+        F.max_by("row_count", "refreshed_at").alias("_rows"))
+    fresh = freshness(log, target_seconds, as_of).select(
+        F.col("component").alias("_c"), F.col("last_refresh").alias("last_refresh_time"),
+        "refreshes", "lag_seconds", F.col("state").alias("refresh_state"))
+    kind = F.col("component_type")
+    return newest.join(fresh, F.col("component") == F.col("_c")).select(
+        "component", "component_type", "last_refresh_time",
+        F.when(kind == "DOWNSTREAM", "DOWNSTREAM").otherwise(f"{target_seconds} seconds")
+        .alias("target_lag"), "lag_seconds", "refresh_state",
+        F.when(F.col("_rows") > 0, "SUCCEEDED").otherwise("EMPTY").alias("task_state"),
+        F.when(kind == "MODEL", F.concat(F.lit("v"), F.col("refreshes"))).alias("model_version"))

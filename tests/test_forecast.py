@@ -164,7 +164,9 @@ def test_ablation_base_model_equals_plain_backtest(spark):
     df = exog_rows(spark)
     steps = {"MODEL_A": [], "MODEL_B": ["x1"], "MODEL_C": ["x1", "x2"]}
     wide = {(r["model_name"], r["series"]): r for r in exog.ablation_wide(
-        df, steps=steps, features=["x1", "x2"]).collect()}
+        df, steps=steps, features=["x1", "x2"], known=["x1", "x2"]).collect()}
+    assert wide["MODEL_A", "A"]["feature_set"] == "no features"
+    assert wide["MODEL_C", "A"]["feature_set"] == "x1, x2"
     plain = bt.wide_metrics(bt.evaluation_metrics(bt.backtest(df), ["series"]), ["series"])
     for r in plain.collect():
         assert abs(wide["MODEL_A", r["series"]]["mape"] - r["mape"]) < 1e-4
@@ -172,6 +174,79 @@ def test_ablation_base_model_equals_plain_backtest(spark):
                 < wide["MODEL_A", r["series"]]["mape"])
 
 
+def test_ablation_carries_features_that_are_not_known_ahead(spark):
+    """x is 0 up to the last cutoff and 100 behind it: with carried values the target months are
+    predicted as if x were still 0."""
+    start = 12 * 20
+    rows = [("S", dt.date(2000 + i // 12, i % 12 + 1, 1), 50.0 + (i % 7), float(i % 2))
+            for i in range(start)]
+    df = spark.createDataFrame(rows, "series string, ds date, y double, x double")
+    got = exog.carried_features(df, 6, 3, ["x"]).collect()
+    assert {r["fold"]: r["x"] for r in got} == {
+        k: float((start - 1 - (k + 2)) % 2) for k in range(1, 7)}
+    gap = df.filter("ds <> date'2019-07-01'")  # a missing month: the row before it stands in
+    again = {r["fold"]: r["x"] for r in exog.carried_features(gap, 6, 3, ["x"]).collect()}
+    assert set(again) == set(range(1, 7))
+
+
+def test_running_sums_equal_sums_of_every_fold(spark):
+    rows = [(s, dt.date(2001 + i // 12, i % 12 + 1, 1), float((i * 37 + len(s)) % 91 + 1))
+            for s, n in [("long", 60), ("ten", 10), ("three", 3), ("one", 1)] for i in range(n)
+            if not (s == "long" and i % 11 == 4)]
+    df = spark.createDataFrame(rows, "series string, ds date, y double")
+    known, target = bt.split_folds(df, 6, 3)
+    want = {tuple(r) for r in fc.month_sums(known, ["series", "fold"]).select(
+        "series", "fold", "mm", "n", "st", "stt", "sy", "sty", "syy", "last_ds").collect()}
+    sums = bt.fold_sums(df, 6, 3)
+    got = sums.select("series", "fold", "mm", "n", "st", "stt", "sy", "sty", "syy", "last_ds")
+    assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_short_series_keep_their_rows(spark):
+    df = spark.createDataFrame(
+        [("short", dt.date(2020, m, 1), 5.0 + m) for m in (1, 2, 3)]
+        + [("long", dt.date(2018 + i // 12, i % 12 + 1, 1), 10.0 + i) for i in range(30)],
+        "series string, ds date, y double")
+    predictions = bt.backtest(df)
+    short = predictions.filter("series = 'short'").collect()
+    assert short and all(r["forecast"] is None for r in short)
+    long = bt.evaluation_metrics(predictions.withColumn("model_name", F.lit("M")),
+                                 ["model_name", "series"])
+    metrics = {(r["series"], r["error_metric"]): r for r in long.collect()}
+    assert len(metrics) == 6
+    assert metrics["short", "MAPE"]["metric_value"] is None
+    assert metrics["short", "MAPE"]["logs"] == bt.NO_HISTORY
+    assert metrics["long", "MAPE"]["logs"] is None
+    best = {r["series"]: r["best_model"] for r in bt.best_model(
+        bt.wide_metrics(long, ["model_name", "series"])).collect()}
+    assert best == {"short": None, "long": "M"}
+
+
+def test_values_beyond_eighteen_digits(spark):
+    """The same series times 2**80 has the same shape: every result is scaled by it exactly."""
+    rows = [("S", dt.date(2010 + i // 12, i % 12 + 1, 1), float(1000 + 3 * i + (i % 12) ** 2))
+            for i in range(48)]
+    small = spark.createDataFrame(rows, "series string, ds date, y double")
+    factor = 2.0 ** 80
+    large = small.withColumn("y", F.col("y") * factor)
+    for a, b in zip(fc.forecast(small).orderBy("ts").collect(),
+                    fc.forecast(large).orderBy("ts").collect()):
+        assert abs(b["forecast"] / factor - a["forecast"]) < 1e-6 * a["forecast"]
+        assert abs(b["upper_bound"] / factor - a["upper_bound"]) < 1e-5 * a["upper_bound"]
+    x = small.withColumns({"x1": F.col("y") * 1e20, "x2": F.month("ds").cast("double")})
+    plain = small.withColumns({"x1": F.col("y"), "x2": F.month("ds").cast("double")})
+    got, want = ([(r["feature_name"], round(r["importance_score"], 9)) for r in
+                  exog.feature_importance(d, ["x1", "x2"]).orderBy("rank").collect()]
+                 for d in (x, plain))
+    assert got == want
+    wild = spark.createDataFrame(
+        [("S", "M", 1, 1e-12, 1e6), ("S", "M", 1, 2.0, 1.0)],
+        "series string, model_name string, fold int, actual double, forecast double")
+    found = {r["error_metric"]: r["metric_value"] for r in bt.evaluation_metrics(
+        wild, ["model_name", "series"]).collect()}
+    assert found["MAPE"] > 1e19 and found["SMAPE"] < 200
+
+
 def test_importance_shares(spark):
     rows = exog.feature_importance(exog_rows(spark), ["x1", "x2", "x3"]).collect()
     for s in ("A", "B"):

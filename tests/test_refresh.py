@@ -72,7 +72,19 @@ def test_full_build_and_health(spark, tables):
     build = Build(tables, scratch_path(spark, "build")).run()
     health = {r["component"]: r["state"] for r in build.health().collect()}
     assert health == {name: "OK" for name in build.done}
-    assert len(health) == 6
+    assert len(health) == 12
+    rows = {r["component"]: r for r in build.health_rows().collect()}
+    assert rows["signal_mart"]["component_type"] == "MART"
+    assert rows["signal_mart"]["target_lag"] == "3600 seconds"
+    assert rows["allocation"]["target_lag"] == "DOWNSTREAM"
+    assert rows["exog_forecast"]["model_version"] == "v1"
+    assert {r["task_state"] for r in rows.values()} == {"SUCCEEDED"}
+    # what is written is what the queries of the catalogue give
+    from regiocast.catalog import load_all
+    for name in ("forecast_results", "best_model", "model_summary", "feature_importance"):
+        want = load_all()[name](spark, tables.path)
+        got = build.read(name).select(*want.columns)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty(), name
     late = build.health(60, as_of=dt.datetime(2999, 1, 1)).collect()
     assert {r["state"] for r in late} == {"LATE"}
     assert build.read("allocation").count() > 0
