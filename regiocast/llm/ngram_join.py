@@ -18,7 +18,8 @@ not paired with each other, but with the least of them: in a group of near copie
 joins all. Where members of one signature are still in different components afterwards, and
 only there, the pairs between different components are examined too, so every component is
 exact. Before two texts are fetched, their sizes and a histogram of their hashes (whose
-difference is a lower bound on the number of differing hashes) must allow a link.
+difference is a lower bound on the number of differing hashes) must allow a link; across
+components both are checked while a signature is streamed, before a pair is put out.
 
 Links lie inside components, so they are counted there: a component's classes are dealt into
 chunks, and any two chunks whose sizes allow a link meet in one group, where all intersections
@@ -29,7 +30,8 @@ brings equal signatures together, so a signature shared by very many classes is
 
 Null, empty and word-less texts have no shingles and link with nothing; a text with fewer than
 five words is one shingle; very long texts are taken whole; repeated rows are copies of each
-other, and rows with the same doc_id are told apart by their texts but verified by any of them;
+other, and rows with the same doc_id are told apart by their texts; a null doc_id links like any
+other, and is the least of a component only where all its ids are null;
 an empty table gives an empty result; other columns are neither read nor returned.
 """
 
@@ -49,6 +51,7 @@ from regiocast.session import cut_lineage
 
 SKETCH = 64  # cells of the histogram
 CHUNK, CHUNK_SHINGLES = 512, 1 << 20  # classes and shingles that a chunk holds, about
+CELL = 1024  # classes of a signature in one part
 SLAB = 2048  # shingles whose holders are counted at once
 BROADCAST_PAIRS = 500_000  # up to here the ids of all pairs are small enough to broadcast
 _SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], dtype=np.uint64)
@@ -119,7 +122,7 @@ def texts_in(batch: pa.RecordBatch, column: str, step: int = 512):
 
 
 def set_table(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n_shingles, fp, fp2, sketch) of ``docs (doc_id, text)``."""
+    """Rows (doc_id, text_key, n_shingles, fp, fp2, sketch) of ``docs (doc_id, text)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, texts in texts_in(batch, "text"):
@@ -127,15 +130,16 @@ def set_table(docs: DataFrame) -> DataFrame:
                 seen = [describe(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, len(texts)),
+                     batch.column("text_key").slice(lo, len(texts)),
                      pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([d[0] for d in seen], pa.int64()),
                      pa.array([d[1] for d in seen], pa.int64()),
                      pa.array([d[2] for d in seen], pa.binary())],
-                    ["doc_id", "n_shingles", "fp", "fp2", "sketch"])
+                    ["doc_id", "text_key", "n_shingles", "fp", "fp2", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_shingles bigint, fp bigint, fp2 bigint, sketch binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+        run, f"doc_id {kind}, text_key bigint, n_shingles bigint, fp bigint, fp2 bigint, sketch binary")
 
 
 def signature_table(docs: DataFrame) -> DataFrame:
@@ -207,52 +211,40 @@ def verified(pairs: DataFrame, docs: DataFrame, share: tuple[int, int]) -> DataF
     num, den = share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, np.ndarray] = {}
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
-                texts = {}
-                for c, ids in (("text_a", a), ("text_b", b)):
-                    for i, t in zip(ids, part.column(c).to_pylist()):
-                        if i not in known:
-                            texts[i] = t
-                known.update(zip(texts, shingle_sets(list(texts.values()))))
-                shared = [len(np.intersect1d(known[x], known[y], assume_unique=True))
-                          for x, y in zip(a, b)]
-                good = [den * s >= num * (len(known[x]) + len(known[y]) - s)
-                        for x, y, s in zip(a, b, shared)]
-                yield part.select(["a", "b"]).filter(pa.array(good))
-                known = {a[-1]: known[a[-1]]}
-
-    texts = docs.select("doc_id", "text")
-    wanted = pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id")).distinct()
-    if pairs.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS:
-        # at most twice as many ids: texts that no pair asks for are dropped before the shuffle
-        texts = texts.join(F.broadcast(wanted), "doc_id", "left_semi")
-    left = pairs.join(texts.withColumnsRenamed({"doc_id": "doc_b", "text": "text_b"}), "doc_b")
-    full = left.join(texts.withColumnsRenamed({"doc_id": "doc_a", "text": "text_a"}), "doc_a")
-    return full.select("a", "b", "text_a", "text_b").mapInArrow(
-        run, "a bigint, b bigint").distinct()
-
-
-def class_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """One row (fp, text) for each class of ``wanted (fp, doc)``; ``doc`` only narrows the rows
-    read, the text is chosen by its fingerprint."""
+            a, b = (batch.column(c) for c in ("set_a", "set_b"))
+            good = []
+            for k in range(batch.num_rows):
+                x, y = (np.frombuffer(c[k].as_buffer(), np.uint64) for c in (a, b))
+                s = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(den * s >= num * (len(x) + len(y) - s))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    sets = class_sets(pairs.select(F.inline(F.array(
+        F.struct(F.col("a").alias("fp"), F.col("doc_a").alias("doc")),
+        F.struct(F.col("b").alias("fp"), F.col("doc_b").alias("doc"))))).distinct(), docs)
+    left = pairs.select("a", "b").join(sets.withColumnsRenamed({"fp": "b", "members": "set_b"}), "b")
+    full = left.join(sets.withColumnsRenamed({"fp": "a", "members": "set_a"}), "a")
+    return full.select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def class_sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """One row (fp, members) for each class of ``wanted (fp, doc)``: its shingles, sorted, eight
+    bytes each. ``doc`` only narrows the rows read, the set is chosen by its fingerprint, so null
+    ids and ids with several texts do no harm."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for batch in batches:
-            for lo, texts in texts_in(batch, "text"):
-                new, fps = [], []
-                for i, members in enumerate(shingle_sets(texts)):
+            for _, texts in texts_in(batch, "text"):
+                fps, held = [], []
+                for members in shingle_sets(texts):
                     fp = describe(members)[0]
                     if fp not in met:
                         met.add(fp)
-                        new.append(lo + i)
                         fps.append(fp)
+                        held.append(members.tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(fps, pa.int64()), batch.column("text").take(
-                        pa.array(new, pa.int64()))], ["fp", "text"])
+                    [pa.array(fps, pa.int64()), pa.array(held, pa.binary())], ["fp", "members"])
 
     ids = wanted.select(F.col("doc").alias("wanted_doc")).distinct()
     fps = wanted.select("fp").distinct()
@@ -260,8 +252,78 @@ def class_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
         ids, fps = F.broadcast(ids), F.broadcast(fps)
     texts = docs.select("doc_id", "text").join(
         ids, F.col("doc_id").eqNullSafe(F.col("wanted_doc")), "left_semi")
-    return texts.select("text").mapInArrow(run, "fp bigint, text string").join(
-        fps, "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text"))
+    return texts.select("text").mapInArrow(run, "fp bigint, members binary").join(
+        fps, "fp", "left_semi").groupBy("fp").agg(F.first("members").alias("members"))
+
+
+def across(placed: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of one signature in different components whose sizes and histograms allow a
+    link, of ``placed (sig, fp, root, n_shingles, sketch)``.
+
+    A signature's classes are dealt into parts of about ``CELL``; any two parts meet in a cell. In
+    a cell classes are compared in the order of their sizes, each with those up to a quarter
+    larger; only pairs that pass are put out.
+    """
+    num, den = share
+
+    def near(t: dict[str, np.ndarray]) -> np.ndarray:
+        new = np.concatenate([[True], (np.diff(t["sig"]) != 0) | (np.diff(t["lo"]) != 0)
+                              | (np.diff(t["hi"]) != 0)])
+        ends = np.concatenate([np.flatnonzero(new)[1:], [len(new)]])
+        end = ends[np.cumsum(new) - 1]
+        left, step, found = np.arange(len(new)), 0, []
+        while len(left):
+            step += 1
+            left = left[left + step < end[left]]
+            other = left + step
+            # sizes grow along a cell, so a row that is too small now stays so
+            fits = den * t["n"][left] >= num * t["n"][other]
+            left, other = left[fits], other[fits]
+            meet = (t["root"][left] != t["root"][other]) & (
+                (t["side"][left] == 2) | (t["side"][left] != t["side"][other]))
+            for lo in range(0, len(left), 1 << 16):
+                i, j = (x[lo:lo + (1 << 16)][meet[lo:lo + (1 << 16)]] for x in (left, other))
+                gap = np.abs(t["sketch"][i] - t["sketch"][j]).sum(axis=1, dtype=np.int64)
+                ok = gap * (den + num) <= (t["n"][i] + t["n"][j]) * (den - num)
+                found.append(np.stack([t["fp"][i][ok], t["fp"][j][ok]], axis=1))
+        pairs = np.sort(np.concatenate(found) if found else np.zeros((0, 2), np.int64), axis=1)
+        return np.unique(pairs, axis=0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = {c: batch.column(c).to_numpy() for c in (
+                "sig", "lo", "hi", "side", "fp", "root", "n")}
+            t["sketch"] = np.frombuffer(b"".join(batch.column("sketch").to_pylist()),
+                                        np.uint8).reshape(-1, SKETCH).astype(np.int16)
+            if held is not None:
+                t = {c: np.concatenate([held[c], t[c]]) for c in t}
+            last = [c for c in ("sig", "lo", "hi")]
+            same = np.logical_and.reduce([t[c] == t[c][-1] for c in last])
+            cut = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
+            held = {c: t[c][cut:] for c in t}  # the last cell may go on
+            if cut:
+                pairs = near({c: t[c][:cut] for c in t})
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
+                                                 ["a", "b"])
+        if held is not None:
+            pairs = near(held)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
+                                             ["a", "b"])
+
+    parts = placed.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"))
+    own = placed.join(parts, "sig").withColumn(
+        "part", F.pmod(F.xxhash64("fp", F.lit("part")), F.col("parts")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    part, other = F.col("part"), F.col("other")
+    cells = own.select(
+        "sig", F.least(part, other).alias("lo"), F.greatest(part, other).alias("hi"),
+        F.when(part == other, 2).when(part < other, 0).otherwise(1).cast("int").alias("side"),
+        "fp", "root", F.col("n_shingles").alias("n"), "sketch")
+    return cells.repartition("sig", "lo", "hi").sortWithinPartitions(
+        "sig", "lo", "hi", "n", "fp").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -287,7 +349,7 @@ def link_counts(placed: DataFrame, docs: DataFrame, share: tuple[int, int]) -> D
     num, den = share
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        sets = shingle_sets(group["text"].tolist())
+        sets = [np.frombuffer(x, np.uint64) for x in group["members"]]
         n = np.array([len(x) for x in sets])
         both = shared_counts(sets)
         good = den * both >= num * (n[:, None] + n[None, :] - both)
@@ -330,15 +392,20 @@ def link_counts(placed: DataFrame, docs: DataFrame, share: tuple[int, int]) -> D
                   F.when(part == other, 2).when(part < other, 0).otherwise(1)).unionByName(
         meets("above", band, part, band + 1, other, F.lit(0))).unionByName(
         meets("below", band - 1, other, band, part, F.lit(1)))
-    texts = cut_lineage(class_texts(placed.select("fp", "doc"), docs))
-    return keyed.join(texts, "fp").groupBy("root", "b1", "p1", "b2", "p2").applyInPandas(
+    held = cut_lineage(class_sets(placed.select("fp", "doc"), docs))
+    return keyed.join(held, "fp").groupBy("root", "b1", "p1", "b2", "p2").applyInPandas(
         run, "fp bigint, n bigint").groupBy("fp").agg(F.sum("n").alias("n_links"))
 
 
-def near_duplicates(docs: DataFrame, share: tuple[int, int] = (4, 5)) -> DataFrame:
+def near_duplicates(docs: DataFrame, share: tuple[int, int] = (4, 5),
+                    links_too: bool = True, keys_too: bool = False) -> DataFrame:
     """Per row of ``docs (doc_id, text)``: doc_id, n_shingles, class_id (least doc_id with the
     same set), n_links (all other classes it links with), component_id.
 
+    ``links_too``: count links, which costs the square of a component's classes; ``keys_too``: add
+    ``text_key``, a hash of the text, and ``group_key``, which no two components share (doc_ids
+    may be null or stand for several texts, so component_ids may be shared; null without words).
+
     ``share``: the least similarity, as a fraction; the signatures hold for 4/5 and more.
     """
     num, den = share
@@ -371,13 +438,11 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = (4, 5)) -> DataFra
         F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where(
         "n > 2 AND lo <> hi").select("sig")
     still = cut_lineage(placed.join(open_sigs, "sig").join(
-        classes.select("fp", "n_shingles"), "fp").select("sig", "fp", "root", "n_shingles"))
-    one, two = (still.select("sig", F.col("fp").alias(x), F.col("root").alias(f"r_{x}"),
-                             F.col("n_shingles").alias(f"n_{x}")) for x in "ab")
-    across = one.join(two, "sig").where(
-        (F.col("r_a") != F.col("r_b")) & (F.col("a") < F.col("b"))
-        & (den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b"))).select("a", "b").distinct()
-    second = links(across.join(found.select("a", "b").distinct(), ["a", "b"], "left_anti"))
+        classes.select("fp", "n_shingles", "sketch"), "fp").select(
+        "sig", "fp", "root", "n_shingles", "sketch"))
+    second = links(across(still, share).join(
+        found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
+        ["a", "b"], "left_anti"))
 
     linked = cut_lineage(first.unionByName(second).distinct())
     roots = components(linked)
@@ -386,18 +451,26 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = (4, 5)) -> DataFra
     placed = cut_lineage(roots.join(classes.select(
         F.col("fp").alias("node"), "n_shingles", "doc"), "node").select(
         "root", F.col("node").alias("fp"), "n_shingles", "doc"))
-    many = placed.join(placed.groupBy("root").count().where("count > 2").select("root"), "root")
-    degree = roots.select("node").join(
-        link_counts(many, docs, share).withColumnRenamed("fp", "node"), "node", "left").select(
-        "node", F.coalesce("n_links", F.lit(1)).alias("n_links"))  # two classes: one link
+    if links_too:
+        many = placed.join(placed.groupBy("root").count().where("count > 2").select("root"), "root")
+        degree = roots.select("node").join(
+            link_counts(many, docs, share).withColumnRenamed("fp", "node"), "node", "left").select(
+            "node", F.coalesce("n_links", F.lit(1)).alias("n_links"))  # two classes: one link
+    else:
+        degree = roots.select("node", F.lit(None).cast("bigint").alias("n_links"))
     places = roots.join(smallest, "root").join(degree, "node").select(
-        F.col("node").alias("fp"), "component", "n_links")
+        F.col("node").alias("fp"), F.col("root").alias("group_key"), "component", "n_links",
+        F.lit(True).alias("linked"))
+    linked = F.coalesce("linked", F.lit(False))
     per_class = classes.join(places, "fp", "left").select(
-        "fp", "fp2", F.col("n_shingles").alias("n"), "doc", F.coalesce("component", "doc")
-        .alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        "fp", "fp2", F.col("n_shingles").alias("n"), "doc",
+        F.when(linked, F.col("component")).otherwise(F.col("doc")).alias("component"),
+        F.when(linked, F.col("n_links")).otherwise(0).alias("n_links"),
+        F.coalesce("group_key", "fp").alias("group_key"))
     out = sets.join(per_class, (sets.fp == per_class.fp) & (sets.fp2 == per_class.fp2)
                     & (sets.n_shingles == per_class.n), "left")
     return out.select(
         "doc_id", "n_shingles", F.coalesce("doc", "doc_id").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.coalesce("component", "doc_id").alias("component_id"))
+        *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if links_too else []),
+        F.coalesce("component", "doc_id").alias("component_id"),
+        *(["text_key", "group_key"] if keys_too else []))

@@ -135,3 +135,40 @@ def test_links_of_all_class_pairs_are_counted(spark, monkeypatch):
     for chunk in (512, 9):
         monkeypatch.setattr(ngram_join, "CHUNK", chunk)
         assert {r.doc_id: r.n_links for r in near_duplicates(df).collect()} == want
+
+
+def test_null_and_doubled_ids(spark):
+    """Texts are told apart by what they say, whatever their ids: (None, A) links to (5, A + one
+    word), and (7, Z), (8, Z + one word) link although another text has id 7."""
+    rnd = random.Random(3)
+    a, z, q = (" ".join(f"{c}{rnd.randrange(10 ** 6)}" for _ in range(60)) for c in "azq")
+    rows = [(None, a), (5, a + " more"), (7, z), (7, q), (8, z + " more"), (None, "only here " * 3),
+            (None, "only here " * 3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.n_links, r.component_id) for r in
+                  near_duplicates(df, keys_too=True).collect()), key=repr)
+    assert got == sorted([(None, 56, 1, 5), (5, 57, 1, 5), (7, 56, 1, 7), (7, 56, 0, 7),
+                          (8, 57, 1, 7), (None, 2, 0, None), (None, 2, 0, None)], key=repr)
+    groups = near_duplicates(df, links_too=False, keys_too=True)
+    assert "n_links" not in groups.columns
+    assert groups.select("group_key").distinct().count() == 4
+
+
+def test_large_signatures_are_dealt_into_cells(spark, monkeypatch):
+    """A passage shared by many documents of several groups: pairs across groups are met in small
+    cells, and the components stay those of brute force."""
+    rnd = random.Random(12)
+    passage = [f"p{k}" for k in range(60)]
+    rows = []
+    for g in range(12):
+        own = [f"g{g}x{k}" for k in range(16)]
+        for _ in range(15):
+            words = list(own)
+            for _ in range(rnd.randrange(3)):
+                words[rnd.randrange(16)] = f"z{rnd.randrange(10 ** 6)}"
+            rows.append((len(rows), " ".join(words + passage)))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for cell in (1024, 7):
+        monkeypatch.setattr(ngram_join, "CELL", cell)
+        assert run(df) == brute(rows)
