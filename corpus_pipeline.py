@@ -3,6 +3,11 @@
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet in the
 shared folder and reads it back as the next stage's documents, so a lost executor costs a task
 and never a stage. All stages but the last keep the columns of ``documents``.
+
+Null and empty texts: scored like others by the classifier, rejected by the rules (fewer than ten
+words). Null doc_ids and ids with several texts are rows like others; of repeated rows the join
+keeps one. Equal scores, sizes or ids are settled by hashes, so reruns agree. An empty table gives
+an empty result. Further columns of ``documents``, whatever their names, are carried to the mix.
 """
 
 from __future__ import annotations
@@ -16,19 +21,13 @@ from regiocast.llm.ngram_join import near_duplicates
 from regiocast.llm.packing import pack_documents
 from regiocast.llm.quality_classifier import learn, score_column
 from regiocast.llm.quality_rules import clean_documents
-from regiocast.llm.text import fold
-from regiocast.session import scratch_path
+from regiocast.llm.text import fold, word_count
+from regiocast.session import cut_lineage, scratch_path
 from regiocast.sources.tables import Tables
 
 THRESHOLD = 0.3
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id stands in ``ids (doc_id)``; a null id matches a null id."""
-    chosen = ids.select(F.col("doc_id").alias("kept_doc_id"))
-    return docs.join(chosen, docs.doc_id.eqNullSafe(chosen.kept_doc_id), "left_semi")
-
-
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the compression classifier scores below the threshold."""
     labels = Tables(spark, sf_dir).labels
@@ -37,13 +36,33 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail the base figures or lose half their words to line rules."""
-    return clean_documents(docs, carry=True).where("kept").select("row.*")
+    """Drops documents that fail the base figures or lose half their words to line rules; the
+    others go on without the lines that failed."""
+    kept = clean_documents(docs, carry=True).where("kept")
+    fresh = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("bigint")}
+    return kept.select(*[fresh.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least doc_id of each group of near copies."""
-    return _keep(docs, near_duplicates(docs).where("component_id <=> doc_id").select("doc_id"))
+    """Keeps one row of each group of near copies, that of the least doc_id (a null one last, equal
+    ids by their texts' hashes), and one of repeated rows. Documents without words all stay."""
+    key = F.xxhash64("text")
+    found = cut_lineage(near_duplicates(docs, links_too=False, keys_too=True).where(
+        "n_shingles > 0").select("doc_id", "text_key", "group_key"))
+    first = found.groupBy("group_key").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("best")).select(
+        F.col("best.doc_id").alias("_doc_id"), F.col("best.text_key").alias("_text_key"))
+    times = found.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("_times"))
+    chosen = cut_lineage(first.join(times, F.col("_doc_id").eqNullSafe(F.col("doc_id")) & (
+        F.col("_text_key") == F.col("text_key"))).select("_doc_id", "_text_key", "_times"))
+
+    def rows(condition: str) -> DataFrame:
+        return docs.join(chosen.where(condition), docs.doc_id.eqNullSafe(F.col("_doc_id")) & (
+            key == F.col("_text_key")), "left_semi")
+
+    wordless = docs.where(word_count(F.col("text")) == 0)
+    return rows("_times = 1").unionByName(rows("_times > 1").dropDuplicates(
+        ["doc_id", "text"])).unionByName(wordless)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +71,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("taken_doc_id"),
         F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2)).cast("int")
         .alias("copies")).groupBy("taken_doc_id").agg(F.max("copies").alias("copies"))
-    return docs.join(taken, docs.doc_id.eqNullSafe(taken.taken_doc_id)).select(
-        *docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select(
-        *docs.columns)
+    rows = docs.select(F.struct("*").alias("row"))  # its names cannot clash with those above
+    return rows.join(taken, F.col("row.doc_id").eqNullSafe(F.col("taken_doc_id"))).select(
+        "row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
