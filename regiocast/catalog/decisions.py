@@ -79,7 +79,8 @@ def scenario_projection(t):
   user_pct / 100 * 50000000 AS user_budget, user_pct - plan_pct AS deviation,
   CASE WHEN abs(user_pct - plan_pct) > 15 THEN
    CASE WHEN user_pct < plan_pct THEN 'under' ELSE 'over' END ELSE 'ok' END AS flag
- FROM (SELECT n_name AS region, coalesce(share_pct, 33.3)::DOUBLE AS plan_pct,
+ FROM (SELECT n_name AS region, coalesce(share_pct,
+   round(100.0 / (SELECT count(*) FROM nation), 1))::DOUBLE AS plan_pct,
    (n_nationkey % 3 * 10)::DOUBLE AS user_pct FROM nation LEFT JOIN next_month
    ON series = n_name)"""))
 def plan_comparison(t):

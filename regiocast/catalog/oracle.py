@@ -34,10 +34,6 @@ def rounded(expr: str, digits: int) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(24,6)), {digits}) AS DOUBLE)"
 
 
-def _list(values: list[int]) -> str:
-    return "[" + ",".join(str(v) for v in values) + "]"
-
-
 part("act_lines", "", """
  SELECT strftime(o_orderdate,'%Y%m') AS ym, n_name AS region, count(*) AS total_tx_count,
   sum(CASE WHEN l_returnflag='A' THEN CAST(l_quantity AS DECIMAL(12,2)) ELSE 0 END) AS res_pop,
@@ -183,25 +179,20 @@ part("months", "", """
   (SELECT max(o_orderdate) FROM orders)::TIMESTAMP, INTERVAL 1 MONTH)) AS m)""")
 
 
-def _trend(slopes: list[int]) -> str:
-    return (f"({fixed.INDEX_BASE}::DECIMAL(12,2) + i * "
-            f"CAST({_list(slopes)}[n_nationkey % 3 + 1] AS DECIMAL(12,2)) / 100)")
-
-
-def _index(expr: str, season: list[int], by: int = 1) -> str:
-    # whole units of 1/10000, rounded half up to tenths
-    return (f"((CAST(round({expr} * 100) AS BIGINT) * {_list(season)}[mm]) * 2 + {1000 * by})"
-            f" // {2000 * by} / 10.0::DOUBLE")
-
-
-_d, _f, _s = (_trend(x) for x in (fixed.SLOPE_DOMESTIC, fixed.SLOPE_FOREIGN, fixed.SLOPE_SPEND))
-part("tourism", "months", f"""
- SELECT ym, n_name AS region,
-  {_index(_d, fixed.SEASON_DOMESTIC)} AS domestic_visitor_idx,
-  {_index(_f, fixed.SEASON_FOREIGN)} AS foreign_visitor_idx,
-  {_index(_s, fixed.SEASON_SPEND)} AS tourism_spend_idx,
-  {_index(f"({_d} + {_f} + {_s})", fixed.SEASON_SPEND, 3)} AS tourism_demand_idx
- FROM months CROSS JOIN nation""")
+_VISITS = {"domestic_visitor_idx": "visit_pop", "foreign_visitor_idx": "work_pop",
+           "tourism_spend_idx": "total_sales"}
+part("tourism", "months population card_sales", f"""
+ SELECT ym, region, {", ".join(f"{rounded(c, 1)} AS {c}" for c in _VISITS)},
+  {rounded("(" + " + ".join(_VISITS) + ") / 3.0::DOUBLE", 1)} AS tourism_demand_idx
+ FROM (SELECT ym, region, {", ".join(
+     f"CASE WHEN b_{c} > 0 THEN {c} * 100.0::DOUBLE / b_{c} END AS {i}" for i, c in _VISITS.items())}
+  FROM (SELECT *, {", ".join(
+      f"CAST(sum(CAST({c} AS DECIMAL(28,4))) FILTER (i < 12) OVER (PARTITION BY region) AS DOUBLE)"
+      f" / 12.0::DOUBLE AS b_{c}" for c in _VISITS.values())}
+   FROM (SELECT m.ym, m.i, n_name AS region, coalesce(visit_pop, 0) AS visit_pop,
+     coalesce(work_pop, 0) AS work_pop, coalesce(total_sales, 0) AS total_sales
+    FROM months m CROSS JOIN nation LEFT JOIN population p ON p.ym = m.ym AND p.region = n_name
+    LEFT JOIN card_sales c ON c.ym = m.ym AND c.region = n_name)))""")
 
 part("commercial", "sup_activity", """
  SELECT ym, region, commercial_status, stability_score, avg_operating_months,

@@ -94,25 +94,20 @@ def document_search(t):
  SELECT c.label AS query_id, vec_id,
   round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), q), 6) AS score,
   CAST(row_number() OVER (PARTITION BY c.label ORDER BY
-   round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), q), 6) DESC, vec_id) AS INTEGER)
-   AS rank FROM embeddings, c QUALIFY rank <= 10""")
+   list_cosine_similarity(CAST(embedding AS DOUBLE[]), q) DESC, vec_id) AS INTEGER) AS rank FROM embeddings, c QUALIFY rank <= 10""")
 def vector_search(t):
     """Nearest vectors to the mean vector of every label."""
     queries = rt.centroids(t.embeddings, "label", "embedding")
-    return rt.vector_search(t.embeddings, "vec_id", "embedding", queries, 10)
+    found = rt.vector_search(t.embeddings, "vec_id", "embedding", queries, 10)
+    return found.withColumn("score", F.round("score", 6))
 
 
 @register("citations", "N5 G12", f"""
- SELECT query_id, '[' || string_agg('{{"rank":' || rank || ',"doc_id":' || h.doc_id
-  || ',"source":"' || source || '","chars":' || length(left(text, 300)) || '}}', ','
-  ORDER BY rank) || ']' AS citations FROM ({SEARCH % 3}) h
- JOIN documents d ON d.doc_id = h.doc_id GROUP BY 1""")
+ SELECT query_id, rank, h.doc_id, source, left(text, 300) AS snippet FROM ({SEARCH % 3}) h
+ JOIN documents d ON d.doc_id = h.doc_id""")
 def citations(t):
-    """Three documents per query; the check compares excerpt lengths instead of texts."""
-    cited = rt.citations(t.documents, SEARCHES)
-    return cited.select("query_id", F.to_json(F.transform("citations", lambda c: F.struct(
-        c["rank"].alias("rank"), c["doc_id"].alias("doc_id"), c["source"].alias("source"),
-        F.length(c["snippet"]).alias("chars")))).alias("citations"))
+    """Three documents per query, each with the first 300 characters of its text."""
+    return rt.citations(t.documents, SEARCHES).select("query_id", F.inline("citations"))
 
 
 @register("answer_parsing", "N6 S16", """
@@ -120,7 +115,7 @@ def citations(t):
    ELSE trim(text) END AS answer,
   CASE WHEN role = 'user' THEN 'region ' || turn ELSE '-' END AS recommended_region,
   CASE WHEN role = 'user' THEN turn * 2.5::DOUBLE END AS allocation_pct,
-  CASE WHEN role = 'user' THEN 2 ELSE 0 END AS drivers,
+  CASE WHEN role = 'user' THEN '["sales","moves"]' ELSE '[]' END AS drivers,
   CASE WHEN role = 'user' THEN 'low' ELSE '' END AS risk, '' AS next_action
  FROM conversations""")
 def answer_parsing(t):
@@ -133,4 +128,4 @@ def answer_parsing(t):
         F.lit("\nDone."))
     raw = t.conversations.select("conv_id", "turn", F.when(
         F.col("role") == "user", wrapped).otherwise(F.col("text")).alias("raw"))
-    return qs.parse_answers(raw, "raw").drop("raw")
+    return qs.parse_answers(raw, "raw").drop("raw").withColumn("drivers", F.to_json("drivers"))

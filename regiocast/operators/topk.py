@@ -27,9 +27,11 @@ def top_k_with_fallback(df: DataFrame, scopes: DataFrame, scope: str, fallback:
     """Top k per wanted scope; a scope without rows gets the rows of ``fallback``."""
     best = top_k_per_group(df, [scope], k, *order)
     wanted = scopes.select(scope).distinct()
-    own = best.join(wanted, scope, "left_semi")
-    missing = wanted.join(best, scope, "left_anti").select(
-        F.col(scope).alias("_asked"), F.lit(fallback).alias(scope))
-    borrowed = missing.join(best, scope).drop(scope).withColumnRenamed("_asked", scope)
-    return (own.withColumn("source_scope", F.col(scope))
-            .unionByName(borrowed.withColumn("source_scope", F.lit(fallback))))
+    own = best.join(wanted, scope, "left_semi").withColumn("source_scope", F.col(scope))
+    # the fallback's k rows are one value of a subquery, so no rows meet on its key
+    rest = [c for c in best.columns if c != scope]
+    rows = best.filter(F.col(scope) == fallback).agg(
+        F.collect_list(F.struct(*rest)).alias("rows")).scalar()
+    missing = wanted.join(best.select(scope).distinct(), scope, "left_anti")
+    borrowed = missing.select(scope, F.inline(rows)).withColumn("source_scope", F.lit(fallback))
+    return own.unionByName(borrowed)

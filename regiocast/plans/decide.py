@@ -86,12 +86,15 @@ def scenario_projection(scenarios: DataFrame, forecast: DataFrame, budget: float
 
 
 def compare_plan(regions: DataFrame, plan: DataFrame, user: DataFrame, budget: float,
-                 default_pct: float = fixed.DEFAULT_PLAN_PCT,
+                 default_pct: float | None = None,
                  limit: float = fixed.DEVIATION_LIMIT) -> DataFrame:
-    """User percentages against the plan; a deviation above the limit is flagged."""
+    """User percentages against the plan; a deviation above the limit is flagged. A region
+    without a plan has an equal part of all regions, to one decimal, unless a default is given."""
+    equal = regions.agg(F.round(F.lit(100.0) / F.count(F.lit(1)), 1)).scalar()
+    default = equal if default_pct is None else F.lit(default_pct)
     joined = (regions.join(plan.select("region", F.col("pct").alias("plan_pct")), "region", "left")
               .join(user.select("region", F.col("pct").alias("user_pct")), "region", "left")
-              .withColumns({"plan_pct": F.coalesce("plan_pct", F.lit(default_pct)),
+              .withColumns({"plan_pct": F.coalesce("plan_pct", default),
                             "user_pct": F.coalesce("user_pct", F.lit(0.0))}))
     gap = F.col("user_pct") - F.col("plan_pct")
     return joined.select(

@@ -3,16 +3,10 @@
 # Holidays with a fixed date (month-day), used to derive the calendar.
 FIXED_HOLIDAYS = ["0101", "0301", "0505", "0606", "0815", "1003", "1009", "1225"]
 
-# Visitor index: base 100, monthly slope per growth class 0, 1, 2 (in hundredths).
-INDEX_BASE = 100
-SLOPE_DOMESTIC = [120, 110, 150]
-SLOPE_FOREIGN = [280, 250, 650]
-SLOPE_SPEND = [130, 115, 180]
+# Months of the base period of the visitor indices.
+BASE_MONTHS = 12
 
-# Seasonal multipliers January to December (in hundredths).
-SEASON_DOMESTIC = [95, 92, 105, 110, 115, 103, 108, 106, 98, 115, 103, 97]
-SEASON_FOREIGN = [96, 94, 104, 108, 112, 102, 106, 104, 97, 112, 102, 98]
-SEASON_SPEND = [95, 93, 105, 110, 115, 103, 108, 106, 98, 115, 103, 97]
+# Seasonal multipliers of moves, January to December (in hundredths).
 SEASON_MOVING = [85, 95, 125, 110, 105, 95, 90, 85, 120, 110, 100, 90]
 
 # Yearly growth of the flow version (hundredths per year) and its base year.
@@ -35,7 +29,6 @@ CHANNELS = [
     ("experiential_offer", 15), ("installation_buffer", 15), ("test_reserve", 10),
 ]
 CONVERSION_RATE = 0.001
-DEFAULT_PLAN_PCT = 33.3
 DEVIATION_LIMIT = 15.0
 SALES_MOVE_PCT = 3.0
 TOURISM_HIGH = 120.0

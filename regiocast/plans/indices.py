@@ -1,11 +1,11 @@
-"""Trend times season indices in whole-number arithmetic."""
+"""Indices of measured quantities, and season levels in whole-number arithmetic."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiocast.functions.exact import int_div
+from regiocast.functions.exact import int_div, round_half_up
 from regiocast.plans import fixed
 
 
@@ -20,29 +20,29 @@ def season(values: list[int], month: Column) -> Column:
     return _pick(values, month - 1)
 
 
-def trend(slopes: list[int], i: Column, growth_class: Column) -> Column:
-    """Linear trend in hundredths: base + i * slope of the growth class."""
-    return F.lit(fixed.INDEX_BASE * 100).cast("bigint") + i.cast("bigint") * _pick(
-        slopes, growth_class)
-
-
-def _tenths(units: Column, divisor: int) -> Column:
-    """units / divisor rounded half up, given back as a double with one decimal."""
-    return int_div(units * 2 + divisor, 2 * divisor).cast("double") / 10.0
-
-
-def visitor_indices(df: DataFrame, i: Column, month: Column, growth_class: Column) -> DataFrame:
-    """Add domestic, foreign, spend and composite demand index, each to one decimal."""
-    domestic = trend(fixed.SLOPE_DOMESTIC, i, growth_class)
-    foreign = trend(fixed.SLOPE_FOREIGN, i, growth_class)
-    spend = trend(fixed.SLOPE_SPEND, i, growth_class)
-    calm = season(fixed.SEASON_SPEND, month)
-    return df.withColumns({
-        "domestic_visitor_idx": _tenths(domestic * season(fixed.SEASON_DOMESTIC, month), 1000),
-        "foreign_visitor_idx": _tenths(foreign * season(fixed.SEASON_FOREIGN, month), 1000),
-        "tourism_spend_idx": _tenths(spend * calm, 1000),
-        "tourism_demand_idx": _tenths((domestic + foreign + spend) * calm, 3000),
-    })
+VISITS = {"domestic_visitor_idx": "visit_pop", "foreign_visitor_idx": "work_pop",
+          "tourism_spend_idx": "total_sales"}
+
+
+def visitor_indices(df: DataFrame, first_month: Column, key: str = "region") -> DataFrame:
+    """Visiting population, working population and sales as indices of the region's base period,
+    and their mean as the demand index, each to one decimal.
+
+    The base period is the first ``BASE_MONTHS`` months from ``first_month``; its monthly mean is
+    100. A region without a value in it has no index. ``df`` holds a row per region and month
+    ``m`` with the three measures.
+    """
+    w = Window.partitionBy(key)
+    base = {name: F.sum(F.when(F.col("m") < first_month + fixed.BASE_MONTHS, F.col(c).cast(
+        "decimal(28,4)"))).over(w).cast("double") / float(fixed.BASE_MONTHS)
+        for name, c in VISITS.items()}
+    raw = df.withColumns({f"_{name}": F.when(base[name] > 0, F.col(c) * 100.0 / base[name])
+                          for name, c in VISITS.items()})
+    mean = sum((F.col(f"_{name}") for name in list(VISITS)[1:]), F.col(f"_{next(iter(VISITS))}"))
+    return raw.withColumns({
+        **{name: round_half_up(f"_{name}", 1) for name in VISITS},
+        "tourism_demand_idx": round_half_up(mean / float(len(VISITS)), 1),
+    }).drop(*[f"_{name}" for name in VISITS])
 
 
 def seasonal_flow(base: Column, year: Column, month: Column) -> Column:

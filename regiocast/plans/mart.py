@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiocast.functions.dates import calendar_month, month_no
+from regiocast.functions.dates import month_no
 from regiocast.functions.exact import guarded_ratio, pct_change, rounded_int_ratio, weighted_sum
 from regiocast.plans import fixed
 from regiocast.plans.calendar import order_calendar
-from regiocast.plans.indices import visitor_indices
+from regiocast.plans.indices import VISITS, visitor_indices
 from regiocast.plans.staging import (CATEGORIES, POPULATION, PRIORITIES, customer_activity,
                                      customer_months, facts_by_order, facts_by_supplier,
                                      line_facts, shares, supplier_activity, telecom_columns)
@@ -151,8 +151,7 @@ def _extended(t: Tables) -> DataFrame:
     first_month = t.orders.agg(F.min(month_no("o_orderdate"))).scalar()
     wide = left_join_all(wide_activity(t), [(order_calendar(t), ["ym"])])
     wide = shares(wide).withColumn("total_resident", F.col("customers"))
-    wide = visitor_indices(wide, F.col("m") - first_month, calendar_month("ym"),
-                           F.pmod("region_code", F.lit(3)))
+    wide = visitor_indices(wide, first_month)
     return add_interactions(add_holiday_flags(add_changes(add_ratios(wide))))
 
 
@@ -177,10 +176,8 @@ def stage_tourism(t: Tables) -> DataFrame:
     """Visitor indices for every region and month of the order calendar (dense spine)."""
     from regiocast.operators.spine import dense_months
     first_month = t.orders.agg(F.min(month_no("o_orderdate"))).scalar()
-    regions = t.nation.select(F.col("n_name").alias("region"),
-                              F.col("n_nationkey").alias("region_code")).distinct()
-    spine = dense_months(regions, t.orders, "o_orderdate")
-    return visitor_indices(
-        spine, F.col("m") - first_month, calendar_month("ym"), F.pmod("region_code", F.lit(3))
-    ).select("ym", "region", "domestic_visitor_idx", "foreign_visitor_idx",
-             "tourism_spend_idx", "tourism_demand_idx")
+    regions = t.nation.select(F.col("n_name").alias("region")).distinct()
+    measured = customer_activity(t, categories=False).select("m", "region", *VISITS.values())
+    spine = dense_months(regions, t.orders, "o_orderdate").join(measured, ["m", "region"], "left")
+    return visitor_indices(spine.fillna(0.0, list(VISITS.values())), first_month).select(
+        "ym", "region", *VISITS, "tourism_demand_idx")

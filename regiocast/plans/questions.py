@@ -94,7 +94,7 @@ def parse_answers(raw: DataFrame, text: str) -> DataFrame:
         "answer": F.coalesce("_a.answer", F.trim(col(text))),
         "recommended_region": F.when(ok, F.col("_a.recommended_region")).otherwise("-"),
         "allocation_pct": F.when(ok, F.col("_a.allocation_pct")),
-        "drivers": F.size(F.coalesce("_a.drivers", F.array().cast("array<string>"))),
+        "drivers": F.coalesce("_a.drivers", F.array().cast("array<string>")),
         "risk": F.coalesce("_a.risk", F.lit("")),
         "next_action": F.coalesce("_a.next_action", F.lit("")),
     }).drop("_a")

@@ -11,14 +11,14 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiocast.functions.text import tokens
 from regiocast.operators.topk import top_k_per_group
-from regiocast.operators.windows import global_row_number
 from regiocast.plans import fixed
 from regiocast.session import cut_lineage
 
@@ -114,53 +114,101 @@ def ranked(scored: DataFrame, item: str, k: int) -> DataFrame:
         Window.partitionBy("query_id").orderBy(*order)))
 
 
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 1024  # query vectors of a block
+ITEM_BLOCK = 4096  # item vectors of a block
+BROADCAST_BYTES = 32 << 20  # query blocks up to this measured size are broadcast
+SLACK = 1e-9  # what a matrix product may differ from the sum in order
+
+
+def _unit(v: np.ndarray) -> np.ndarray:
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+
+
+def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosines of the rows of ``a`` with the vector ``b``, added up in order: equal vectors have
+    equal cosines wherever they are computed."""
+    dot, x, y = (np.cumsum(p, axis=1)[:, -1] for p in (a * b, a * a, (b * b)[None, :]))
+    return dot / np.maximum(np.sqrt(x * y), 1e-300)
+
+
+def item_blocks(items: DataFrame, item: str, vector: str) -> DataFrame:
+    """Rows (ids, vectors): the items of a task packed into matrices. Items without a vector, or
+    with a null inside, take no part."""
+    kind = dict(items.dtypes)[item]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ITEM_BLOCK):
+                part = batch.slice(lo, ITEM_BLOCK)
+                lengths = pc.list_value_length(part.column(1)).to_numpy(zero_copy_only=False)
+                for n in np.unique(lengths):  # vectors of one length make a matrix
+                    own = part.filter(pa.array(lengths == n))
+                    values = own.column(1).flatten().to_numpy(zero_copy_only=False)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([own.column(0).to_pylist()], pa.list_(own.column(0).type)),
+                         pa.array([np.asarray(values, dtype="<f8").tobytes()], pa.binary())],
+                        ["ids", "vectors"])
+
+    good = items.select(item, vector).filter(
+        F.col(vector).isNotNull() & (F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull()))
+    return good.mapInArrow(run, f"ids array<{kind}>, vectors binary")
 
 
 def vector_search(items: DataFrame, item: str, vector: str, queries: DataFrame,
                   k: int) -> DataFrame:
     """Cosine top k for each row (query_id, vector) of ``queries``.
 
-    At most ``QUERY_BLOCK`` query vectors are held at a time; more of them run block by block,
-    each an exact pass over the items. Per batch only k items per query leave the task.
+    Items and queries are packed into blocks on the executors; every item block meets every query
+    block in one matrix product and gives k items a query. Query blocks are broadcast where their
+    measured size allows it, else the blocks meet partition by partition. Ranks follow the
+    unrounded cosine, then the item. An item of another length than the query is not compared.
     """
-    numbered = global_row_number(queries, "_no", F.col("query_id").asc())
-    total = numbered.count()
-    fields = dict(items.dtypes)
-    query_type = dict(queries.dtypes)["query_id"]
-    schema = f"query_id {query_type}, {item} {fields[item]}, _s double"
-    blocks = []
-    for start in range(0, total, QUERY_BLOCK):
-        rows = numbered.filter((F.col("_no") > start) & (F.col("_no") <= start + QUERY_BLOCK)
-                               ).select("query_id", "vector").orderBy("query_id").collect()
-        ids = [r["query_id"] for r in rows]
-        matrix = np.array([r["vector"] for r in rows], dtype=np.float64)
-        matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
-        blocks.append(items.select(item, vector).mapInPandas(
-            _best_in_batch(ids, matrix, item, vector, k), schema))
-    if not blocks:
-        return queries.sparkSession.createDataFrame([], schema.replace("_s", "score") + ", rank int")
-    scored = reduce(lambda a, b: a.unionByName(b), blocks)
+    kinds = {**dict(items.dtypes), "query_id": dict(queries.dtypes)["query_id"]}
+    queries = cut_lineage(queries.select("query_id", F.col("vector").cast("array<double>").alias(
+        "vector")).filter(F.col("vector").isNotNull()
+                          & ~F.exists("vector", lambda x: x.isNull())))
+    count, size = queries.agg(F.count(F.lit(1)), F.sum(F.size("vector") + 4)).first()
+    blocks = queries.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(
+        max(1, -(-count // QUERY_BLOCK)))).alias("block")).agg(
+        F.collect_list(F.struct("query_id", "vector")).alias("queries")).select("queries")
+    small = 8 * (size or 0) <= BROADCAST_BYTES
+    pairs = item_blocks(items, item, vector).crossJoin(
+        F.broadcast(blocks) if small else blocks.hint("shuffle_replicate_nl"))
+    scored = pairs.mapInArrow(
+        _best_of_blocks(item, k), f"query_id {kinds['query_id']}, {item} {kinds[item]}, _s double")
     return ranked(scored, item, k).select("query_id", item, F.col("_s").alias("score"), "rank")
 
 
-def _best_in_batch(ids, matrix, item, vector, k):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            v = np.stack(pdf[vector].to_numpy()).astype(np.float64)
-            v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
-            scores = np.round(v @ matrix.T, 6) + 0.0
-            names = pdf[item].to_numpy()
-            for j, query in enumerate(ids):
-                own = scores[:, j]
-                near = np.arange(len(own))
-                if len(own) > k:  # everything tied with the k-th best stays in
-                    near = np.flatnonzero(own >= np.partition(own, -k)[-k])
-                best = near[np.lexsort((names[near], -own[near]))[:k]]
-                yield pd.DataFrame({"query_id": [query] * len(best), item: names[best],
-                                    "_s": scores[best, j]})
+def _best_of_blocks(item: str, k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                ids = batch.column("ids")[row].values
+                names = np.array(ids.to_pylist())
+                flat = np.frombuffer(batch.column("vectors")[row].as_buffer(), "<f8")
+                v = flat.reshape(len(names), -1)
+                asked = batch.column("queries")[row].values
+                query_ids, vectors = asked.field("query_id"), asked.field("vector")
+                same = np.flatnonzero(pc.list_value_length(vectors).to_numpy() == v.shape[1])
+                if not len(same):
+                    continue
+                q = np.array(vectors.take(pa.array(same)).to_pylist(), dtype=np.float64)
+                about = _unit(v) @ _unit(q).T
+                where, found, scores = [], [], []
+                for j in range(len(same)):
+                    near = np.arange(len(names))
+                    if len(near) > k:  # all that may belong to the k best, ties included
+                        least = np.partition(about[:, j], -k)[-k]
+                        near = np.flatnonzero(about[:, j] >= least - SLACK)
+                    exact = cosine(v[near], q[j])
+                    best = np.lexsort((names[near], -exact))[:k]
+                    where.append(np.full(len(best), same[j]))
+                    found.append(near[best])
+                    scores.append(exact[best])
+                yield pa.RecordBatch.from_arrays(
+                    [query_ids.take(pa.array(np.concatenate(where))),
+                     ids.take(pa.array(np.concatenate(found))), pa.array(np.concatenate(scores))],
+                    ["query_id", item, "_s"])
     return run
 
 

@@ -80,13 +80,19 @@ def test_long_weekend_across_the_edge_is_kept(spark):
     assert row["long_weekend_cnt"] == 1  # starts on Friday 31 December
 
 
-def test_index_rounds_half_up(spark):
-    df = spark.createDataFrame([(0, 1, 0), (7, 5, 2)], "i int, mm int, k int")
-    rows = indices.visitor_indices(df, F.col("i"), F.col("mm"), F.col("k")).collect()
-    assert rows[0]["domestic_visitor_idx"] == 95.0
-    assert rows[1]["domestic_visitor_idx"] == round((100 + 7 * 1.5) * 1.15 + 1e-9, 1)
-    mean = (110.5 + 145.5 + 112.6) / 3 * 1.15
-    assert abs(rows[1]["tourism_demand_idx"] - mean) <= 0.05 + 1e-9
+def test_visitor_indices_of_the_base_period(spark):
+    rows = [("A", m, 10.0 + (m == 14) * 2.345, 5.0, 100.0) for m in range(15)]
+    rows += [("B", m, 0.0, 1.0, 1.0) for m in (0, 3)] + [("C", 13, 4.0, 4.0, 4.0)]
+    df = spark.createDataFrame(
+        rows, "region string, m int, visit_pop double, work_pop double, total_sales double")
+    got = {(r["region"], r["m"]): r for r in indices.visitor_indices(df, F.lit(0)).collect()}
+    last = got["A", 14]
+    assert (last["domestic_visitor_idx"], last["foreign_visitor_idx"]) == (123.5, 100.0)
+    assert last["tourism_demand_idx"] == 107.8  # (123.45 + 100 + 100) / 3
+    assert got["B", 3]["domestic_visitor_idx"] is None  # nothing in the base period
+    assert got["B", 3]["foreign_visitor_idx"] == 600.0  # mean of twelve months is 1/6
+    assert got["B", 3]["tourism_demand_idx"] is None
+    assert got["C", 13]["tourism_demand_idx"] is None  # starts after the base period
 
 
 def test_marts_keep_one_row_per_key(tables):

@@ -33,10 +33,11 @@ def test_answers(spark):
     rows = {r["id"]: r for r in qs.parse_answers(raw, "raw").collect()}
     for i in (1, 2):
         assert (rows[i]["parsed"], rows[i]["answer"], rows[i]["recommended_region"],
-                rows[i]["allocation_pct"], rows[i]["drivers"]) == (True, "do", "A", 12.5, 2)
+                rows[i]["allocation_pct"], rows[i]["drivers"]) == (
+                    True, "do", "A", 12.5, ["x", "y"])
     assert (rows[3]["parsed"], rows[3]["answer"], rows[3]["recommended_region"]) == (
         False, "plain", "-")
-    assert rows[4]["answer"] == "broken {not json} text" and rows[4]["drivers"] == 0
+    assert rows[4]["answer"] == "broken {not json} text" and rows[4]["drivers"] == []
     assert rows[5]["answer"] == "" and not rows[5]["parsed"]
 
 
@@ -87,16 +88,28 @@ def test_vector_search_blocks_give_the_same_result(spark, monkeypatch):
     q = rng.normal(size=(5, 8))
     queries = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(q)],
                                     "query_id int, vector array<double>")
-    cos = np.round((v / np.linalg.norm(v, axis=1, keepdims=True))
-                   @ (q / np.linalg.norm(q, axis=1, keepdims=True)).T, 6)
+    cos = np.stack([rt.cosine(v, x) for x in q], axis=1)
     want = {(j, int(i), r + 1) for j in range(5)
             for r, i in enumerate(np.lexsort((np.arange(200), -cos[:, j]))[:4])}
-    for block in (1024, 2):
+    odd = spark.createDataFrame([(900, None), (901, [None] * 8), (902, [1.0, 2.0]), (903, [])],
+                                "id long, vec array<double>")
+    items = items.unionByName(odd)
+    for block, held in ((1024, 1 << 25), (2, 0)):
         monkeypatch.setattr(rt, "QUERY_BLOCK", block)
+        monkeypatch.setattr(rt, "ITEM_BLOCK", 30)
+        monkeypatch.setattr(rt, "BROADCAST_BYTES", held)
         rows = rt.vector_search(items, "id", "vec", queries, 4).collect()
         assert {(r["query_id"], r["id"], r["rank"]) for r in rows} == want
 
 
+def test_ranks_follow_the_unrounded_cosine(spark):
+    near = [[1.0, 1e-5], [1.0, 0.0], [1.0, 2e-5]]  # cosines equal to six digits
+    items = spark.createDataFrame(list(enumerate(near)), "id long, vec array<double>")
+    query = spark.createDataFrame([(7, [1.0, 0.0])], "query_id int, vector array<double>")
+    rows = rt.vector_search(items, "id", "vec", query, 3).orderBy("rank").collect()
+    assert [r["id"] for r in rows] == [1, 0, 2]
+
+
 def test_centroids(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [0.5, 0.5])],
                                "label int, e array<float>")
