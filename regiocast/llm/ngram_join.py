@@ -16,7 +16,7 @@ sets would share, are thereby left out without losing a pair.
 Texts with equal sets form a class, and only classes are compared. Members of a signature are
 not paired with each other, but with the least of them: in a group of near copies this already
 joins all. Where members of one signature are still in different components afterwards, and
-only there, the pairs between different components are examined too, so every component is
+only there, they are compared with ``ROUNDS`` other centres, and then the pairs between different components are examined too, so every component is
 exact. Before two texts are fetched, their sizes and a histogram of their hashes (whose
 difference is a lower bound on the number of differing hashes) must allow a link; across
 components both are checked while a signature is streamed, before a pair is put out.
@@ -49,8 +49,9 @@ from regiocast.llm.components import components
 from regiocast.llm.shingles import mix, shingle_sets
 from regiocast.session import cut_lineage
 
-SKETCH = 64  # cells of the histogram
+SKETCH = 256  # cells of the histogram
 CHUNK, CHUNK_SHINGLES = 512, 1 << 20  # classes and shingles that a chunk holds, about
+ROUNDS = 2  # further centres, before pairs are looked for across components
 CELL = 1024  # classes of a signature in one part
 SLAB = 2048  # shingles whose holders are counted at once
 BROADCAST_PAIRS = 500_000  # up to here the ids of all pairs are small enough to broadcast
@@ -109,7 +110,7 @@ def describe(members: np.ndarray) -> tuple[int, int, bytes]:
     one = mix(np.sum(mix(members + _SEEDS[1]), dtype=np.uint64, keepdims=True)
               + np.uint64(len(members)))
     two = mix(np.sum(mix(members ^ _SEEDS[2]), dtype=np.uint64, keepdims=True))
-    cells = np.bincount((mix(members + _SEEDS[0]) >> np.uint64(58)).astype(np.int64),
+    cells = np.bincount((mix(members + _SEEDS[0]) >> np.uint64(56)).astype(np.int64),
                         minlength=SKETCH)
     return (int(one.view(np.int64)[0]), int(two.view(np.int64)[0]),
             np.minimum(cells, 255).astype(np.uint8).tobytes())
@@ -256,6 +257,16 @@ def class_sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
         fps, "fp", "left_semi").groupBy("fp").agg(F.first("members").alias("members"))
 
 
+def centred(placed: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of a signature's members with another centre than before, drawn by hash, of
+    ``placed (sig, fp, root)``; only those of different components. Linear in the members."""
+    centre = placed.groupBy("sig").agg(F.min(F.struct(
+        F.xxhash64("fp", F.lit(turn)).alias("draw"), F.col("fp").alias("c"),
+        F.col("root").alias("r"))).alias("centre")).select("sig", "centre.c", "centre.r")
+    return placed.join(centre, "sig").where("root <> r").select(
+        F.least("fp", "c").alias("a"), F.greatest("fp", "c").alias("b")).distinct()
+
+
 def across(placed: DataFrame, share: tuple[int, int]) -> DataFrame:
     """Pairs (a, b) of one signature in different components whose sizes and histograms allow a
     link, of ``placed (sig, fp, root, n_shingles, sketch)``.
@@ -427,24 +438,34 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = (4, 5),
             return near.select("a", "b")
         return cut_lineage(verified(near, docs, share))
 
-    first = links(found.select("a", "b").distinct())
-    roots = components(first)
-    # signatures of three or more classes that are not in one component yet
+    # all members of the signatures of three or more classes; two classes have met already
     members = found.select("sig", F.col("b").alias("fp")).unionByName(
         found.select("sig", F.col("a").alias("fp")).distinct())
-    placed = members.join(roots.withColumnsRenamed({"node": "fp"}), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
-    open_sigs = placed.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where(
-        "n > 2 AND lo <> hi").select("sig")
-    still = cut_lineage(placed.join(open_sigs, "sig").join(
-        classes.select("fp", "n_shingles", "sketch"), "fp").select(
+    sizes = classes.select("fp", "n_shingles", "sketch")
+
+    def open_members(roots: DataFrame) -> DataFrame:
+        """Members of the signatures whose classes are not in one component yet."""
+        placed = members.join(roots.withColumnsRenamed({"node": "fp"}), "fp", "left").withColumn(
+            "root", F.coalesce("root", "fp"))
+        open_sigs = placed.groupBy("sig").agg(
+            F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"),
+            F.max("root").alias("hi")).where("n > 2 AND lo <> hi").select("sig")
+        return cut_lineage(placed.join(open_sigs, "sig"))
+
+    examined = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    linked = links(found.select("a", "b").distinct())
+    for turn in range(ROUNDS):
+        still = open_members(components(linked))
+        pairs = cut_lineage(centred(still, turn).join(examined.distinct(), ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            break
+        linked = cut_lineage(linked.unionByName(links(pairs)))
+        examined = examined.unionByName(pairs)
+    still = cut_lineage(open_members(components(linked)).join(sizes, "fp").select(
         "sig", "fp", "root", "n_shingles", "sketch"))
-    second = links(across(still, share).join(
-        found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
-        ["a", "b"], "left_anti"))
+    second = links(across(still, share).join(examined.distinct(), ["a", "b"], "left_anti"))
 
-    linked = cut_lineage(first.unionByName(second).distinct())
+    linked = cut_lineage(linked.unionByName(second).distinct())
     roots = components(linked)
     named = roots.join(classes.select(F.col("fp").alias("node"), "doc"), "node")
     smallest = named.groupBy("root").agg(F.min("doc").alias("component"))
