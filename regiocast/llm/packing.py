@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from regiocast.llm.tokens import coder
+from regiocast.llm.tokens import KEEP, coder
 
 SEGMENT = 1 << 21
 
@@ -81,12 +81,14 @@ def candidates(ids: np.ndarray, doc_ends: np.ndarray, opens: np.ndarray, closes:
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 1024,
                    sentence_penalty: float = 1.0, truncation_penalty: float = 12.0,
-                   grid: int = 32, with_ids: bool = False) -> DataFrame:
+                   grid: int = 32, with_ids: bool = False,
+                   keep_words: int = KEEP) -> DataFrame:
     """Pieces of the ids of ``docs (doc_id, text)``, gapless inside each sequence.
 
     Columns: doc_id, start (ids of the document before the piece), length, ids_crc32 (over
     little-endian unsigned 32-bit ids), doc_tokens, sequence_id, offset, and with ``with_ids``
-    the piece's ids themselves as bytes. ``tokenizer``: path of a byte-level vocabulary.
+    the piece's ids themselves as bytes. ``tokenizer``: path of a byte-level vocabulary;
+    ``keep_words``: words whose ids a worker remembers (about 200 bytes each).
     """
     if not 0 < grid <= capacity:
         raise ValueError("the grid must not be wider than a sequence")
@@ -122,7 +124,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: i
         return len(cuts) - 1, columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = coder("byte", tokenizer)
+        code = coder("byte", tokenizer, keep_words)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         names += ["ids"] * with_ids
         next_sequence = TaskContext.get().partitionId() << 40

@@ -1,7 +1,8 @@
 """Token counts per section of a document, by the character spans of its tokens.
 
 A document is encoded once, as a whole, so its tokens are those a model would see; counting
-section by section would cut tokens at the borders. Each token has a character span; the spans
+section by section would cut tokens at the borders. Each token has a character span, put together
+from a worker's table of the words' spans (see ``tokens``); the spans
 are joined to the sections' spans by binary search over the sections' starts. A token that lies
 in one section counts there. A token across a border is allocated by ``rule``:
 
@@ -20,13 +21,14 @@ read nor returned.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from regiocast.llm.tokens import coder
+
 RULES = ("most", "start", "share")
 Spans = Callable[[str], np.ndarray]  # text to ascending, disjoint (start, stop) rows
 
@@ -48,7 +50,7 @@ def allocate(tokens: np.ndarray, sections: np.ndarray, rule: str) -> tuple[np.nd
     starts, stops = sections[:, 0], sections[:, 1]
     first = np.searchsorted(starts, tokens[:, 0], side="right") - 1
     inside = (first >= 0) & (tokens[:, 1] <= stops[first])
-    np.add.at(counts, first[inside], 1)
+    counts += np.bincount(first[inside], minlength=len(counts))
     across = np.flatnonzero(~inside)
     crossing = 0
     for t in across.tolist():
@@ -76,32 +78,28 @@ def token_counts(docs: DataFrame, tokenizer: str, spans: Spans = lines, rule: st
     """Per row of ``docs (doc_id, text)`` and section: doc_id, section, start, stop (characters),
     n_tokens, doc_tokens, doc_crossing (tokens of the document across a border).
 
-    ``tokenizer``: path of a vocabulary file of the tokenizers library.
+    ``tokenizer``: path of a byte-level vocabulary file of the tokenizers library.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(tokenizer)
+        code = coder("spans", tokenizer)
         for batch in batches:
             for lo in range(0, batch.num_rows, together):
                 texts = [t or "" for t in batch.column("text").slice(lo, together).to_pylist()]
-                found = library.encode_batch(texts, add_special_tokens=False)
+                found = code.encode(texts)
                 rows, section, start, stop, n, tokens, crossing = ([] for _ in range(7))
                 for i, (text, got) in enumerate(zip(texts, found)):
                     cut = spans(text).reshape(-1, 2)
-                    counts, across = allocate(np.array(got.offsets, dtype=np.int64)
-                                              .reshape(-1, 2), cut, rule)
+                    counts, across = allocate(got, cut, rule)
                     outside = int(counts[-1] > 0)
                     rows.append(np.full(len(cut) + outside, lo + i))
                     section.append(np.append(np.arange(len(cut)), [-1] * outside))
                     start.append(np.append(cut[:, 0], [0] * outside))
                     stop.append(np.append(cut[:, 1], [0] * outside))
                     n.append(counts[:len(cut) + outside])
-                    tokens.append(np.full(len(cut) + outside, len(got.ids)))
+                    tokens.append(np.full(len(cut) + outside, len(got)))
                     crossing.append(np.full(len(cut) + outside, across))
                 arrays = [batch.column("doc_id").take(pa.array(np.concatenate(rows)))]
                 arrays += [pa.array(np.concatenate(x).astype(np.int64))

@@ -2,7 +2,7 @@
 
 Both vocabularies treat words cut at blanks and line feeds independently, so a text's ids are
 the concatenation of its words' ids. A worker keeps the ids of the words it has seen (at most
-``KEEP``; then it starts anew) and asks the tokenizer only for new ones. Texts to which the
+``keep``; then it starts anew) and asks the tokenizer only for new ones. Texts to which the
 argument does not apply - runs of white space, special token strings - are encoded directly.
 """
 
@@ -20,11 +20,12 @@ _SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space for Python, symbols for the toke
 _LOADED: dict = {}
 
 
-def coder(kind: str, path: str) -> WordCoder:
+def coder(kind: str, path: str, keep: int = KEEP) -> WordCoder:
     """The worker's coder for a vocabulary file; its word table outlives the task."""
-    key = kind, path
+    key = kind, path, keep
     if key not in _LOADED:
-        _LOADED[key] = {"byte": ByteCoder, "word": WordEndCoder}[kind](path)
+        kinds = {"byte": ByteCoder, "word": WordEndCoder, "spans": SpanCoder}
+        _LOADED[key] = kinds[kind](path, keep)
     return _LOADED[key]
 
 
@@ -35,9 +36,10 @@ def to_bytes(ids) -> bytes:
 class WordCoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep: int = KEEP):
         from tokenizers import Tokenizer
 
+        self.keep = keep
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size()
@@ -69,24 +71,25 @@ class WordCoder:
                 fresh.update([w for w, f in zip(words, found) if f is None])
                 plan.append((words, found))
             else:
-                plan.append(self.joined(found))
+                plan.append(self.joined(words, found))
         new = {}
         if fresh:
             fresh = sorted(fresh)
             for lo in range(0, len(fresh), TOGETHER):
                 new.update(self.learn(fresh[lo:lo + TOGETHER]))
-            if len(self.known) + len(new) > KEEP:
+            if len(self.known) + len(new) > self.keep:
                 self.known.clear()
             self.known.update(new)
         return [p if isinstance(p, bytes) else
-                self.joined([new[w] if f is None else f for w, f in zip(*p)]) for p in plan]
+                self.joined(p[0], [new[w] if f is None else f for w, f in zip(*p)])
+                for p in plan]
 
 
 class ByteCoder(WordCoder):
     """Byte-level vocabulary: a blank or line feed belongs to the word behind it."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def __init__(self, path: str, keep: int = KEEP):
+        super().__init__(path, keep)
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.size)]
         self.opens = np.array([n[:1] in ("Ġ", "Ċ") for n in names])  # blank, line feed
         self.closes = np.array([n[-1:] in (".", "!", "?") for n in names])
@@ -102,7 +105,7 @@ class ByteCoder(WordCoder):
             return None
         return ("\n" + text.replace("\n", " \n")).split(" ")
 
-    def joined(self, found: list[bytes]) -> bytes:
+    def joined(self, words: list[str], found: list[bytes]) -> bytes:
         return b"".join(found)[self.skip:]
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
@@ -117,6 +120,48 @@ class ByteCoder(WordCoder):
         return {w: raw[a:b] for w, a, b in zip(words, cuts, cuts[1:] + [len(raw)])}
 
 
+class SpanCoder(ByteCoder):
+    """Character spans (start, stop) of the tokens instead of their ids, as 32-bit pairs.
+
+    ``encode`` gives a text's ``n x 2`` array. A word's spans are kept relative to its blank or
+    line feed, which no token of another word reaches.
+    """
+
+    def direct(self, text: str) -> bytes:
+        got = self.tokenizer.encode(text, add_special_tokens=False).offsets
+        return np.array(got, dtype="<i4").tobytes()
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(raw, dtype="<i4").reshape(-1, 2)
+                for raw in super()._encode(texts)]
+
+    def joined(self, words: list[str], found: list[bytes]) -> bytes:
+        sizes = np.array([len(w) + (w[:1] != "\n") for w in words])
+        begins = (np.cumsum(sizes) - sizes - 1).astype("<i4")  # the first line feed is no text
+        counts = np.array([len(f) for f in found]) >> 3
+        spans = np.frombuffer(b"".join(found), dtype="<i4").reshape(-1, 2)
+        return (spans + np.repeat(begins, counts)[:, None]).tobytes()[self.skip:]
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """A letter in front, so that no word stands at the start of a text."""
+        spaced = [w if w[:1] == "\n" else " " + w for w in words]
+        got = self.tokenizer.encode_batch(["x" + "".join(spaced)], add_special_tokens=False)[0]
+        cuts = np.flatnonzero(self.opens[np.array(got.ids)])
+        if len(cuts) != len(words):
+            return {w: self._alone(s) for w, s in zip(words, spaced)}
+        sizes = np.array([len(w) for w in spaced])
+        begins = np.cumsum(sizes) - sizes + 1
+        spans = np.array(got.offsets, dtype="<i4")[cuts[0]:]
+        counts = np.diff(np.append(cuts, len(got.ids)))
+        raw = (spans - np.repeat(begins, counts)[:, None]).astype("<i4").tobytes()
+        ends = np.cumsum(counts * 8).tolist()
+        return {w: raw[a:b] for w, a, b in zip(words, [0] + ends, ends)}
+
+    def _alone(self, word: str) -> bytes:
+        got = self.tokenizer.encode("x" + word, add_special_tokens=False).offsets
+        return (np.array(got[1:], dtype="<i4") - 1).astype("<i4").tobytes()
+
+
 class WordEndCoder(WordCoder):
     """Vocabulary with word ends: white space is dropped and never part of a token."""
 
@@ -125,7 +170,7 @@ class WordEndCoder(WordCoder):
             return None
         return text.split()
 
-    def joined(self, found: list[bytes]) -> bytes:
+    def joined(self, words: list[str], found: list[bytes]) -> bytes:
         return b"".join(found)
 
     def learn(self, words: list[str]) -> dict[str, bytes]:

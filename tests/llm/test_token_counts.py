@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -5,6 +7,7 @@ from tokenizers import Tokenizer
 
 from conftest import SF
 from regiocast.llm.token_counts import allocate, lines, token_counts
+from regiocast.llm.tokens import SpanCoder
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -62,3 +65,14 @@ def test_all_documents_add_up(spark):
             for r in docs.collect()}
     assert {r.doc_id: r.doc_tokens for r in rows} == want
     assert all(r["sum(n_tokens)"] == r.doc_tokens for r in rows)
+
+
+def test_spans_from_the_word_table_equal_the_library():
+    library, rnd = Tokenizer.from_file(BYTE), random.Random(5)
+    parts = ["a", "\u00e9", "\u6f22", "\U0001f600", "\n", " ", " ", "  ", "'s", "23", ".", "\t",
+             "<|endoftext|>", "\u00a0", "\u200d", "\x1f", "word", "Word"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 25))) for _ in range(3000)]
+    code = SpanCoder(BYTE, keep=50)  # the table starts anew many times
+    for text, got in zip(texts, code.encode(texts)):
+        want = library.encode(text, add_special_tokens=False).offsets
+        assert list(map(tuple, got.tolist())) == want, text
