@@ -162,7 +162,8 @@ def op8_url_filter(t: Tables) -> DataFrame:
 @register("op1_packing")
 def op1_packing(t: Tables) -> DataFrame:
     """All documents packed into sequences of at most 1024 ids."""
-    return pack_documents(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(t.documents, public_tokenizers.path("byte_bpe_50k.json"),
+                          keep_words=1_200_000)
 
 
 @register("op10_inner_products", """
