@@ -7,7 +7,7 @@ from regiocast.catalog.registry import register
 from regiocast.functions.dates import month_no, ym_of_no
 from regiocast.functions.exact import hundredths, round_half_up, units_to_double
 from regiocast.operators.reshape import append, pivot_max
-from regiocast.operators.windows import first_per_key
+from regiocast.operators.windows import day_and_id, first_per_key
 from regiocast.plans import mart, staging
 
 
@@ -178,7 +178,7 @@ def row_count_report(t):
   min(o_orderdate)::DATE AS day FROM orders GROUP BY 1""")
 def first_row_per_group(t):
     o = t.orders.select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
-    return first_per_key(o, ["o_custkey"], F.struct("day", "o_orderkey"))
+    return first_per_key(o, ["o_custkey"], day_and_id("day", "o_orderkey"))
 
 
 @register("null_padded_union", "U1", sql("act_orders sup_activity", """

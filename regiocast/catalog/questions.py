@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from regiocast.catalog.registry import register
 from regiocast.plans import questions as qs
 from regiocast.plans import retrieval as rt
+from regiocast.plans import search_index as si
+from regiocast.plans import semantic
+from regiocast.session import scratch_path
 
 CATEGORIES = [
     qs.Category("allocation", "next_forecast", ("the", "der", "la")),
@@ -39,6 +42,39 @@ def question_routing(t):
     return qs.route(asked(t), "text", CATEGORIES).drop("text")
 
 
+PHRASES = semantic.synonym_rows()
+METRIC_CATEGORIES = [qs.Category(m.comment, name, (name, *m.synonyms))
+                     for name, m in semantic.METRICS.items()]
+_SYNONYMS = ", ".join(f"('{term}','{c.name}','{c.metric}',{i})"
+                      for i, c in enumerate(METRIC_CATEGORIES) for term in c.terms)
+_LIST = ", ".join(f"'{term}'" for term, _ in PHRASES)
+
+
+@register("synonym_routing", "N1", rf"""
+ WITH q AS (SELECT conv_id, turn, text || ' ' || ([{_LIST}])[CAST(turn % {len(PHRASES)} AS INTEGER) + 1]
+   || '? ' || ([{_LIST}])[CAST(length(text) % {len(PHRASES)} AS INTEGER) + 1] AS text
+  FROM conversations WHERE role = 'user'),
+ f AS (SELECT conv_id, turn, list_transform(regexp_extract_all(' ' || array_to_string(
+   regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+'), '  ') || ' ',
+   '{qs.phrase_pattern([p for p, _ in PHRASES])}', 1), lambda p: replace(p, '  ', ' ')) AS phrases FROM q),
+ h AS (SELECT conv_id, turn, category, metric, pos, count(*) AS hits
+  FROM (SELECT conv_id, turn, unnest(phrases) AS term FROM f)
+  JOIN (VALUES {_SYNONYMS}) s(term, category, metric, pos) USING (term) GROUP BY ALL)
+ SELECT f.conv_id, f.turn, array_to_string(phrases, '|') AS phrases, coalesce(category, 'none') AS category,
+  metric, CAST(coalesce(hits, 0) AS INTEGER) AS hits
+ FROM f LEFT JOIN (SELECT * FROM h QUALIFY row_number() OVER (
+   PARTITION BY conv_id, turn ORDER BY hits DESC, pos) = 1) b
+ ON b.conv_id = f.conv_id AND b.turn = f.turn""")
+def synonym_routing(t):
+    """User turns followed by two terms of the metric catalogue, some of several words."""
+    terms = F.array(*[F.lit(p) for p, _ in PHRASES])
+    asking = asked(t).withColumn("text", F.concat(
+        "text", F.lit(" "), F.get(terms, (F.col("turn") % len(PHRASES)).cast("int")), F.lit("? "),
+        F.get(terms, F.length("text") % len(PHRASES))))
+    return qs.route_phrases(asking, "text", METRIC_CATEGORIES).withColumn(
+        "phrases", F.array_join("phrases", "|")).drop("text")
+
+
 @register("scope_rule", "N2", rf"""
  SELECT r.conv_id, r.turn, category, n.conv_id IS NOT NULL AS names_region,
   n.conv_id IS NULL AND category <> 'comparison' AS needs_clarification
@@ -86,6 +122,13 @@ def document_search(t):
     return rt.keyword_search(t.documents, SEARCHES, 20)
 
 
+@register("indexed_search", "N3", SEARCH % 20)
+def indexed_search(t):
+    """The same searches from stored posting lists."""
+    index = si.build_index(t.documents, scratch_path(t.spark, "search-index"))
+    return si.search_index(t.spark, index, SEARCHES, 20)
+
+
 @register("vector_search", "N4", """
  WITH c AS (SELECT label, list(x ORDER BY i) AS q FROM (
    SELECT label, i, CAST(sum(CAST(CAST(x AS DOUBLE) AS DECIMAL(18,9))) AS DOUBLE) / count(x)

@@ -8,7 +8,7 @@ from regiocast.catalog.registry import register
 from regiocast.functions.dates import month_no, ym_of_no
 from regiocast.operators.spine import dense_months
 from regiocast.operators.topk import top_k_per_group, top_k_with_fallback
-from regiocast.operators.windows import (forward_fill, global_rank, global_row_number,
+from regiocast.operators.windows import (day_and_id, forward_fill, global_rank, global_row_number,
                                          latest_per_key, share_of_total)
 from regiocast.plans import staging
 from regiocast.plans.calendar import order_calendar
@@ -66,9 +66,11 @@ def share_of_all(t):
  SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey,
   arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS o_orderstatus FROM orders GROUP BY 1""")
 def latest_row_per_key(t):
-    o = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")
-    return latest_per_key(o, ["o_custkey"], F.struct("o_orderdate", "o_orderkey")).drop(
-        "o_orderdate")
+    """The status, one letter, travels as its code point, so that the aggregate hashes."""
+    o = t.orders.select("o_custkey", "o_orderkey", F.ascii("o_orderstatus").alias("status"),
+                        day_and_id("o_orderdate", "o_orderkey").alias("place"))
+    return latest_per_key(o, ["o_custkey"], "place").select(
+        "o_custkey", "o_orderkey", F.char("status").alias("o_orderstatus"))
 
 
 @register("first_value_baseline", "E9 E10", sql("act_orders", """

@@ -1,6 +1,6 @@
 """Window-style operators that never pull a whole data set into one task.
 
-``latest_per_key`` and ``first_per_key`` are partial aggregations. Global numbering and ranking
+``latest_per_key`` and ``first_per_key`` are partial aggregations, by hash where they can be. Global numbering and ranking
 go through a range partitioning: each task numbers its own slice, and only one count per slice
 is combined centrally, so the central part is bounded by the number of partitions.
 """
@@ -9,24 +9,46 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regiocast.session import cut_lineage
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: str | Column) -> DataFrame:
-    """Row with the greatest ``order`` per key (map-side combined, no sort)."""
+_FIXED = (T.BooleanType, T.IntegralType, T.FractionalType, T.DateType, T.TimestampType,
+          T.TimestampNTZType)
+
+
+def day_and_id(day: str, ident: str) -> Column:
+    """A date and a ``bigint`` as one decimal that sorts like the pair; NULL if either is."""
+    wide = F.lit("1" + "0" * 20).cast("decimal(21,0)")  # beyond twice any bigint
+    return (F.unix_date(F.col(day).cast("date")).cast("decimal(10,0)") * wide
+            + F.col(ident).cast("decimal(20,0)"))
+
+
+def _picked(df: DataFrame, keys: list[str], order: str | Column, pick) -> DataFrame:
+    """One row per key. Aggregate buffers of fixed width are updated in place, in a hash table;
+    wider ones (strings, structs) make Spark sort the rows below the partial aggregate, so they
+    are packed into a struct only where they occur."""
     rest = [c for c in df.columns if c not in keys]
-    order = F.col(order) if isinstance(order, str) else order
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
-              .select(*keys, "_row.*"))
+    rows = df.select(*keys, *rest, (F.col(order) if isinstance(order, str) else order)
+                     .alias("_order"))
+    kinds = {f.name: f.dataType for f in rows.schema}
+    if all(isinstance(kinds[c], _FIXED) for c in [*rest, "_order"]):
+        # equal orders: every column sees the same rows in the same sequence and keeps the same one
+        return rows.groupBy(*keys).agg(*[pick(F.col(c), "_order").alias(c) for c in rest])
+    return (rows.groupBy(*keys).agg(pick(F.struct(*rest), "_order").alias("_row"))
+            .select(*keys, "_row.*"))
+
+
+def latest_per_key(df: DataFrame, keys: list[str], order: str | Column) -> DataFrame:
+    """Row with the greatest ``order`` per key, combined in the tasks; without a sort where all
+    columns and the order have a fixed width (see ``day_and_id``)."""
+    return _picked(df, keys, order, F.max_by)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: str | Column) -> DataFrame:
-    """Row with the smallest ``order`` per key."""
-    rest = [c for c in df.columns if c not in keys]
-    order = F.col(order) if isinstance(order, str) else order
-    return (df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row"))
-              .select(*keys, "_row.*"))
+    """Row with the smallest ``order`` per key, as ``latest_per_key``."""
+    return _picked(df, keys, order, F.min_by)
 
 
 def _slices(df: DataFrame, *order: Column) -> DataFrame:

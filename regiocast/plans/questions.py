@@ -47,6 +47,42 @@ def route(questions: DataFrame, text: str, categories: list[Category]) -> DataFr
     }).drop("_words", "_best")
 
 
+def _spaced(words: Column) -> Column:
+    """Words with a blank of their own on either side."""
+    return F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
+
+
+def phrase_pattern(terms: list[str]) -> str:
+    """One alternation over all terms, longest first: of several that start at a word the longest
+    is taken, and its words are used up. Terms hold letters, digits, underscores and blanks."""
+    known = sorted({" ".join(t.lower().split()) for t in terms}, key=lambda t: (-len(t), t))
+    return " (" + "|".join(t.replace(" ", "  ") for t in known) + ") "
+
+
+def route_phrases(questions: DataFrame, text: str, categories: list[Category]) -> DataFrame:
+    """As ``route``, with terms of one or more words, matched from left to right.
+
+    Adds ``phrases``, the terms found. Null text finds nothing. All inside the row.
+    """
+    words = F.regexp_extract_all(F.lower(col(text)), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
+    pattern = phrase_pattern([t for c in categories for t in c.terms])
+    found = F.transform(F.regexp_extract_all(_spaced(words), F.lit(pattern), F.lit(1)),
+                        lambda p: F.replace(p, F.lit("  "), F.lit(" ")))
+    scored = F.array(*[
+        F.struct(F.size(F.filter("phrases", _one_of([t.lower() for t in c.terms]))).alias("hits"),
+                 F.lit(-i).alias("order"), F.lit(c.name).alias("category"),
+                 F.lit(c.metric).alias("metric")) for i, c in enumerate(categories)])
+    best = questions.withColumn(
+        "phrases", F.coalesce(found, F.array().cast("array<string>"))).withColumn(
+        "_best", F.array_max(scored))
+    hit = F.col("_best.hits") > 0
+    return best.withColumns({
+        "hits": F.col("_best.hits"),
+        "category": F.when(hit, F.col("_best.category")).otherwise("none"),
+        "metric": F.when(hit, F.col("_best.metric")),
+    }).drop("_best")
+
+
 def _joined(words: str, n: int):
     return lambda i: F.array_join(F.slice(words, i, n), " ")
 

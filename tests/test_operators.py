@@ -1,3 +1,4 @@
+import datetime
 import random
 
 import pytest
@@ -40,12 +41,30 @@ def test_global_row_number_is_the_sorted_position(spark, many_slices):
     assert got == {k: i for i, k in enumerate(sorted(names), start=1)}
 
 
+def test_latest_per_key_hashes_and_orders_pairs(spark):
+    day, low, high = datetime.date, -(1 << 63), (1 << 63) - 1
+    rows = [(1, day(1969, 12, 31), high), (1, day(1970, 1, 1), low), (2, day(2020, 2, 2), -5),
+            (2, day(2020, 2, 2), 7), (2, day(2020, 2, 1), high), (3, None, 4)]
+    df = spark.createDataFrame(rows, "k int, d date, i bigint")
+    order = ow.day_and_id("d", "i")
+    last = ow.latest_per_key(df, ["k"], order)
+    assert {tuple(r) for r in last.collect()} == {
+        (1, day(1970, 1, 1), low), (2, day(2020, 2, 2), 7), (3, None, None)}
+    assert {tuple(r) for r in ow.first_per_key(df, ["k"], order).collect()} == {
+        (1, day(1969, 12, 31), high), (2, day(2020, 2, 1), high), (3, None, None)}
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+
+
 def test_latest_first_and_forward_fill(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("a", 2, None), ("a", 3, 7.0), ("b", 1, None)],
                                "k string, o int, v double")
     assert {r["k"]: (r["o"], r["v"]) for r in ow.latest_per_key(df, ["k"], "o").collect()} == {
         "a": (3, 7.0), "b": (1, None)}
     assert {r["k"]: r["o"] for r in ow.first_per_key(df, ["k"], "o").collect()} == {"a": 1, "b": 1}
+    text = df.withColumn("s", F.concat("k", F.col("o").cast("string")))
+    assert {r["k"]: r["s"] for r in ow.latest_per_key(text, ["k"], "o").collect()} == {
+        "a": "a3", "b": "b1"}
     filled = {(r["k"], r["o"]): r["v"] for r in ow.forward_fill(df, ["k"], "o", ["v"]).collect()}
     assert filled == {("a", 1): 5.0, ("a", 2): 5.0, ("a", 3): 7.0, ("b", 1): None}
 

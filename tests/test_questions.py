@@ -6,6 +6,7 @@ import numpy as np
 
 from regiocast.plans import questions as qs
 from regiocast.plans import retrieval as rt
+from regiocast.plans import search_index as si
 
 CATS = [qs.Category("trend", "total_sales", ("trend", "change")),
         qs.Category("comparison", "total_sales", ("compare", "change"), needs_region=False)]
@@ -145,3 +146,45 @@ def test_queries_are_cut_like_documents(spark):
     vectors = spark.createDataFrame([(1, [1.0, 0.0])], "vec_id int, v array<double>")
     none = spark.createDataFrame([], "query_id int, vector array<double>")
     assert rt.vector_search(vectors, "vec_id", "v", none, 3).isEmpty()
+
+
+def test_longest_phrase_wins_and_is_used_up(spark):
+    cats = [qs.Category("sales", "s", ("spending", "card sales")),
+            qs.Category("head", "h", ("spending per head", "per head"))]
+    asked = spark.createDataFrame(
+        [(1, "Spending per  head?"), (2, "spending, spending per heads"), (3, "card-sales"),
+         (4, "spendings"), (5, None), (6, ""), (7, "per head per head spending")],
+        "id int, text string")
+    rows = {r["id"]: (r["category"], r["hits"], r["phrases"])
+            for r in qs.route_phrases(asked, "text", cats).collect()}
+    assert rows == {1: ("head", 1, ["spending per head"]),
+                    2: ("sales", 2, ["spending", "spending"]), 3: ("sales", 1, ["card sales"]),
+                    4: ("none", 0, []), 5: ("none", 0, []), 6: ("none", 0, []),
+                    7: ("head", 2, ["per head", "per head", "spending"])}
+
+
+def test_stored_index_equals_the_full_pass(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    vocab = ["rental", "moving", "policy", "budget", "été", "für"]
+    docs = [(i, " ".join(rng.choice(vocab, rng.integers(0, 40))), ["en", "de"][i % 2], f"s{i % 3}")
+            for i in range(300)]
+    docs += [(7, "rental policy", "en", "s9"), (None, "rental", "en", None), (400, None, "de", "s1"),
+             (401, "", None, "s1"), (402, "rental " * 5000, "de", "s0")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    df = df.repartition(5)
+    queries = [rt.SearchQuery("a", "rental policy"), rt.SearchQuery("none", "?"),
+               rt.SearchQuery("b", "été für absent", {"lang": "de", "source": "s1"})]
+    index = si.build_index(df, str(tmp_path / "index"), buckets=8)
+    assert si.open_index(spark, index.path) == index
+    got = si.search_index(spark, index, queries, 9)
+    columns = ["query_id", "doc_id", "score", "rank"]
+    want = rt.keyword_search(df, queries, 9).select(columns).collect()
+    assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, want))
+    assert si.search_index(spark, index, [queries[1]], 3).isEmpty()
+    read = si.lists_of(spark, index, ["rental"])
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
+    assert "EqualTo(term,rental)" in plan
+    assert {r["term"] for r in read.select("term").distinct().collect()} == {"rental"}
+    empty = si.build_index(df.limit(0), str(tmp_path / "empty"))
+    assert si.search_index(spark, empty, queries, 3).isEmpty()
