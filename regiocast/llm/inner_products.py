@@ -5,8 +5,9 @@ the whole table), so that most of a product lies in the first coordinates. Candi
 by descending length into blocks. Every query first meets the block of the longest candidates,
 which gives it a threshold, its k-th best score so far. After that a (query block, candidate
 block) pair is worked on only if some query's length times the block's greatest length reaches
-its threshold; inside, a product of the first ``head`` turned coordinates plus the
-Cauchy-Schwarz bound of the rest decides which candidates get the exact integer product.
+its threshold; inside, partial sums over the first ``head`` turned coordinates, then four times
+as many, plus the Cauchy-Schwarz bound of the rest decide which queries and candidates go on. What
+is left gets its exact integer products as one matrix product per slice of candidates.
 Thresholds rise during a task, and a bound carries a margin for rounding, so nothing that
 belongs to the result is pruned.
 
@@ -14,8 +15,8 @@ Candidates and queries travel as packed blocks of bounded size; queries meet can
 through an equality join on the block number. Hits are reduced to k per query within a task
 before they are shuffled.
 
-Vectors that are null or hold null or non-finite components take no part; shorter vectors count
-as padded with zeros; components are floor(scale * x), held within +-2^53. A repeated id is every
+Vectors that are null or hold null or non-finite components, and rows without an id, take no part;
+shorter vectors count as padded with zeros; components are floor(scale * x), held within +-2^53. A repeated id is every
 time a candidate of the others, never of itself; as a query the smallest of its vectors asks.
 Scores are exact; one beyond 64 bits is cut to the nearest 64-bit number after ranking. An empty
 table gives an empty result, other columns are ignored.
@@ -34,7 +35,7 @@ from regiocast.session import cut_lineage
 
 BLOCK = 4096  # candidates or queries in a packed block
 HELD = 2.0 ** 53
-SAFE = 2.0 ** 25  # integer components up to here multiply exactly in float64 and int64
+SLICE = 1024  # candidates of a block that are compared at a time
 LIMITS = -(1 << 63), (1 << 63) - 1
 
 
@@ -53,10 +54,10 @@ def pack_blocks(rows: DataFrame, scale: int, width: int) -> DataFrame:
         for frame in batches:
             if not len(frame):
                 continue
+            sizes = frame["vector"].map(len).to_numpy()
             matrix = np.zeros((len(frame), width))
-            for i, v in enumerate(frame["vector"]):
-                matrix[i, :len(v)] = np.clip(np.floor(
-                    np.asarray(v, dtype=np.float64) * scale), -HELD, HELD)
+            matrix[np.arange(width) < sizes[:, None]] = np.clip(np.floor(np.concatenate(
+                [np.asarray(v, dtype=np.float64) for v in frame["vector"]]) * scale), -HELD, HELD)
             for lo in range(0, len(frame), BLOCK):
                 part = matrix[lo:lo + BLOCK]
                 norms = np.sqrt(np.einsum("ij,ij->i", part, part))
@@ -90,25 +91,107 @@ def gram_rotation(blocks: DataFrame, width: int) -> np.ndarray:
     return vectors[:, np.argsort(-values, kind="stable")]
 
 
-def exact_scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Integer inner products, row by row."""
-    if max(np.abs(queries).max(initial=0), np.abs(candidates).max(initial=0)) <= SAFE:
-        return (queries.astype(np.int64) * candidates.astype(np.int64)).sum(axis=1)
-    return np.array([sum(int(a) * int(b) for a, b in zip(q, c))
-                     for q, c in zip(queries, candidates)], dtype=object)
-
-
-def best_first(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    if scores.dtype == object:
-        return np.array(sorted(range(len(ids)), key=lambda t: (-scores[t], ids[t])), dtype=int)
-    return np.lexsort((ids, -scores))
+def survivors(q: np.ndarray, c: np.ndarray, rotation: np.ndarray, head: int,
+              low: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query positions, candidate positions, mask of pairs) that may still reach ``low``.
+
+    Candidates come longest first, in slices; the caller raises ``low`` between slices. Partial
+    sums grow by four times the coordinates at a time, and a query or candidate without a pair
+    left is dropped before the next ones are added.
+    """
+    turned_q, turned_c = q @ rotation, c @ rotation
+    q_norm, c_norm = np.linalg.norm(q, axis=1), np.linalg.norm(c, axis=1)
+    q_low = q_norm * (1 + 1e-9) + 1e-6
+    widths = [head]
+    while widths[-1] * 4 < q.shape[1]:
+        widths.append(widths[-1] * 4)
+    rest = [(np.linalg.norm(turned_q[:, w:], axis=1), np.linalg.norm(turned_c[:, w:], axis=1))
+            for w in widths]
+    for lo in range(0, len(c), SLICE):
+        rows = np.flatnonzero(q_low * c_norm[lo] + 1e-6 >= low)
+        if not len(rows):
+            return
+        cols = np.arange(lo, min(lo + SLICE, len(c)))
+        partial, before = np.zeros((len(rows), len(cols))), 0
+        for w, (q_rest, c_rest) in zip(widths, rest):
+            partial += turned_q[rows, before:w] @ turned_c[cols, before:w].T
+            before = w
+            # bound of the rest and of rounding, as one product of two narrow matrices
+            room = np.column_stack([q_rest[rows], 1e-9 * q_norm[rows], 1e-6 - low[rows]]) \
+                @ np.column_stack([c_rest[cols], c_norm[cols], np.ones(len(cols))]).T \
+                if np.isfinite(low[rows]).all() else np.where(
+                    np.isfinite(low[rows]), 1e-6 - low[rows], np.inf)[:, None] + np.outer(
+                    q_rest[rows], c_rest[cols]) + 1e-9 * np.outer(q_norm[rows], c_norm[cols])
+            mask = partial + room >= 0
+            live_rows, live_cols = mask.any(axis=1), mask.any(axis=0)
+            if not live_rows.all() or not live_cols.all():
+                kept = np.ix_(live_rows, live_cols)
+                rows, cols, mask, partial = rows[live_rows], cols[live_cols], mask[kept], partial[kept]
+            if not len(rows):
+                break
+        if len(rows):
+            yield rows, cols, mask
+
+
+def best_exact(q: np.ndarray, c: np.ndarray, asked_ids: np.ndarray, ids: np.ndarray, k: int,
+               low: np.ndarray, rotation: np.ndarray, head: int
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query positions, ids, scores) of the k best of each query, where every product of integers
+    is exact in doubles: one matrix product per slice, then only pairs that enter a list."""
+    scores = np.full((len(q), k), -np.inf)
+    named = np.full((len(q), k), LIMITS[1], dtype=np.int64)
+    for rows, cols, mask in survivors(q, c, rotation, head, low):
+        product = q[rows] @ c[cols].T
+        enters = mask & (asked_ids[rows][:, None] != ids[cols][None, :])
+        last, last_id = scores[rows, -1][:, None], named[rows, -1][:, None]
+        enters &= (product >= low[rows][:, None]) & ((product > last) | (
+            (product == last) & (ids[cols][None, :] < last_id)))
+        crowded = np.flatnonzero(enters.sum(axis=1) > 4 * k)
+        if len(crowded):  # of many that enter, all below the k-th of them go at once
+            held = np.where(enters[crowded], product[crowded], -np.inf)
+            enters[crowded] &= held >= np.partition(held, -k, axis=1)[:, -k][:, None]
+        at_q, at_c = np.nonzero(enters)
+        if not len(at_q):
+            continue
+        touched = np.unique(at_q)
+        owner = np.concatenate([at_q, np.repeat(touched, k)])
+        score = np.concatenate([product[at_q, at_c], scores[rows[touched]].ravel()])
+        name = np.concatenate([ids[cols[at_c]], named[rows[touched]].ravel()])
+        order = np.lexsort((name, -score, owner))
+        owner = owner[order]
+        place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        taken = order[place < k]  # every touched query has at least k entries here
+        scores[rows[touched]] = score[taken].reshape(-1, k)
+        named[rows[touched]] = name[taken].reshape(-1, k)
+        low[rows[touched]] = np.maximum(low[rows[touched]], scores[rows[touched], -1])
+    at, _ = found = np.nonzero(np.isfinite(scores))
+    return at, named[found], scores[found].astype(np.int64)
+
+
+def best_wide(q: np.ndarray, c: np.ndarray, asked_ids: np.ndarray, ids: np.ndarray, k: int,
+              low: np.ndarray, rotation: np.ndarray, head: int
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``best_exact`` for components too large for doubles, in Python's integers."""
+    lists: list[list[tuple[int, int]]] = [[] for _ in q]
+    for rows, cols, mask in survivors(q, c, rotation, head, low):
+        for i, pairs in zip(rows, mask):
+            mine = [int(x) for x in q[i]]
+            fresh = [(-sum(x * int(y) for x, y in zip(mine, c[j])), int(ids[j]))
+                     for j in cols[pairs] if ids[j] != asked_ids[i]]
+            lists[i] = sorted(lists[i] + fresh)[:k]
+            if len(lists[i]) == k:
+                last = float(-lists[i][-1][0])
+                low[i] = max(low[i], last - abs(last) * 1e-12)
+    return (np.repeat(np.arange(len(q)), [len(x) for x in lists]),
+            np.array([name for x in lists for _, name in x], dtype=np.int64),
+            np.array([-score for x in lists for score, _ in x], dtype=object))
 
 
 def top_products(vectors: DataFrame, query: Column, k: int = 5, scale: int = 256,
                  head: int = 16) -> DataFrame:
     """Rows (query_id, rank, vec_id, score) for each row of ``vectors (vec_id, embedding)`` that
     ``query`` selects, against every other row; ties go to the smaller vec_id."""
-    good = vectors.where(usable(F.col("embedding"))).select(
+    good = vectors.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("bigint").alias("id"),
         F.col("embedding").cast("array<double>").alias("vector"), query.alias("asks"))
     width, n = good.agg(F.max(F.size("vector")), F.count(F.lit(1))).first()
@@ -139,42 +222,13 @@ def top_products(vectors: DataFrame, query: Column, k: int = 5, scale: int = 256
         asked_ids = np.frombuffer(row.query_ids, "<i8")
         ids = np.frombuffer(row.ids, "<i8")
         q, c = unpack(row.query_matrix, width), unpack(row.matrix, width)
-        turned_q, turned_c = q @ rotation, c @ rotation
-        q_norm, c_norm = np.linalg.norm(q, axis=1), np.linalg.norm(c, axis=1)
-        q_rest = np.linalg.norm(turned_q[:, head:], axis=1)
-        c_rest = np.linalg.norm(turned_c[:, head:], axis=1)
         low = (np.full(len(q), -np.inf) if row.floors is None
                else np.frombuffer(row.floors, "<f8").copy())
-        best = [np.zeros((0,), np.int64) for _ in q]
-        scores = [np.zeros((0,), np.int64) for _ in q]
-        for lo in range(0, len(c), 512):  # candidates come longest first
-            hi = min(lo + 512, len(c))
-            margin = 1e-9 * np.outer(q_norm, c_norm[lo:hi]) + 1e-6
-            bound = (turned_q[:, :head] @ turned_c[lo:hi, :head].T
-                     + np.outer(q_rest, c_rest[lo:hi]) + margin)
-            full = np.flatnonzero(q_norm * c_norm[lo] + 1e-6 + 1e-9 * q_norm * c_norm[lo] >= low)
-            if not len(full):
-                break
-            at_q, at_c = np.nonzero(bound[full] >= low[full, None])
-            at_q, at_c = full[at_q], at_c + lo
-            other = asked_ids[at_q] != ids[at_c]
-            at_q, at_c = at_q[other], at_c[other]
-            exact = np.concatenate([exact_scores(q[at_q[a:a + 50_000]], c[at_c[a:a + 50_000]])
-                                    for a in range(0, len(at_q), 50_000)] or [np.zeros(0, int)])
-            edges = np.searchsorted(at_q, np.arange(len(q) + 1))
-            for i in np.unique(at_q):
-                mine = slice(edges[i], edges[i + 1])
-                ids_i = np.concatenate([best[i], ids[at_c[mine]]])
-                scores_i = np.concatenate([scores[i], exact[mine]])
-                order = best_first(scores_i, ids_i)[:k]
-                best[i], scores[i] = ids_i[order], scores_i[order]
-                if len(order) == k:
-                    low[i] = max(low[i], float(scores_i[order[-1]]) * (1 - 1e-12 * np.sign(
-                        float(scores_i[order[-1]]))))
-        return pd.DataFrame({
-            "query_id": np.repeat(asked_ids, [len(b) for b in best]),
-            "vec_id": np.concatenate(best),
-            "score": [str(int(x)) for x in np.concatenate(scores)]})
+        largest = np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * width
+        best = best_exact if largest < HELD else best_wide
+        at, names, scores = best(q, c, asked_ids, ids, k, low, rotation, head)
+        return pd.DataFrame({"query_id": asked_ids[at], "vec_id": names,
+                             "score": [str(int(x)) for x in scores]})
 
     def meet(queries: DataFrame, targets: DataFrame) -> DataFrame:
         return queries.join(targets, "block").mapInPandas(search, result)
