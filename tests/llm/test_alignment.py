@@ -3,6 +3,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -150,3 +151,11 @@ def test_composition_is_associative():
 
 def test_empty(spark):
     assert align_documents(spark.createDataFrame([], "doc_id bigint, text string"), A, B).count() == 0
+
+
+def test_words_seen_and_new_give_the_ids_of_the_whole_text():
+    coder, library = alignment.SpacedCoder(A), libraries()[0]
+    texts = [" " + t for t in ("one word", "a\nline of <s> and more", "one  odd space", "x", "")]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in "new", "seen":
+        assert [np.frombuffer(raw, "<u4").tolist() for raw in coder.encode(texts)] == want
