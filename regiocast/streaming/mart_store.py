@@ -36,6 +36,7 @@ from regiocast.plans.staging import (LINE_SUMS, ORDER_SUMS, SUPPLY_SUMS, custome
                                      facts_by_order, facts_by_supplier, line_facts, narrow_orders,
                                      order_measures, supplier_activity)
 from regiocast.session import cut_lineage, scratch_path
+from regiocast.sources.sinks import replace_table
 from regiocast.sources.tables import Tables
 from regiocast.streaming.refresh import file_stream, run_available
 
@@ -121,11 +122,13 @@ class MartStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[f"{f}/{name}" for f in folders])
 
-    def merged(self, v: Version, name: str, where=None) -> DataFrame:
-        """A state table added up by key."""
+    def merged(self, v: Version, name: str, where=None, together: str | None = None) -> DataFrame:
+        """A state table added up by key. ``together``: key column whose rows go to one task, for
+        a join by that column behind it; base and deltas are added up each, so few meet there."""
         keys, sums, _ = STATE[name]
         rows = self.state(v, name)
         rows = rows if where is None else rows.filter(where)
+        rows = rows if together is None else rows.repartition(together)
         return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]) if sums \
             else rows.distinct()
 
@@ -140,31 +143,41 @@ class MartStore:
             "o_custkey", "m", *ORDER_SUMS, *none)
         moved = came.groupBy("o_custkey", "m").agg(
             *[F.sum(c).alias(c) for c in LINE_SUMS]).select("o_custkey", "m", *zero, *LINE_SUMS)
+        # a row whose lines add up to zero is gone, whatever its other sums
+        gone = [F.lit(None).cast("bigint").alias(c) for c in LINE_SUMS if c != "lines"]
         return {"customer": own.unionByName(moved), "keys": keys,
-                "waiting": came.select("l_orderkey", *[(-F.col(c)).alias(c) for c in LINE_SUMS])}
+                "waiting": came.select("l_orderkey", (-F.col("lines")).alias("lines"), *gone)}
 
     def _lines(self, batch: DataFrame, v: Version) -> dict[str, DataFrame]:
-        facts = cut_lineage(line_facts(batch, self.tables.part))
+        facts = replace_table(line_facts(batch, self.tables.part),
+                              scratch_path(self.spark, "line-facts"))
+        frames = {"supplier": facts_by_supplier(facts)}
         by_order = facts_by_order(facts)
+        if not v.number:
+            return {**frames, "waiting": by_order}
         low, high = by_order.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
-        # the base is sorted by order, so these bounds skip row groups
+        # files are sorted by order, so these bounds skip pages
         keys = self.merged(v, "keys", F.col("o_orderkey").between(low or 0, high or 0))
-        found = by_order.join(keys, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        match = F.col("l_orderkey") == F.col("o_orderkey")
+        # the wide rows are shuffled for the orders seen only; those not seen are mostly few
+        late = replace_table(by_order.select("l_orderkey").join(keys, match, "left_anti"),
+                             scratch_path(self.spark, "late-orders"))
         zero = [F.lit(0).cast("bigint").alias(c) for c in ORDER_SUMS]
-        known = found.filter(F.col("o_orderkey").isNotNull())
-        return {"customer": known.groupBy("o_custkey", "m").agg(
+        return {**frames,
+                "customer": by_order.join(keys, match).groupBy("o_custkey", "m").agg(
                     *[F.sum(c).alias(c) for c in LINE_SUMS]).select(
                     "o_custkey", "m", *zero, *LINE_SUMS),
-                "supplier": facts_by_supplier(facts),
-                "waiting": found.filter(F.col("o_orderkey").isNull()).select(
-                    "l_orderkey", *LINE_SUMS)}
+                "waiting": by_order.join(
+                    late.select(F.col("l_orderkey").alias("late")),
+                    F.col("l_orderkey").eqNullSafe(F.col("late")), "left_semi")}
 
     def _write_state(self, folder: str, frames: dict[str, DataFrame]) -> None:
         for name, (keys, _, schema) in STATE.items():
             rows = frames.get(name)
             rows = self.spark.createDataFrame([], schema) if rows is None else rows
             first = "m" if "m" in keys and name != "keys" else keys[0]
-            (rows.repartitionByRange(first, keys[0]).sortWithinPartitions(first, keys[0])
+            # sorted files let a filter skip pages; a range exchange would move every row again
+            (rows.sortWithinPartitions(first, keys[0])
              .write.mode("overwrite").parquet(f"{folder}/{name}"))
 
     def _compacted(self, v: Version) -> Version:
@@ -201,7 +214,7 @@ class MartStore:
         touched = [r["m"] for r in self.spark.read.schema(schema).parquet(
             f"{self._delta(new.number)}/customer").select("m").distinct().collect()]  # months
         again = customer_activity(self.tables, months=self.merged(
-            new, "customer", F.col("m").isin(touched)))
+            new, "customer", F.col("m").isin(touched), "o_custkey"))
         if old.number:
             kept = self.spark.read.schema(again.schema).parquet(self._slot(old, "activity"))
             again = append([kept.filter(~F.col("m").isin(touched)), again])

@@ -101,3 +101,25 @@ def test_one_pass_over_line_items(spark, tables):
     for frame in (mart.base_mart(tables),):
         text = frame._jdf.queryExecution().toString()
         assert "lineitem.parquet" not in text[text.index("== Physical Plan =="):]
+
+
+def test_wide_rows_move_once(spark, tables):
+    """Customer months meet the customers without a second exchange; an order that came leaves
+    the waiting rows by its count alone; late lines of known orders do not wait."""
+    o, l = thirds(tables.orders, "o_orderkey"), tables.lineitem
+    store = ms.MartStore(tables, scratch_path(spark, "store")).create()
+    store.apply("lineitem", l, 0)
+    store.apply("orders", o[0], 0)
+    v = store.current()
+    left = store.state(v, "waiting").filter("lines < 0")
+    assert not left.isEmpty() and left.filter("net IS NOT NULL OR qty IS NOT NULL").isEmpty()
+    came = o[0].join(store.merged(v, "waiting").filter("lines <> 0"),
+                     F.col("o_orderkey") == F.col("l_orderkey"))
+    assert came.isEmpty()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        months = ms.customer_activity(tables, months=store.merged(v, "customer", None, "o_custkey"))
+        plan = months._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan[plan.index("== Physical Plan =="):].count("hashpartitioning(o_custkey") == 1
