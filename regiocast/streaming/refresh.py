@@ -119,24 +119,45 @@ def compare(incremental: DataFrame, full: DataFrame, keys: list[str]) -> DataFra
         *keys, F.col("_i").eqNullSafe(F.col("_f")).alias("same"))
 
 
-def daily_activity(spark: SparkSession, path: str) -> DataFrame:
+DAILY = "day date, event_type string, events bigint, cents decimal(38,0)"
+
+
+def daily_sums(events: DataFrame) -> DataFrame:
+    """Mergeable sums per day and type."""
+    return (events.groupBy(F.col("ts").cast("date").alias("day"), "event_type")
+            .agg(F.count(F.lit(1)).alias("events"),
+                 F.sum(hundredths("value").cast("decimal(20,0)")).cast("decimal(38,0)")
+                 .alias("cents")))
+
+
+def daily_activity(spark: SparkSession, path: str,
+                   files_per_trigger: int | None = None) -> DataFrame:
     """Events per day and type, refreshed from the stream.
 
-    Complete mode: the result holds one row per day and type, and every refresh replaces it.
+    The sums of a batch are added to those of the batch before and written as one of two tables in
+    turn, so a repeated batch gives the same table. State is a row per day and type; it needs no
+    state store, which would commit a file per shuffle partition and batch.
     """
-    stream = file_stream(spark, path, "events")
-    daily = (stream.groupBy(F.col("ts").cast("date").alias("day"), "event_type")
-             .agg(F.count(F.lit(1)).alias("events"),
-                  F.sum(hundredths("value").cast("decimal(20,0)")).alias("_v")))
     root = scratch_path(spark, "daily-activity")
+    last = -1
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.select("day", "event_type", "events", units_to_double("_v", 2).alias("value")
-                     ).write.mode("overwrite").parquet(f"{root}/table")
+    def table(batch_id: int) -> DataFrame:
+        return spark.read.schema(DAILY).parquet(f"{root}/table-{batch_id % 2}")
 
-    run_available(daily, sink, f"{root}/checkpoint", mode="complete")
-    return spark.read.schema(
-        "day date, event_type string, events bigint, value double").parquet(f"{root}/table")
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        nonlocal last
+        rows = daily_sums(batch)
+        if batch_id:
+            rows = table(batch_id - 1).unionByName(rows).groupBy("day", "event_type").agg(
+                F.sum("events").alias("events"),
+                F.sum("cents").cast("decimal(38,0)").alias("cents"))
+        rows.write.mode("overwrite").parquet(f"{root}/table-{batch_id % 2}")
+        last = batch_id
+
+    run_available(file_stream(spark, path, "events", files_per_trigger), sink,
+                  f"{root}/checkpoint")
+    return table(last).select("day", "event_type", "events",
+                              units_to_double("cents", 2).alias("value"))
 
 
 def windowed_activity(spark: SparkSession, path: str, window: str = "1 hour",

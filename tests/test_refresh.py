@@ -88,3 +88,23 @@ def test_full_build_and_health(spark, tables):
     late = build.health(60, as_of=dt.datetime(2999, 1, 1)).collect()
     assert {r["state"] for r in late} == {"LATE"}
     assert build.read("allocation").count() > 0
+
+
+def test_daily_sums_of_several_batches_without_a_state_store(spark, tables, monkeypatch):
+    import os
+    root, made = scratch_path(spark, "split"), []
+    for i in range(3):
+        (tables.events.filter(F.pmod("event_id", F.lit(3)) == i)
+         .coalesce(1).write.parquet(f"{root}/events_{i}.parquet"))
+
+    def path(spark, name):
+        made.append(scratch_path(spark, name))
+        return made[-1]
+
+    monkeypatch.setattr(rf, "scratch_path", path)
+    got = rf.daily_activity(spark, root, files_per_trigger=1)
+    full = rf.daily_sums(tables.events).selectExpr(
+        "day", "event_type", "events", "cast(cents AS double) / 100D AS value")
+    assert got.exceptAll(full).isEmpty() and full.exceptAll(got).isEmpty()
+    assert not os.path.exists(f"{made[0]}/checkpoint/state")
+    assert len(os.listdir(f"{made[0]}/checkpoint/commits")) >= 3
