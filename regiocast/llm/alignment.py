@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,7 @@ from regiocast.session import scratch_path
 CHUNK = 1 << 16
 RANGE = 1 << 13
 FAN = 16
+WORDS = 300_000  # words whose groups a worker keeps
 HOT = 500_000
 TOGETHER = 1 << 18  # bytes aligned at once
 B_BITS = 15  # pair code: A id << 15 | B id
@@ -82,6 +84,7 @@ class Pair:
         import sentencepiece
 
         self.a = SpacedCoder(path_a)
+        self.words: GroupCoder | None = None  # made when first asked for
         alphabet = byte_alphabet()
         self.bytes_a = [self._entry(self.a.tokenizer.id_to_token(i) or "", alphabet)
                         for i in range(self.a.size)]
@@ -96,6 +99,7 @@ class Pair:
         self.first_b = 2 * len(self.bytes_a)
         self.written = [b"%d%c" % (i, mark) for mark in b",|" for i in range(len(self.bytes_a))]
         self.written += [b"%d%c" % (i, mark) for mark in b",;" for i in range(size)]
+        self.length_written = np.array([len(x) for x in self.written])
 
     @staticmethod
     def _entry(token: str, alphabet: dict[str, int]) -> bytes:
@@ -230,8 +234,91 @@ class Aligned:
             self.codes[first:last].tobytes())
 
 
+class GroupCoder(SpacedCoder):
+    """(n_a, n_b, n_groups, groups_sha256, links) of blank + text, put together from its words.
+
+    Both vocabularies start a token at a single blank, and A's words end where a blank or a line
+    feed follows, which no piece of B reaches across; so every word ends a group, and a text's
+    groups are its words' groups. A word whose tokens do not give back its bytes makes its texts
+    go through both tokenizers whole.
+    """
+
+    def __init__(self, pair: Pair, keep: int = WORDS):
+        self.pair, self.keep, self.known = pair, keep, {}  # A's tokenizer is loaded once
+        self.tokenizer, self.special, self.opens = pair.a.tokenizer, pair.a.special, pair.a.opens
+        pieces = [pair.b.id_to_piece(i) for i in range(pair.b.get_piece_size())]
+        self.blank = pieces.index("▁") if "▁" in pieces else -1
+        self.apart = self.blank >= 0 and not any(
+            "\n" in p or "▁" in p[1:] and p.strip("▁") for p in pieces)
+        self.counts: dict[int, int] = {}  # equal numbers are kept once
+
+    def split(self, text: str) -> list[str] | None:
+        return super().split(text) if self.apart else None
+
+    def direct(self, text: str):
+        return aligned_whole(self.pair, [text[1:]])[0]
+
+    def joined(self, words: list[str], found: list[tuple]):
+        if () in found:
+            return self.direct("".join([w if w[:1] == "\n" else " " + w for w in words]))
+        groups, links, sizes = zip(*found)
+        size, held = sum(sizes), b"".join(links)
+        return (size >> 32, size & 0xFFFFFFFF, len(held) >> 2,
+                hashlib.sha256(b";".join(groups)).hexdigest(), held)
+
+    def learn(self, words: list[str]) -> dict[str, tuple]:
+        """Groups in writing, links, and n_a << 32 | n_b of each word; nothing of a word whose
+        bytes differ."""
+        pair = self.pair
+        spaced = [w if w[:1] == "\n" else " " + w for w in words]
+        a = np.array(self.tokenizer.encode_batch_fast(["".join(spaced)],
+                                                      add_special_tokens=False)[0].ids, np.int64)
+        starts_a = np.flatnonzero(self.opens[a])
+        of_b = pair.b.encode(words, num_threads=1)
+        for k, word in enumerate(words):
+            if word[:1] == "\n":  # B puts a blank in front of it
+                of_b[k] = of_b[k][1:] if of_b[k][:1] == [self.blank] else []
+        want = [t.encode("utf-8", "surrogatepass") for t in spaced]
+        sizes = np.array([len(x) for x in want])
+        b = np.array(list(chain.from_iterable(of_b)), np.int64)
+        stops_b = np.cumsum([len(x) for x in of_b])
+        stops_a = np.append(starts_a[1:], len(a))
+        joined = b"".join(want)
+        same = (len(starts_a) == len(words) and starts_a[0] == 0
+                and b"".join([pair.bytes_a[i] for i in a.tolist()]) == joined
+                and b"".join([pair.bytes_b[i] for i in b.tolist()]) == joined)
+        if same:
+            ends = np.cumsum(sizes)
+            same = (np.array_equal(np.cumsum(pair.length_a[a])[stops_a - 1], ends)
+                    and np.array_equal(np.cumsum(pair.length_b[b])[stops_b - 1], ends))
+        if not same:
+            if len(words) == 1:
+                return {words[0]: ()}
+            half = len(words) // 2
+            return self.learn(words[:half]) | self.learn(words[half:])
+        aligned = Aligned(pair, [(a, b)])
+        stops = np.searchsorted(aligned.last_a, stops_a)
+        links = aligned.codes.tobytes()
+        written = b"".join([pair.written[k] for k in aligned.written.tolist()])
+        ends = np.cumsum(pair.length_written[aligned.written])[stops_a + stops_b - 1]
+        counts = np.diff(stops_a, prepend=0) << 32 | np.diff(stops_b, prepend=0)
+        found, lo, at = {}, 0, 0
+        for word, stop, end, size in zip(words, (stops * 4).tolist(), ends.tolist(),
+                                         counts.tolist()):
+            found[word] = written[at:end - 1], links[lo:stop], self.counts.setdefault(size, size)
+            lo, at = stop, end
+        return found
+
+
 def align_texts(pair: Pair, texts: list[str]) -> list[tuple[int, int, int, str, bytes]]:
-    """(n_a, n_b, n_groups, groups_sha256, links) of whole texts, aligned together."""
+    """(n_a, n_b, n_groups, groups_sha256, links) of whole texts."""
+    if pair.words is None:
+        pair.words = GroupCoder(pair)
+    return pair.words.encode([" " + t for t in texts])
+
+
+def aligned_whole(pair: Pair, texts: list[str]) -> list[tuple[int, int, int, str, bytes]]:
+    """The same by both tokenizers on whole texts, aligned together."""
     coded = pair.encode(texts)
     good = [c for c in coded if c is not None]
     if not good:

@@ -69,7 +69,7 @@ class WordCoder:
             found = list(map(get, words))
             if None in found:
                 fresh.update([w for w, f in zip(words, found) if f is None])
-                plan.append((words, found))
+                plan.append([words, found])
             else:
                 plan.append(self.joined(words, found))
         new = {}
@@ -80,7 +80,7 @@ class WordCoder:
             if len(self.known) + len(new) > self.keep:
                 self.known.clear()
             self.known.update(new)
-        return [p if isinstance(p, bytes) else
+        return [p if not isinstance(p, list) else
                 self.joined(p[0], [new[w] if f is None else f for w, f in zip(*p)])
                 for p in plan]
 

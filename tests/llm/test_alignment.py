@@ -159,3 +159,37 @@ def test_words_seen_and_new_give_the_ids_of_the_whole_text():
     want = [library.encode(t, add_special_tokens=False).ids for t in texts]
     for _ in "new", "seen":
         assert [np.frombuffer(raw, "<u4").tolist() for raw in coder.encode(texts)] == want
+
+
+WORDS = ["", "a", "the", "Straße", "x\ny", "\nz", "z\n", "▁", "q▁r", "<s>", "<|endoftext|>", "it's", "1,234",
+         "​q", "日本語", "🙂", "…", "\t", "é", "<0x0A>"]
+
+
+@given(st.lists(st.lists(st.one_of(st.sampled_from(WORDS), st.text(max_size=6)), max_size=9)
+                .map(" ".join), max_size=4))
+@settings(max_examples=150, deadline=None)
+def test_groups_of_words_equal_groups_of_whole_texts(texts):
+    pair = tokenizers(A, B)
+    assert alignment.align_texts(pair, texts) == alignment.aligned_whole(pair, texts)
+
+
+def test_known_words_are_not_encoded_again():
+    class Counted:
+        def __init__(self, b):
+            self.b, self.n = b, 0
+
+        def __getattr__(self, name):
+            return getattr(self.b, name)
+
+        def encode(self, texts, **more):
+            self.n += sum(map(len, texts))
+            return self.b.encode(texts, **more)
+
+    pair = alignment.Pair(A, B)
+    text = "one line of words\nand one more, with the words of the first line"
+    first = alignment.align_texts(pair, [text])
+    pair.b = Counted(pair.b)
+    assert alignment.align_texts(pair, [text, text]) == first * 2
+    assert pair.b.n == 0
+    alignment.align_texts(pair, [text + " one nothing"])
+    assert pair.b.n == len("nothing")
