@@ -17,9 +17,12 @@ Texts with equal sets form a class, and only classes are compared. Members of a
 not paired with each other, but with the least of them: in a group of near copies this already
 joins all. Where members of one signature are still in different components afterwards, and
 only there, they are compared with ``ROUNDS`` other centres, and then the pairs between different components are examined too, so every component is
-exact. Before two texts are fetched, their sizes and a histogram of their hashes (whose
-difference is a lower bound on the number of differing hashes) must allow a link; across
-components both are checked while a signature is streamed, before a pair is put out.
+exact. Before two texts are fetched, their sizes and their sketches must allow a link; across
+components both are checked while a signature is streamed, before a pair is put out. A sketch
+holds the parities of a set's hashes in two to four times as many cells as there are hashes, as
+far as ``MOST_CELLS`` allows; a hash in only one of two sets turns one cell, so the cells that
+differ are a lower bound on the differing hashes. Halves of a sketch folded on each other are the
+sketch in half the cells, so sets of different sizes compare.
 
 Links lie inside components, so they are counted there: a component's classes are dealt into
 chunks, and any two chunks whose sizes allow a link meet in one group, where all intersections
@@ -49,7 +52,7 @@ from regiocast.llm.components import components
 from regiocast.llm.shingles import mix, shingle_sets
 from regiocast.session import cut_lineage
 
-SKETCH = 256  # cells of the histogram
+LEAST_CELLS, MOST_CELLS = 512, 4096  # cells of a sketch, a power of two
 CHUNK, CHUNK_SHINGLES = 512, 1 << 20  # classes and shingles that a chunk holds, about
 ROUNDS = 2  # further centres, before pairs are looked for across components
 CELL = 1024  # classes of a signature in one part
@@ -104,16 +107,46 @@ def signatures(members: np.ndarray) -> np.ndarray:
 
 
 def describe(members: np.ndarray) -> tuple[int, int, bytes]:
-    """Two 64-bit fingerprints of a set and its histogram."""
+    """Two 64-bit fingerprints of a set and its sketch."""
     if not len(members):
-        return 0, 0, bytes(SKETCH)
+        return 0, 0, b""
     one = mix(np.sum(mix(members + _SEEDS[1]), dtype=np.uint64, keepdims=True)
               + np.uint64(len(members)))
     two = mix(np.sum(mix(members ^ _SEEDS[2]), dtype=np.uint64, keepdims=True))
-    cells = np.bincount((mix(members + _SEEDS[0]) >> np.uint64(56)).astype(np.int64),
-                        minlength=SKETCH)
+    cells = min(max(1 << (2 * len(members) - 1).bit_length(), LEAST_CELLS), MOST_CELLS)
+    held = np.bincount((mix(members + _SEEDS[0]) & np.uint64(cells - 1)).astype(np.int64),
+                       minlength=cells)
     return (int(one.view(np.int64)[0]), int(two.view(np.int64)[0]),
-            np.minimum(cells, 255).astype(np.uint8).tobytes())
+            np.packbits((held & 1).astype(bool), bitorder="little").tobytes())
+
+
+class Sketches:
+    """Sketches of many sets, end to end as 64-bit words."""
+
+    def __init__(self, column: list[bytes]):
+        self.sizes = np.array([len(x) for x in column], dtype=np.int64) >> 3
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.words = np.frombuffer(b"".join(column), np.uint64)
+
+    def folded(self, rows: np.ndarray, size: int) -> np.ndarray:
+        out = np.empty((len(rows), size), np.uint64)
+        for own in np.unique(self.sizes[rows]):
+            at = np.flatnonzero(self.sizes[rows] == own)
+            held = self.words[self.starts[rows[at]][:, None] + np.arange(own)]
+            out[at] = np.bitwise_xor.reduce(held.reshape(len(at), -1, size), axis=1)
+        return out
+
+    def gap(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """What the sets in rows ``i`` and ``j`` differ in at least."""
+        out = np.zeros(len(i), np.int64)
+        common = np.minimum(self.sizes[i], self.sizes[j])
+        for size in np.unique(common):
+            at = np.flatnonzero(common == size)
+            for lo in range(0, len(at), 1 << 14):
+                part = at[lo:lo + (1 << 14)]
+                turned = self.folded(i[part], size) ^ self.folded(j[part], size)
+                out[part] = np.bitwise_count(turned).sum(axis=1)
+        return out
 
 
 def texts_in(batch: pa.RecordBatch, column: str, step: int = 512):
@@ -188,20 +221,20 @@ def stars(sigs: DataFrame) -> DataFrame:
 
 
 def may_link(pairs: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Pairs whose sizes (n_a, n_b) and histograms (s_a, s_b) allow a link."""
+    """Pairs whose sizes (n_a, n_b) and sketches (s_a, s_b) allow a link."""
     num, den = share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8)
-                    .reshape(-1, SKETCH).astype(np.int16) for c in ("s_a", "s_b"))
+            n = batch.num_rows
+            held = Sketches(batch.column("s_a").to_pylist() + batch.column("s_b").to_pylist())
             both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
             # 2 * I = |A| + |B| - differing, and den * I >= num * (|A| + |B| - I)
             room = both * (den - num)
             yield batch.filter(pa.array(
-                np.abs(a - b).sum(axis=1).astype(np.int64) * (den + num) <= room))
+                held.gap(np.arange(n), np.arange(n, 2 * n)) * (den + num) <= room))
 
     near = pairs.where(den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b"))
     return near.mapInArrow(run, near.schema)
@@ -268,7 +301,7 @@ def centred(placed: DataFrame, turn: int) -> DataFrame:
 
 
 def across(placed: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of one signature in different components whose sizes and histograms allow a
+    """Pairs (a, b) of one signature in different components whose sizes and sketches allow a
     link, of ``placed (sig, fp, root, n_shingles, sketch)``.
 
     A signature's classes are dealt into parts of about ``CELL``; any two parts meet in a cell. In
@@ -283,6 +316,7 @@ def across(placed: DataFrame, share: tuple[int, int]) -> DataFrame:
         ends = np.concatenate([np.flatnonzero(new)[1:], [len(new)]])
         end = ends[np.cumsum(new) - 1]
         left, step, found = np.arange(len(new)), 0, []
+        sketches = Sketches(t["sketch"].tolist())
         while len(left):
             step += 1
             left = left[left + step < end[left]]
@@ -294,8 +328,7 @@ def across(placed: DataFrame, share: tuple[int, int]) -> DataFrame:
                 (t["side"][left] == 2) | (t["side"][left] != t["side"][other]))
             for lo in range(0, len(left), 1 << 16):
                 i, j = (x[lo:lo + (1 << 16)][meet[lo:lo + (1 << 16)]] for x in (left, other))
-                gap = np.abs(t["sketch"][i] - t["sketch"][j]).sum(axis=1, dtype=np.int64)
-                ok = gap * (den + num) <= (t["n"][i] + t["n"][j]) * (den - num)
+                ok = sketches.gap(i, j) * (den + num) <= (t["n"][i] + t["n"][j]) * (den - num)
                 found.append(np.stack([t["fp"][i][ok], t["fp"][j][ok]], axis=1))
         pairs = np.sort(np.concatenate(found) if found else np.zeros((0, 2), np.int64), axis=1)
         return np.unique(pairs, axis=0)
@@ -307,8 +340,7 @@ def across(placed: DataFrame, share: tuple[int, int]) -> DataFrame:
                 continue
             t = {c: batch.column(c).to_numpy() for c in (
                 "sig", "lo", "hi", "side", "fp", "root", "n")}
-            t["sketch"] = np.frombuffer(b"".join(batch.column("sketch").to_pylist()),
-                                        np.uint8).reshape(-1, SKETCH).astype(np.int16)
+            t["sketch"] = batch.column("sketch").to_numpy(zero_copy_only=False)
             if held is not None:
                 t = {c: np.concatenate([held[c], t[c]]) for c in t}
             last = [c for c in ("sig", "lo", "hi")]
@@ -337,6 +369,22 @@ def across(placed: DataFrame, share: tuple[int, int]) -> DataFrame:
         "sig", "lo", "hi", "n", "fp").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots (node, root)`` after more ``links (a, b)``: only the roots that they join are looked
+    at again. A node without a root is its own."""
+    def root_of(side: str, name: str) -> DataFrame:
+        return roots.select(F.col("node").alias(side), F.col("root").alias(name))
+
+    ends = links.join(root_of("a", "ra"), "a", "left").join(root_of("b", "rb"), "b", "left")
+    edges = ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    merged = components(edges).select(F.col("node").alias("old"), F.col("root").alias("new"))
+    fresh = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(
+        roots, "node", "left_anti").select("node", F.col("node").alias("root"))
+    return cut_lineage(roots.unionByName(fresh).join(
+        merged, F.col("root") == F.col("old"), "left").select(
+        "node", F.coalesce("new", "root").alias("root")))
+
+
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all pairs of ``sets``."""
     out = np.zeros((len(sets), len(sets)), dtype=np.int64)
@@ -453,20 +501,22 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = (4, 5),
         return cut_lineage(placed.join(open_sigs, "sig"))
 
     examined = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    linked = links(found.select("a", "b").distinct())
+    roots = components(links(found.select("a", "b").distinct()))
+    still = open_members(roots)
     for turn in range(ROUNDS):
-        still = open_members(components(linked))
         pairs = cut_lineage(centred(still, turn).join(examined.distinct(), ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             break
-        linked = cut_lineage(linked.unionByName(links(pairs)))
         examined = examined.unionByName(pairs)
-    still = cut_lineage(open_members(components(linked)).join(sizes, "fp").select(
+        more = links(pairs)
+        if not more.isEmpty():
+            roots = joined_roots(roots, more)
+            still = open_members(roots)
+    sized = cut_lineage(still.join(sizes, "fp").select(
         "sig", "fp", "root", "n_shingles", "sketch"))
-    second = links(across(still, share).join(examined.distinct(), ["a", "b"], "left_anti"))
-
-    linked = cut_lineage(linked.unionByName(second).distinct())
-    roots = components(linked)
+    second = links(across(sized, share).join(examined.distinct(), ["a", "b"], "left_anti"))
+    if not second.isEmpty():
+        roots = joined_roots(roots, second)
     named = roots.join(classes.select(F.col("fp").alias("node"), "doc"), "node")
     smallest = named.groupBy("root").agg(F.min("doc").alias("component"))
     placed = cut_lineage(roots.join(classes.select(

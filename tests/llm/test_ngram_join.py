@@ -172,3 +172,41 @@ def test_large_signatures_are_dealt_into_cells(spark, monkeypatch):
     for cell in (1024, 7):
         monkeypatch.setattr(ngram_join, "CELL", cell)
         assert run(df) == brute(rows)
+
+
+def test_sketches_never_overstate_a_difference():
+    rnd = np.random.default_rng(5)
+    sets = []
+    for n in (1, 2, 250, 257, 300, 600, 1100, 2100, 2600, 6000):
+        base = np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64))
+        sets += [base, np.unique(np.append(base[n // 9:], rnd.integers(0, 1 << 63, n // 3).astype(
+            np.uint64)))]
+    held = ngram_join.Sketches([ngram_join.describe(s)[2] for s in sets])
+    i, j = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    gap = held.gap(i, j)
+    true = [len(np.setxor1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j)]
+    assert (gap <= true).all()
+    assert (gap[i == j] == 0).all()
+
+
+def test_long_texts_that_only_share_half_are_told_apart_without_their_texts(spark):
+    rnd = np.random.default_rng(6)
+    both, a, b = (rnd.integers(0, 1 << 63, n).astype(np.uint64) for n in (2200, 560, 560))
+    rows = []
+    for k, (x, y) in enumerate([(np.append(both, a), np.append(both, b)),
+                                (np.append(both, a[:200]), np.append(both, b[:200]))]):
+        rows.append((k, k, len(x), bytearray(ngram_join.describe(x)[2]), len(y),
+                     bytearray(ngram_join.describe(y)[2])))
+    pairs = spark.createDataFrame(rows, "a long, b long, n_a long, s_a binary, n_b long, s_b binary")
+    # 2,200 of 3,320 shingles are shared by the first pair, of 2,600 by the second
+    assert [r.a for r in ngram_join.may_link(pairs, (4, 5)).collect()] == [1]
+
+
+def test_more_links_join_roots(spark):
+    first = [(1, 2), (2, 3), (5, 6), (10, 11)]
+    more = [(3, 6), (11, 20), (30, 31), (5, 1), (31, 32), (40, 41)]
+    roots = ngram_join.joined_roots(
+        ngram_join.components(spark.createDataFrame(first, "a long, b long")),
+        spark.createDataFrame(more, "a long, b long"))
+    want = ngram_join.components(spark.createDataFrame(first + more, "a long, b long"))
+    assert sorted(map(tuple, roots.collect())) == sorted(map(tuple, want.collect()))
