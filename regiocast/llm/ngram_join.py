@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from regiocast.llm.components import components
 from regiocast.llm.shingles import mix, shingle_sets
-from regiocast.session import cut_lineage
+from regiocast.session import cut_lineage, passing_shuffles
 
 LEAST_CELLS, MOST_CELLS = 512, 4096  # cells of a sketch, a power of two
 CHUNK, CHUNK_SHINGLES = 512, 1 << 20  # classes and shingles that a chunk holds, about
@@ -467,9 +467,15 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = (4, 5),
 
     ``share``: the least similarity, as a fraction; the signatures hold for 4/5 and more.
     """
-    num, den = share
-    if 5 * num < 4 * den:
+    if 5 * share[0] < 4 * share[1]:
         raise ValueError("signatures are made for a similarity of 4/5 or more")
+    with passing_shuffles(docs.sparkSession):
+        out = _near_duplicates(docs, share, links_too, keys_too)
+    return out.select("*")  # made outside, so its own shuffles stay
+
+
+def _near_duplicates(docs: DataFrame, share: tuple[int, int], links_too: bool,
+                     keys_too: bool) -> DataFrame:
     sets = cut_lineage(set_table(docs))
     classes = cut_lineage(sets.where("n_shingles > 0").groupBy("fp", "fp2", "n_shingles").agg(
         F.min("doc_id").alias("doc"), F.min("sketch").alias("sketch")))

@@ -7,6 +7,7 @@ from conftest import SF
 from regiocast.llm import ngram_join
 from regiocast.llm.ngram_join import near_duplicates, scheme, signatures
 from regiocast.llm.shingles import shingle_sets
+from regiocast.session import REMOVE_SHUFFLES
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -210,3 +211,19 @@ def test_more_links_join_roots(spark):
         spark.createDataFrame(more, "a long, b long"))
     want = ngram_join.components(spark.createDataFrame(first + more, "a long, b long"))
     assert sorted(map(tuple, roots.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_steps_leave_no_shuffle_files(spark, monkeypatch):
+    before, seen, plain = spark.conf.get(REMOVE_SHUFFLES), [], ngram_join.cut_lineage
+
+    def cut(df):
+        seen.append(spark.conf.get(REMOVE_SHUFFLES))
+        return plain(df)
+
+    monkeypatch.setattr(ngram_join, "cut_lineage", cut)
+    words = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(1, words), (2, words + " 1"), (3, words + " 2"), (4, "other words than these are here")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert set(seen) == {"true"} and spark.conf.get(REMOVE_SHUFFLES) == before
+    ids = [sorted((r.doc_id, r.component_id) for r in got.collect()) for _ in range(2)]
+    assert ids == [[(1, 1), (2, 1), (3, 1), (4, 4)]] * 2
