@@ -9,8 +9,8 @@ from regiocast.functions.exact import col, round_half_up
 
 
 def tokens(text: str | Column) -> Column:
-    """Lower-case words (letters of any script) of the whole text."""
-    return F.regexp_extract_all(F.lower(col(text)), F.lit(r"(\p{L}+)"), F.lit(1))
+    """Lower-case words (letters of any script) of the whole text, cut at everything else."""
+    return F.array_remove(F.split(F.lower(col(text)), r"[^\p{L}]+"), "")
 
 
 def clean_label(c: str | Column, fallback: str = "ALL") -> Column:

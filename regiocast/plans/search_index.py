@@ -1,9 +1,10 @@
 """Stored inverted index: posting lists written once, read by word.
 
 Term counts are made inside the row (sorted words, run lengths), so building has one shuffle: the
-postings by (bucket, term, document). A word that stands in a third of all documents spans many
-range partitions, hence many files. A search reads the folders of its words' buckets, and of
-these the row groups whose bounds hold the words; scores equal those of the full pass exactly.
+postings by bucket, sorted by (bucket, term, document). A bucket too large for a task, as that of a
+word that stands in a third of all documents, is split, hence spans many files. A search reads the
+folders of its words' buckets, and of these the row groups whose bounds hold the words; scores
+equal those of the full pass exactly.
 
 Rows are told apart by a number of their own, so null and repeated doc_ids are ranked as in the
 full pass. Documents without words count for the statistics only.
@@ -56,22 +57,29 @@ def _run(words: str, starts: str):
 def build_index(docs: DataFrame, path: str, keep: tuple[str, ...] = ("lang", "source"),
                 buckets: int = 256) -> SearchIndex:
     """Write the postings and the statistics of ``docs (doc_id, text, *keep)`` below ``path``."""
+    # sort_array compares the strings themselves, array_sort calls an interpreted comparator
     words = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", *keep,
-                        F.array_sort(F.coalesce(tokens("text"), F.array().cast("array<string>")))
+                        F.sort_array(F.coalesce(tokens("text"), F.array().cast("array<string>")))
                         .alias("_w")).withColumn("dl", F.size("_w"))
-    runs = words.filter("dl > 0").withColumn("_s", F.filter(
-        F.sequence(F.lit(0), F.col("dl") - 1), _starts_run("_w")))
+    # no filter on dl, which would be pushed below and split every text once more
+    runs = words.withColumn("_s", F.when(F.col("dl") > 0, F.filter(
+        F.sequence(F.lit(0), F.col("dl") - 1), _starts_run("_w"))))
     postings = runs.select("row", "doc_id", *keep, "dl",
                            F.inline(F.transform("_s", _run("_w", "_s"))))
     placed = postings.withColumn("bucket", F.pmod(F.crc32("term"), F.lit(buckets)).cast("int"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema)
     place = ["bucket", "term", "row"]
-    (placed.repartitionByRange(*place).sortWithinPartitions(*place)
+    # a range exchange would split all texts a second time, to sample its bounds
+    (placed.hint("rebalance", "bucket").sortWithinPartitions(*place)
      .write.partitionBy("bucket").parquet(f"{path}/postings"))
-    words.agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("dl")).select(
-        "n", "dl", F.lit(buckets).alias("buckets"), F.lit(schema).alias("schema")).write.parquet(
+    index = SearchIndex(path, buckets, schema)
+    # term counts add up to the words of all texts, so the texts need no look again
+    total = index.postings(docs.sparkSession).agg(F.sum("tf")).scalar()
+    docs.agg(F.count(F.lit(1)).alias("n")).select(
+        "n", F.coalesce(total, F.when(F.col("n") > 0, 0)).cast("bigint").alias("dl"),
+        F.lit(buckets).alias("buckets"), F.lit(schema).alias("schema")).write.parquet(
         f"{path}/stats")  # last: an index with statistics is whole
-    return SearchIndex(path, buckets, schema)
+    return index
 
 
 def lists_of(spark: SparkSession, index: SearchIndex, terms: list[str]) -> DataFrame:

@@ -3,6 +3,7 @@ import math
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from regiocast.plans import questions as qs
 from regiocast.plans import retrieval as rt
@@ -188,3 +189,21 @@ def test_stored_index_equals_the_full_pass(spark, tmp_path):
     assert {r["term"] for r in read.select("term").distinct().collect()} == {"rental"}
     empty = si.build_index(df.limit(0), str(tmp_path / "empty"))
     assert si.search_index(spark, empty, queries, 3).isEmpty()
+
+
+def test_index_looks_at_each_text_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    rows = [(i, f"word{'xyz'[i % 3]} and 1, und-été ", "en", "s") for i in range(40)] + [
+        (40, None, "en", "s"), (41, " 12 ", "en", "s")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    index = si.build_index(docs.withColumn("text", counted("text")), str(tmp_path / "once"))
+    assert seen.value == len(rows)
+    assert index.stats(spark).select("n", "dl").first() == (42, 160)
+    empty = si.build_index(docs.limit(0), str(tmp_path / "empty"))
+    assert empty.stats(spark).select("n", "dl").first() == (0, None)
