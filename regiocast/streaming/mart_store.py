@@ -35,7 +35,7 @@ from regiocast.plans import mart
 from regiocast.plans.staging import (LINE_SUMS, ORDER_SUMS, SUPPLY_SUMS, customer_activity,
                                      facts_by_order, facts_by_supplier, line_facts, narrow_orders,
                                      order_measures, supplier_activity)
-from regiocast.session import cut_lineage, scratch_path
+from regiocast.session import scratch_path
 from regiocast.sources.sinks import replace_table
 from regiocast.sources.tables import Tables
 from regiocast.streaming.refresh import file_stream, run_available
@@ -133,14 +133,17 @@ class MartStore:
             else rows.distinct()
 
     def _orders(self, batch: DataFrame, v: Version) -> dict[str, DataFrame]:
-        orders = cut_lineage(narrow_orders(batch))
-        keys = orders.select("o_orderkey", "o_custkey", "m").distinct()
-        came = self.merged(v, "waiting").filter(F.col("lines") != 0).join(
-            keys, F.col("l_orderkey") == F.col("o_orderkey"))
+        orders = narrow_orders(batch)
+        # repeated rows leave where keys are read, so the first batch moves none of them
+        keys = orders.select("o_orderkey", "o_custkey", "m")
         none = [F.lit(None).cast("bigint").alias(c) for c in LINE_SUMS]
         zero = [F.lit(0).cast("bigint").alias(c) for c in ORDER_SUMS]
         own = orders.groupBy("o_custkey", "m").agg(*order_measures()).select(
             "o_custkey", "m", *ORDER_SUMS, *none)
+        if not v.number:
+            return {"customer": own, "keys": keys}
+        came = self.merged(v, "waiting").filter(F.col("lines") != 0).join(
+            keys.distinct(), F.col("l_orderkey") == F.col("o_orderkey"))
         moved = came.groupBy("o_custkey", "m").agg(
             *[F.sum(c).alias(c) for c in LINE_SUMS]).select("o_custkey", "m", *zero, *LINE_SUMS)
         # a row whose lines add up to zero is gone, whatever its other sums
@@ -157,7 +160,8 @@ class MartStore:
             return {**frames, "waiting": by_order}
         low, high = by_order.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
         # files are sorted by order, so these bounds skip pages
-        keys = self.merged(v, "keys", F.col("o_orderkey").between(low or 0, high or 0))
+        keys = self.merged(v, "keys", F.col("o_orderkey").between(low or 0, high or 0),
+                           "o_orderkey")
         match = F.col("l_orderkey") == F.col("o_orderkey")
         # the wide rows are shuffled for the orders seen only; those not seen are mostly few
         late = replace_table(by_order.select("l_orderkey").join(keys, match, "left_anti"),

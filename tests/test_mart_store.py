@@ -123,3 +123,15 @@ def test_wide_rows_move_once(spark, tables):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan[plan.index("== Physical Plan =="):].count("hashpartitioning(o_custkey") == 1
+
+
+def test_first_orders_are_moved_for_their_sums_only(spark, tables):
+    store = ms.MartStore(tables, scratch_path(spark, "store")).create()
+    frames = store._orders(tables.orders, store.current())
+    assert set(frames) == {"customer", "keys"}
+    assert "Exchange" not in frames["keys"]._jdf.queryExecution().executedPlan().toString()
+    store.apply("orders", tables.orders.unionByName(tables.orders), 0)
+    keys = store.merged(store.current(), "keys", None, "o_orderkey")
+    assert keys.count() == tables.orders.count()
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
