@@ -58,6 +58,7 @@ ROUNDS = 2  # further centres, before pairs are looked for across components
 CELL = 1024  # classes of a signature in one part
 SLAB = 2048  # shingles whose holders are counted at once
 BROADCAST_PAIRS = 500_000  # up to here the ids of all pairs are small enough to broadcast
+TASK_PAIRS = 20_000  # pairs that a task starts from, about
 _SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], dtype=np.uint64)
 
 
@@ -240,8 +241,8 @@ def may_link(pairs: DataFrame, share: tuple[int, int]) -> DataFrame:
     return near.mapInArrow(run, near.schema)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Links (a, b) among pairs (a, b, doc_a, doc_b), decided on the whole texts' sets."""
+def verified(pairs: DataFrame, docs: DataFrame, share: tuple[int, int], n: int) -> DataFrame:
+    """Links (a, b) among ``n`` pairs (a, b, doc_a, doc_b), decided on the whole texts' sets."""
     num, den = share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,16 +257,18 @@ def verified(pairs: DataFrame, docs: DataFrame, share: tuple[int, int]) -> DataF
 
     sets = class_sets(pairs.select(F.inline(F.array(
         F.struct(F.col("a").alias("fp"), F.col("doc_a").alias("doc")),
-        F.struct(F.col("b").alias("fp"), F.col("doc_b").alias("doc"))))).distinct(), docs)
+        F.struct(F.col("b").alias("fp"), F.col("doc_b").alias("doc"))))).distinct(), docs,
+        small=True if 2 * n <= BROADCAST_PAIRS else None)
     left = pairs.select("a", "b").join(sets.withColumnsRenamed({"fp": "b", "members": "set_b"}), "b")
     full = left.join(sets.withColumnsRenamed({"fp": "a", "members": "set_a"}), "a")
     return full.select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def class_sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+def class_sets(wanted: DataFrame, docs: DataFrame, small: bool | None = None) -> DataFrame:
     """One row (fp, members) for each class of ``wanted (fp, doc)``: its shingles, sorted, eight
     bytes each. ``doc`` only narrows the rows read, the set is chosen by its fingerprint, so null
-    ids and ids with several texts do no harm."""
+    ids and ids with several texts do no harm. ``small``: known to fit a broadcast; else the rows
+    are counted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for batch in batches:
@@ -282,7 +285,7 @@ def class_sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
 
     ids = wanted.select(F.col("doc").alias("wanted_doc")).distinct()
     fps = wanted.select("fp").distinct()
-    if wanted.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS:
+    if small or wanted.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS:
         ids, fps = F.broadcast(ids), F.broadcast(fps)
     texts = docs.select("doc_id", "text").join(
         ids, F.col("doc_id").eqNullSafe(F.col("wanted_doc")), "left_semi")
@@ -488,9 +491,11 @@ def _near_duplicates(docs: DataFrame, share: tuple[int, int], links_too: bool,
     def links(pairs: DataFrame) -> DataFrame:
         known = may_link(pairs.join(side("a"), "a").join(side("b"), "b"), share)
         near = cut_lineage(known.select("a", "b", "doc_a", "doc_b"))
-        if near.isEmpty():
+        n = near.count()
+        if not n:
             return near.select("a", "b")
-        return cut_lineage(verified(near, docs, share))
+        few = near.coalesce(-(-n // TASK_PAIRS))  # else a task for each of many small pieces
+        return cut_lineage(verified(few, docs, share, n))
 
     # all members of the signatures of three or more classes; two classes have met already
     members = found.select("sig", F.col("b").alias("fp")).unionByName(
