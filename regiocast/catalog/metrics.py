@@ -1,10 +1,10 @@
 """Metric queries over related tables, with statements that join and add up plainly."""
 
-from regiocast.catalog.forecasts import training
 from regiocast.catalog.oracle import sql
 from regiocast.catalog.registry import register
 from regiocast.plans import forecast as fc, mart
 from regiocast.plans.metrics import shop_catalogue
+from regiocast.session import cut_lineage
 
 PLACE = """FROM orders LEFT JOIN customer ON o_custkey = c_custkey
   LEFT JOIN nation ON c_nationkey = n_nationkey"""
@@ -81,6 +81,8 @@ def mart_metrics_by_region(t):
  FROM m FULL JOIN f ON m.region = f.region)"""))
 def metrics_mart_and_forecast(t):
     """Past sales of the mart beside the forecast and its share."""
-    found = shop_catalogue(t, lambda: mart.base_mart(t), ["total_sales"],
-                           lambda: fc.forecast(training(t)))
+    sales = cut_lineage(mart.base_mart(t, ["ym", "region", "total_sales"]))  # for both
+    through = fc.complete_through(t.orders, "o_orderdate")
+    found = shop_catalogue(t, lambda: sales, ["total_sales"],
+                           lambda: fc.forecast(fc.training_frame(sales, through=through)))
     return found.query(["total_sales", "outlook", "share of the outlook"], by=["region"])
