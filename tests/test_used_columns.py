@@ -21,7 +21,8 @@ def test_same_values(spark, build, all_columns):
     assert sorted(map(str, some.collect())) == sorted(map(str, whole.collect()))
 
 
-@pytest.mark.parametrize("name", ["metrics_mart_and_forecast"])
+@pytest.mark.parametrize("name", [
+    "sales_per_business_day", "why_one_region_leads", "sales_trend", "metrics_mart_and_forecast"])
 def test_no_parts_and_no_line_sums_written(spark, monkeypatch, name):
     """The sums per order and supplier, which need parts, are not made for these."""
     def refused(*_):
