@@ -20,6 +20,9 @@ OWN, BINS = 47, 16  # ids with a class of their own, bins for the others; the en
 BATCH = 256
 _AT = (WINDOW - STRIDE + np.arange(STRIDE))[:, None] - np.arange(WINDOW)[None, :]  # distance
 _CAUSAL = np.where(_AT >= 0, 0.0, -1e9).astype(np.float32)
+_PAST = (_AT >= 0).astype(np.float32)
+_FAR = np.maximum(_AT, 0)
+SAFE = 60  # exponents up to here, either way, need no shift
 
 
 class Classes:
@@ -70,15 +73,20 @@ def flat(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([p[n].ravel() for n in SHAPES])
 
 
-def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
+def parts(values: np.ndarray) -> dict[str, np.ndarray]:
+    """The arrays that ``flat`` put together, as views."""
     out, at = {}, 0
     for n, s in SHAPES.items():
         size = int(np.prod(s))
-        out[n] = np.asarray(values[at:at + size], dtype=np.float32).reshape(s)
+        out[n] = values[at:at + size].reshape(s)
         at += size
     return out
 
 
+def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
+    return parts(np.asarray(values, dtype=np.float32))
+
+
 def windows(texts: list[np.ndarray], end: int):
     """Inputs (-1: none), targets (-1: none) and text number of all blocks of ``texts``."""
     inputs, targets, owner = [], [], []
@@ -94,55 +102,98 @@ def windows(texts: list[np.ndarray], end: int):
     return np.concatenate(inputs), np.concatenate(targets), np.concatenate(owner)
 
 
-def forward(p: dict, inputs: np.ndarray, classes: Classes):
-    """Log class probabilities (natural) of every target place, with what backward needs."""
-    rows = np.where(inputs >= 0, classes.row[inputs], 0)
-    e = p["e"][rows]
-    eq = e[:, WINDOW - STRIDE:]
-    q, k, v = eq @ p["q"], e @ p["k"], e @ p["v"]
+def row_sums(x: np.ndarray) -> np.ndarray:
+    """Sums over the last axis; a product with ones is faster than a short reduction."""
+    return (x.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], np.float32)).reshape(x.shape[:-1])
+
+
+def exponents(x: np.ndarray) -> np.ndarray:
+    """exp of ``x`` in place, shifted by each row's maximum only where values are beyond ``SAFE``;
+    gives the shifts."""
+    top = np.zeros(1, np.float32)
+    if not (x.max(initial=0) < SAFE and x.min(initial=0) > -SAFE):
+        top = x.max(axis=1)
+        x -= top[:, None]
+    np.exp(x, out=x)
+    return top
+
+
+def attended(a: np.ndarray, far: np.ndarray, inputs: np.ndarray) -> None:
+    """Products of places to weights that add up to one over what a place may see, in place."""
+    first = np.flatnonzero(inputs[:, 0] < 0)  # windows with places that hold nothing
+    a += far[_FAR]
+    if a.max(initial=0) < SAFE and a.min(initial=0) > -SAFE:
+        np.exp(a, out=a)
+        a *= _PAST
+        a[first] *= (inputs[first] >= 0)[:, None, :]
+    else:
+        a += _CAUSAL
+        a[first] += np.where(inputs[first] >= 0, np.float32(0), np.float32(-1e9))[:, None, :]
+        a -= a.max(axis=2, keepdims=True)
+        np.exp(a, out=a)
+    a /= row_sums(a)[:, :, None]
+
+
+def squash(x: np.ndarray) -> np.ndarray:
+    """tanh in place, by the exponential function, which numpy vectorises."""
+    np.minimum(x, np.float32(15), out=x)
+    x *= np.float32(2)
+    np.exp(x, out=x)
+    x += np.float32(1)
+    np.divide(np.float32(-2), x, out=x)
+    x += np.float32(1)
+    return x
+
+
+def layers(p: dict, inputs: np.ndarray, classes: Classes):
+    """Class logits of every target place, one row each, with what backward needs."""
+    n = len(inputs)
+    rows = np.where(inputs >= 0, classes.row[inputs], 0).ravel()
+    e = p["e"].take(rows, axis=0)
+    eq = e.reshape(n, WINDOW, DIM)[:, WINDOW - STRIDE:].reshape(-1, DIM)
+    of_all = np.concatenate([p["k"], p["v"]], axis=1)
+    of_own = np.concatenate([p["q"] * np.float32(DIM ** -0.5), p["w1"]], axis=1)
+    kv = (e @ of_all).reshape(n, WINDOW, 2 * DIM)
+    own = eq @ of_own
+    k, v, q = kv[:, :, :DIM], kv[:, :, DIM:], own.reshape(n, STRIDE, -1)[:, :, :DIM]
     a = q @ k.transpose(0, 2, 1)
-    a *= np.float32(DIM ** -0.5)
-    a += p["far"][np.maximum(_AT, 0)] + _CAUSAL
-    a += np.where(inputs >= 0, np.float32(0), np.float32(-1e9))[:, None, :]
-    a -= a.max(axis=2, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(axis=2, keepdims=True)
-    seen = a @ v
-    h = np.tanh(eq @ p["w1"] + seen @ p["w2"] + p["b"])
+    attended(a, p["far"], inputs)
+    seen = (a @ v).reshape(-1, DIM)
+    h = seen @ p["w2"]
+    h += own[:, DIM:]
+    h += p["b"]
+    squash(h)
     z = h @ p["u"]
     z += p["c"]
-    z -= z.max(axis=2, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=2, keepdims=True))
-    return z, (rows, e, eq, q, k, v, a, seen, h)
+    return z, (rows, e, eq, of_all, of_own, q, k, v, a, seen, h)
+
+
+def forward(p: dict, inputs: np.ndarray, classes: Classes):
+    """Log class probabilities (natural) of every target place, with what backward needs."""
+    z, kept = layers(p, inputs, classes)
+    z -= z.max(axis=1, keepdims=True)
+    z -= np.log(row_sums(np.exp(z)))[:, None]
+    return z.reshape(len(inputs), STRIDE, -1), kept
 
 
 def target_logs(p: dict, inputs: np.ndarray, classes: np.ndarray, tables: tuple) -> np.ndarray:
     """Natural log class probability of each target: ``forward`` without what learning needs.
 
-    Projections of the 1,024 input rows are looked up in ``tables``; exponents are cut at 60,
-    which no trained weight reaches, instead of being shifted; only a text's first window has
-    places to mask besides the future.
+    Projections of the 1,024 input rows are looked up in ``tables``.
     """
     rows, q, k, v, w1 = tables
     at = rows[inputs]
     own = at[:, WINDOW - STRIDE:]
     a = q.take(own, axis=0) @ k.take(at, axis=0).transpose(0, 2, 1)
-    a += p["far"][np.maximum(_AT, 0)] + _CAUSAL
-    first = np.flatnonzero(inputs[:, 0] < 0)
-    a[first] += np.where(inputs[first] >= 0, np.float32(0), np.float32(-1e9))[:, None, :]
-    np.minimum(a, np.float32(60), out=a)
-    np.exp(a, out=a)
-    seen = a @ v.take(at, axis=0)
-    seen /= np.maximum(a.sum(axis=2, keepdims=True), np.float32(1e-30))
-    h = seen.reshape(-1, DIM) @ p["w2"]
+    attended(a, p["far"], inputs)
+    h = (a @ v.take(at, axis=0)).reshape(-1, DIM) @ p["w2"]
     h += w1.take(own, axis=0).reshape(-1, HIDDEN)
-    np.tanh(h, out=h)
+    squash(h)
     z = h @ p["u"]
     z += p["c"]
-    np.minimum(z, np.float32(60), out=z)
     found = z[np.arange(len(z)), classes.ravel()]
-    np.exp(z, out=z)
-    return (found - np.log(z.sum(axis=1))).reshape(classes.shape)
+    found -= exponents(z)
+    return (found - np.log(row_sums(z))).reshape(classes.shape)
 
 
 def text_scores(p: dict, texts: list[np.ndarray], classes: Classes) -> np.ndarray:
@@ -162,61 +213,91 @@ def text_scores(p: dict, texts: list[np.ndarray], classes: Classes) -> np.ndarra
     return total
 
 
-def outer(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Sum over windows and places of the outer products of their rows."""
-    return x.reshape(-1, x.shape[2]).T @ y.reshape(-1, y.shape[2])
-
-
 def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, classes: Classes):
-    """Mean loss over the targets and its gradient."""
-    z, (rows, e, eq, q, k, v, a, seen, h) = forward(p, inputs, classes)
-    on = targets >= 0
+    """Mean loss over the targets and its gradient.
+
+    Rows of all windows stand below each other, so that weights meet them in one product;
+    products that share an operand are made together, and elementwise steps run in place.
+    """
+    m = len(inputs)
+    z, (rows, e, eq, of_all, of_own, q, k, v, a, seen, h) = layers(p, inputs, classes)
+    on = targets.ravel() >= 0
     n = max(int(on.sum()), 1)
-    cls = classes.of[np.maximum(targets, 0)]
-    loss = -np.take_along_axis(z, cls[:, :, None], axis=2)[:, :, 0][on].sum() / n
-    dz = np.exp(z, out=z)
-    dz.reshape(-1, dz.shape[2])[np.arange(cls.size), cls.ravel()] -= 1
-    dz *= (on / n).astype(np.float32)[:, :, None]
-    g = {"u": outer(h, dz), "c": dz.sum(axis=(0, 1))}
-    dh = (dz @ p["u"].T) * (1 - h * h)
-    g["w1"] = outer(eq, dh)
-    g["w2"] = outer(seen, dh)
-    g["b"] = dh.sum(axis=(0, 1))
+    cls = classes.of[np.maximum(targets, 0)].ravel()
+    place = np.arange(len(cls))
+    found = z[place, cls]
+    found -= exponents(z)
+    sums = row_sums(z)
+    loss = (np.log(sums) - found)[on].sum() / n
+    share = (on / n).astype(np.float32)
+    dz = z
+    dz *= (share / sums)[:, None]
+    dz[place, cls] -= share
+    ones = np.ones(len(dz), np.float32)
+    g = {"u": h.T @ dz, "c": ones @ dz}
+    d_own = np.empty((len(dz), DIM + HIDDEN), np.float32)
+    dh = dz @ p["u"].T
+    h *= h
+    np.subtract(np.float32(1), h, out=h)
+    dh *= h
+    d_own[:, DIM:] = dh
+    g["w2"] = seen.T @ dh
+    g["b"] = ones @ dh
     dseen = dh @ p["w2"].T
-    da = dseen @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dseen
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    g["far"] = np.bincount(np.maximum(_AT, 0).ravel(), weights=(ds.sum(axis=0)
-                           * (_AT >= 0)).ravel(), minlength=WINDOW)
-    ds = ds * np.float32(DIM ** -0.5)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    g["q"] = outer(eq, dq)
-    g["k"] = outer(e, dk)
-    g["v"] = outer(e, dv)
-    de = dk @ p["k"].T + dv @ p["v"].T
-    de[:, WINDOW - STRIDE:] += dq @ p["q"].T + dh @ p["w1"].T
-    de *= (inputs >= 0)[:, :, None]
+    d3 = dseen.reshape(m, STRIDE, DIM)
+    ds = d3 @ v.transpose(0, 2, 1)
+    ds -= row_sums(dseen * seen).reshape(m, STRIDE, 1)
+    ds *= a
+    g["far"] = np.bincount(_FAR.ravel(), minlength=WINDOW, weights=np.ones(
+        m, np.float32) @ ds.reshape(m, -1)).astype(np.float32)
+    d_all = np.empty((m, WINDOW, 2 * DIM), np.float32)
+    np.matmul(ds.transpose(0, 2, 1), q, out=d_all[:, :, :DIM])
+    np.matmul(a.transpose(0, 2, 1), d3, out=d_all[:, :, DIM:])
+    np.matmul(ds, k, out=d_own.reshape(m, STRIDE, -1)[:, :, :DIM])
+    d_all = d_all.reshape(-1, 2 * DIM)
+    both = e.T @ d_all
+    g["k"], g["v"] = both[:, :DIM], both[:, DIM:]
+    both = eq.T @ d_own
+    g["q"], g["w1"] = both[:, :DIM] * np.float32(DIM ** -0.5), both[:, DIM:]
+    de = d_all @ of_all.T
+    in_windows = de.reshape(m, WINDOW, DIM)
+    in_windows[:, WINDOW - STRIDE:] += (d_own @ of_own.T).reshape(m, STRIDE, DIM)
+    first = np.flatnonzero(inputs[:, 0] < 0)
+    in_windows[first] *= (inputs[first] >= 0)[:, :, None]
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    sorted_rows = rows[order]
+    new = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
     g["e"] = np.zeros_like(p["e"])
-    at = rows.ravel()
-    order = np.argsort(at, kind="stable")
-    new = np.flatnonzero(np.diff(at[order], prepend=-1))
-    g["e"][at[order[new]]] = np.add.reduceat(de.reshape(-1, DIM)[order], new, axis=0)
+    g["e"][sorted_rows[new]] = np.add.reduceat(de.take(order, axis=0), new, axis=0)
     return loss, g
 
 
 class Adam:
-    """The usual running moments, held by the trainer of one shard."""
+    """The usual running moments, held by the trainer of one shard.
+
+    ``p`` stays the caller's dictionary; its arrays become parts of one, which is stepped at once.
+    """
 
     def __init__(self, p: dict, rate: float = 0.01):
         self.p, self.rate, self.t = p, rate, 0
-        self.m = {n: np.zeros_like(x) for n, x in p.items()}
-        self.v = {n: np.zeros_like(x) for n, x in p.items()}
+        self.x = flat(p)
+        p.update(parts(self.x))
+        self.m, self.v = np.zeros_like(self.x), np.zeros_like(self.x)
 
     def step(self, g: dict) -> None:
         self.t += 1
-        rate = self.rate * np.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t)
+        rate = self.rate * (1 - 0.99 ** self.t) ** 0.5 / (1 - 0.9 ** self.t)
         rate /= 1 + self.t / 200
-        for n, x in self.p.items():
-            self.m[n] += 0.1 * (g[n] - self.m[n])
-            self.v[n] += 0.01 * (g[n] ** 2 - self.v[n])
-            x -= (rate * self.m[n] / (np.sqrt(self.v[n]) + 1e-8)).astype(np.float32)
+        by = flat(g)
+        move = by - self.m
+        move *= np.float32(0.1)
+        self.m += move
+        by *= by
+        by -= self.v
+        by *= np.float32(0.01)
+        self.v += by
+        np.sqrt(self.v, out=move)
+        move += np.float32(1e-8)
+        np.divide(self.m, move, out=move)
+        move *= np.float32(rate)
+        self.x -= move

@@ -125,3 +125,67 @@ def test_model_learns_from_every_training_row(spark):
     for i in (0, 1, 3, 4):
         one = train(df.where(f"doc_id = {i}"), classes, size)
         assert not np.array_equal(one["c"], attention.fresh(classes.start)["c"])
+
+
+def weights_beyond_the_usual():
+    size, ids, classes, p = small_model()
+    rnd = np.random.default_rng(5)
+    p["far"][3], p["far"][20], p["c"][2], p["c"][5] = 90, -200, 100, -300
+    p["q"] *= 30
+    p["u"] += rnd.normal(size=p["u"].shape).astype(np.float32) * 20
+    return size, ids, classes, p
+
+
+def test_scores_hold_for_large_weights():
+    """No exponent is cut: scores are those of the forward pass, whatever the weights."""
+    size, ids, classes, p = weights_beyond_the_usual()
+    for text, total in zip(ids, attention.text_scores(p, ids, classes)):
+        inputs, targets, _ = attention.windows([text], size)
+        z, _ = attention.forward({n: x.astype(np.float64) for n, x in p.items()}, inputs, classes)
+        on, t = targets >= 0, np.maximum(targets, 0)
+        logs = np.take_along_axis(z, classes.of[t][:, :, None], axis=2)[:, :, 0] / math.log(10)
+        assert total == pytest.approx((logs + classes.share[t])[on].sum(), rel=1e-3)
+
+
+@pytest.mark.parametrize("model", [small_model, weights_beyond_the_usual])
+def test_gradients_are_those_of_the_loss(model):
+    size, ids, classes, p = model()
+    inputs, targets, _ = attention.windows(ids, size)
+    on, t = targets >= 0, np.maximum(targets, 0)
+    wide = {n: x.astype(np.float64) for n, x in p.items()}
+
+    def loss():
+        z, _ = attention.forward(wide, inputs, classes)
+        return -np.take_along_axis(z, classes.of[t][:, :, None], axis=2)[:, :, 0][on].mean()
+
+    got, g = attention.gradients(p, inputs, targets, classes)
+    assert got == pytest.approx(loss(), rel=1e-3)
+    for n, x in wide.items():
+        top = float(np.abs(g[n]).max())
+        for at in np.argsort(-np.abs(g[n]).ravel())[:3]:
+            at = np.unravel_index(at, x.shape)
+            kept, by = x[at], 1e-5
+            x[at] = kept + by
+            up = loss()
+            x[at] = kept - by
+            down = loss()
+            x[at] = kept
+            assert (up - down) / (2 * by) == pytest.approx(float(g[n][at]), rel=2e-2, abs=1e-3 * top + 1e-6)
+
+
+def test_adam_steps_the_callers_arrays_at_once():
+    size, ids, classes, p = small_model()
+    inputs, targets, _ = attention.windows(ids, size)
+    want = {n: x.astype(np.float64) for n, x in p.items()}
+    m, v = ({n: np.zeros_like(x) for n, x in want.items()} for _ in range(2))
+    adam = attention.Adam(p)
+    for t in range(1, 6):
+        g = attention.gradients(p, inputs, targets, classes)[1]
+        rate = 0.01 * math.sqrt(1 - 0.99 ** t) / (1 - 0.9 ** t) / (1 + t / 200)
+        for n in want:
+            m[n] += 0.1 * (g[n] - m[n])
+            v[n] += 0.01 * (np.square(g[n], dtype=np.float64) - v[n])
+            want[n] -= rate * m[n] / (np.sqrt(v[n]) + 1e-8)
+        adam.step(g)
+    assert all(np.shares_memory(adam.p[n], adam.x) and adam.p[n] is p[n] for n in p)
+    assert all(np.allclose(p[n], want[n], atol=1e-4) for n in p)
